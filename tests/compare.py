@@ -1,0 +1,40 @@
+"""Run a registered query and its SQL side by side."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+
+
+def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(os.path.join(folder, "*.parquet")):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _text(value) -> str:
+    return repr(value) if isinstance(value, float) else str(value)
+
+
+def _rows(names, rows) -> list[tuple[str, ...]]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_text(row[i]) for i in order) for row in rows)
+
+
+def compare(spark_frame, con, sql: str) -> str | None:
+    """Null when both agree in columns, value types and rows, otherwise what differs."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    if sorted(names) != sorted(spark_frame.columns):
+        return f"columns {sorted(spark_frame.columns)} and {sorted(names)}"
+    a, b = _rows(spark_frame.columns, spark_frame.collect()), _rows(names, result.fetchall())
+    if len(a) != len(b):
+        return f"{len(a)} and {len(b)} rows"
+    for x, y in zip(a, b):
+        if x != y:
+            return f"{sorted(names)}: {x} and {y}"
+    return None
