@@ -44,10 +44,11 @@ def landing_report(
     raises an error when some path has no recent file.
     """
     roots = [row["path"].rstrip("/") for row in expected.select("path").distinct().toLocalIterator()]
-    catalog = file_catalog(spark, *roots).where(
-        name_match("path", suffix=".parquet") & recent("modified", now)
+    since = now - dt.timedelta(minutes=minutes)
+    catalog = file_catalog(spark, *roots, since=since).where(
+        name_match("path", suffix=".parquet") & recent("modified", now, minutes)
     )
-    files = files_with_counts(catalog, parquet_row_counts(spark, *roots))
+    files = files_with_counts(catalog, parquet_row_counts(spark, *roots, since=since))
     errors = [
         (row["path"], _read_error(spark, row["path"]))
         for row in files.where(~F.col("has_records")).select("path").toLocalIterator()

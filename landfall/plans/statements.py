@@ -68,7 +68,7 @@ def run_scripts(
     need what the one before it made. ``variables`` fill ``${name}``.
     """
     results = []
-    for row in natural_order(scripts, "path").toLocalIterator():
+    for row in natural_order(scripts, "path").collect():
         name, text = row["path"].rsplit("/", 1)[-1], row["body"].strip()
         if not text:
             results.append({"file": name, "status": "skipped", "reason": "empty file"})

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import columns, rows  # noqa: F401
+from . import columns, jobs, rows  # noqa: F401
 from .registry import ORACLE, QUERIES

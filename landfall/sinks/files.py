@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import day_literal
 from ..functions.dates import normal_period
 from ..operators.aggregate import period_values
 
@@ -47,11 +46,12 @@ def archive_rows(
     periodicity: str,
     today: dt.date,
     on_several: str = "error",
-) -> list[str]:
-    """Write the rows below ``root`` under a name that carries their period.
+) -> str:
+    """Write the rows below ``root`` under a name that carries their period. Returns the path.
 
     The period column is ``periodo_dia`` or ``periodo_mes``; sporadic data takes today's date. Several periods in one
-    frame are an error, unless ``on_several`` is ``split`` (one folder each) or ``first`` (all under the smallest).
+    frame are an error, unless ``on_several`` is ``first`` (all under the smallest) or ``split`` (one write into
+    ``<file>/<column>=<period>`` folders).
     """
     stem, extension = posixpath.splitext(file)
 
@@ -62,7 +62,7 @@ def archive_rows(
     if period == "sporadic":
         path = target(today.isoformat())
         df.write.mode("overwrite").parquet(path)
-        return [path]
+        return path
     # The period columns.
     column = {"daily": "periodo_dia", "monthly": "periodo_mes"}.get(period)
     if column is None or column not in df.columns:
@@ -75,15 +75,10 @@ def archive_rows(
     if found["periods"] == 1 or on_several == "first":
         path = target(found["period"])
         df.write.mode("overwrite").parquet(path)
-        return [path]
-    value = F.col(column)
-    days = df.select(value).distinct().where(value.isNotNull()).orderBy(value)
-    paths = []
-    for row in days.toLocalIterator():
-        day = row[0] if isinstance(row[0], str) else row[0].strftime("%Y-%m-%d")
-        df.where(value == F.lit(row[0])).write.mode("overwrite").parquet(target(day))
-        paths.append(target(day))
-    return paths
+        return path
+    path = f"{root.rstrip('/')}/{stem}{extension}"
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+    return path
 
 
 def results_frame(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
 
@@ -130,6 +131,18 @@ def _for_target(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return rows.hint("rebalance", *parts) if parts else rows
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str):
+    """Set what an overwrite replaces: the whole table or only the partitions written to."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append by column name."""
     _for_target(spark, df, table).write.mode("append").insertInto(quoted(table))
@@ -138,12 +151,14 @@ def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
 def replace_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Replace everything the table holds. The frame must not read the table."""
     rows = _for_target(spark, df, table)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(quoted(table))
+    with _overwriting(spark, "static"):
+        rows.write.mode("overwrite").insertInto(quoted(table))
 
 
 def empty_table(spark: SparkSession, table: str) -> None:
     nothing = spark.createDataFrame([], spark.table(quoted(table)).schema)
-    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(quoted(table))
+    with _overwriting(spark, "static"):
+        nothing.write.mode("overwrite").insertInto(quoted(table))
 
 
 def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> None:
@@ -165,10 +180,9 @@ def _empty_partition(spark: SparkSession, table: str, spec: Row) -> None:
     values = ", ".join(
         f"`{name}` = " + ("NULL" if value is None else _text(str(value))) for name, value in spec.asDict().items()
     )
-    names = ", ".join(f"`{f}`" for f in spark.table(quoted(table)).columns if f not in spec.asDict())
-    nothing = spark.createDataFrame([], spark.table(quoted(table)).drop(*spec.asDict()).schema)
-    nothing.createOrReplaceTempView("landfall_nothing")
-    spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({values}) SELECT {names} FROM landfall_nothing")
+    fields = [f for f in spark.table(quoted(table)).schema.fields if f.name not in spec.asDict()]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({values}) SELECT {nothing} WHERE false")
 
 
 def rewrite(
@@ -197,9 +211,9 @@ def rewrite(
     changed = change(current.where(reduce(or_, map(_same_partition, specs)))).select(*current.columns)
     filled = set(changed.select(*columns).distinct().collect())
     if filled:
-        changed.hint("rebalance", *parts).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(quoted(table))
+        # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
+        with _overwriting(spark, "dynamic"):
+            changed.hint("rebalance", *parts).write.mode("overwrite").insertInto(quoted(table))
     for spec in specs:
         if spec not in filled:
             _empty_partition(spark, table, spec)

@@ -10,9 +10,11 @@ from pyspark.sql.types import ArrayType, StructType
 from ..functions import text_date
 
 
-def read_documents(spark: SparkSession, *paths: str, schema: StructType | str | None = None) -> DataFrame:
-    """One row per JSON document that fills a file."""
-    reader = spark.read.option("multiLine", True)
+def read_documents(
+    spark: SparkSession, *paths: str, schema: StructType | str | None = None, lines: bool = False
+) -> DataFrame:
+    """One row per JSON document: a whole file each, or one on every line, which lets a file be split."""
+    reader = spark.read.option("multiLine", not lines)
     if schema:
         reader = reader.schema(schema)
     return reader.json(list(paths))

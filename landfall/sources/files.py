@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -12,24 +14,33 @@ def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | No
     return reader.parquet(*paths)
 
 
-def file_catalog(spark: SparkSession, *paths: str) -> DataFrame:
+def _since(reader, since: dt.datetime | None):
+    """Leave out files that are older, when they are listed. The limit is lowered to a whole second."""
+    if since is None:
+        return reader
+    utc = since.astimezone(dt.timezone.utc) - dt.timedelta(seconds=1)
+    return reader.option("modifiedAfter", f"{utc:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+
+
+def file_catalog(spark: SparkSession, *paths: str, since: dt.datetime | None = None) -> DataFrame:
     """Every file below the paths: ``path``, ``modified``, ``length``. Contents are not read."""
     return (
-        spark.read.format("binaryFile")
+        _since(spark.read.format("binaryFile"), since)
         .option("recursiveFileLookup", True)
         .load(list(paths))
         .select("path", F.col("modificationTime").alias("modified"), "length")
     )
 
 
-def parquet_row_counts(spark: SparkSession, *paths: str) -> DataFrame:
+def parquet_row_counts(spark: SparkSession, *paths: str, since: dt.datetime | None = None) -> DataFrame:
     """``path`` and ``row_count`` for each readable Parquet file that has rows.
 
     The read schema is empty, so only footers are read, and files of different schemas may be mixed.
     """
     return (
-        spark.read.schema(StructType([]))
+        _since(spark.read.schema(StructType([])), since)
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", True)
         .parquet(*paths)
         .groupBy(F.col("_metadata.file_path").alias("path"))
