@@ -14,7 +14,7 @@ from ..operators import (
     close_runs, expected_files, files_with_counts, row_count,
 )
 from ..sinks import quoted, results_frame, rewrite, table_on_date
-from ..sources import file_catalog, parquet_row_counts
+from ..sources import file_catalog, parquet_row_counts, path_exists
 
 # The control tables that a process must be registered in, by archetype type.
 REQUIRED_TABLES = {
@@ -26,6 +26,9 @@ REQUIRED_TABLES = {
 TABLE_TYPES = ("satelite", "hub", "link")
 
 
+_FILE = "path string, modified timestamp, length bigint, row_count bigint, has_records boolean"
+
+
 def _read_error(spark: SparkSession, path: str) -> str | None:
     try:
         spark.read.parquet(path).isEmpty()
@@ -44,11 +47,15 @@ def landing_report(
     raises an error when some path has no recent file.
     """
     roots = [row["path"].rstrip("/") for row in expected.select("path").distinct().toLocalIterator()]
+    roots = [root for root in roots if path_exists(spark, root)]
     since = now - dt.timedelta(minutes=minutes)
-    catalog = file_catalog(spark, *roots, since=since).where(
-        name_match("path", suffix=".parquet") & recent("modified", now, minutes)
-    )
-    files = files_with_counts(catalog, parquet_row_counts(spark, *roots, since=since))
+    if roots:
+        catalog = file_catalog(spark, *roots, since=since).where(
+            name_match("path", suffix=".parquet") & recent("modified", now, minutes)
+        )
+        files = files_with_counts(catalog, parquet_row_counts(spark, *roots, since=since))
+    else:
+        files = spark.createDataFrame([], _FILE)
     errors = [
         (row["path"], _read_error(spark, row["path"]))
         for row in files.where(~F.col("has_records")).select("path").toLocalIterator()

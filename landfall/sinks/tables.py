@@ -171,8 +171,21 @@ def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> Non
         spark.sql(ddl)
 
 
-def _same_partition(spec: Row) -> Column:
-    return reduce(and_, (F.col(f"`{name}`").eqNullSafe(F.lit(value)) for name, value in spec.asDict().items()))
+def _in_partitions(specs: list[Row]) -> Column:
+    """A predicate on partition columns that prunes the scan to the given partitions.
+
+    One column makes a plain list. Several are joined pairwise, so that the expression stays shallow however many
+    partitions there are.
+    """
+    names = list(specs[0].asDict())
+    if len(names) == 1:
+        c = F.col(f"`{names[0]}`")
+        listed = c.isin([spec[0] for spec in specs if spec[0] is not None])
+        return listed | c.isNull() if any(spec[0] is None for spec in specs) else listed
+    tests = [reduce(and_, (F.col(f"`{n}`").eqNullSafe(F.lit(spec[n])) for n in names)) for spec in specs]
+    while len(tests) > 1:
+        tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
 
 
 def _empty_partition(spark: SparkSession, table: str, spec: Row) -> None:
@@ -208,7 +221,7 @@ def rewrite(
     specs = current.where(touched).select(*columns).distinct().collect()
     if not specs:
         return {"changed": False}
-    changed = change(current.where(reduce(or_, map(_same_partition, specs)))).select(*current.columns)
+    changed = change(current.where(_in_partitions(specs))).select(*current.columns)
     filled = set(changed.select(*columns).distinct().collect())
     if filled:
         # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.

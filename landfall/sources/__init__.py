@@ -1,6 +1,6 @@
 """Readers."""
 
-from .delimited import has_quoted_newlines, read_csv
+from .delimited import has_quoted_newlines, joined_records, read_csv
 from .documents import calendar_entries, flatten_documents, missing_fields, read_calendar, read_documents
-from .files import file_catalog, parquet_row_counts, read_parquet, read_texts
+from .files import file_catalog, parquet_row_counts, path_exists, read_parquet, read_texts
 from .params import each_entry, explode_params, first_entry, parse_entries, process_entries, rejected_params

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import scratch_path
+
 _OVERFLOW = "_overflow"
 
+# Stand-ins for a newline within a field; the first one that the data does not hold is used.
+_MARKS = ("\u0001", "\u0002", "\u0003", "\u0004", "\u0005")
+
+def _odd_quotes(value: Column) -> Column:
+    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2
+
 
 def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
     """Whether some line has an odd number of quotes.
@@ -15,9 +23,79 @@ def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
     count no record spans lines, so the file can be split among tasks. The test is a text scan without
     parsing, spread over all splits, that stops at the first hit.
     """
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).where(_odd_quotes(F.col("value")) == 1).isEmpty()
+
+
+def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> DataFrame:
+    """The records of CSV files, one per row, with ``mark`` for each newline within a record.
+
+    A line with an odd number of quotes opens or closes a quoted part. Counting those lines within each split and adding
+    the counts of the splits before gives every line its place, so no task needs more than a split: a line is a
+    record of its own when an even count comes before it and its own quotes pair up, otherwise it belongs to the
+    record numbered by half that count. Only the lines of such records are grouped.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            _odd_quotes(F.col("value")).alias("odd"),
+        )
+    )
+    # One row per split.
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("file", "block")
+        .agg(F.sum("odd").alias("odds"))
+        .select("file", "block", F.coalesce(F.sum("odds").over(earlier), F.lit(0)).alias("carried"))
+    )
+    within = Window.partitionBy("file", "block").orderBy("line")
+    before = F.coalesce(F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = (
+        lines.join(splits, ["file", "block"])
+        .withColumn("before", F.col("carried") + before)
+        .withColumn("first", (F.col("block") == 0) & (F.row_number().over(within) == 1))
+    )
+    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
+    kept = ~F.col("first") if header else F.lit(True)
+    single = placed.where(alone & kept).select("value")
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    several = (
+        placed.where(~alone)
+        .groupBy("file", F.floor(F.col("before") / 2).alias("record"))
+        .agg(F.bool_or("first").alias("first"), F.transform(parts, lambda p: p["value"]).alias("values"))
+        .where(kept)
+        .select(F.array_join("values", mark).alias("value"))
+    )
+    return single.unionByName(several).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
+
+
+def _has_open_quote(spark: SparkSession, path: str) -> bool:
+    odd = spark.read.option("lineSep", "\n").text(path).groupBy(F.col("_metadata.file_path")).agg(
+        (F.sum(_odd_quotes(F.col("value"))) % 2).alias("odd")
+    )
+    return not odd.where("odd = 1").isEmpty()
+
+
+def _rewrite_on_lines(spark: SparkSession, path: str, options: dict[str, str], header: bool) -> tuple[str, str]:
+    """Write the records to the scratch folder with one line and all columns each. Returns the folder and the mark."""
+    if _has_open_quote(spark, path):
+        raise ValueError(f"a quoted field of {path} is never closed")
+    text = spark.read.option("lineSep", "\n").text(path)
+    mark = next((m for m in _MARKS if text.where(F.col("value").contains(m)).isEmpty()), None)
+    if mark is None:
+        raise ValueError(f"{path} holds every character that could stand for a newline")
+    names = spark.read.options(**options, header=str(header).lower(), multiLine="true").csv(path).columns
+    columns = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in [*names, _OVERFLOW])
+    records = joined_records(spark, path, header, mark).where(F.trim("value") != "")
+    folder = scratch_path(spark, "csv")
+    records.select(F.from_csv("value", columns, options).alias("_r")).select("_r.*").write.options(
+        **options, header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(folder)
+    return folder, mark
 
 
 def read_csv(
@@ -26,31 +104,33 @@ def read_csv(
     delimiter: str = ",",
     header: bool = True,
     schema: StructType | None = None,
-    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """A CSV scan with inferred or given types.
+    """A scan of UTF-8 CSV with inferred or given types.
 
     Fields may be quoted and hold newlines and doubled quotes. Short rows are filled with nulls. A row with more
     fields than columns fails the query that reads it; the check is part of the scan, so a load that meets such
     a row writes nothing. With a given schema the data is read once, otherwise types need a pass of their own.
+
+    Spark can split a CSV file only if no field holds a newline. Where some do, the records are first
+    rewritten to the scratch folder with a stand-in for those newlines, and then read like any others.
     """
-    options = {
-        "sep": delimiter,
-        "header": str(header).lower(),
-        "quote": '"',
-        "escape": '"',
-        "encoding": encoding,
-        "multiLine": str(has_quoted_newlines(spark, path)).lower(),
-        "mode": "PERMISSIVE",
-    }
+    options = {"sep": delimiter, "quote": '"', "escape": '"'}
+    mark = None
+    reading = {**options, "header": str(header).lower()}
+    if has_quoted_newlines(spark, path):
+        path, mark = _rewrite_on_lines(spark, path, options, header)
+        reading.update(header="true", lineSep="\n")
     if schema is None:
-        schema = spark.read.options(**options, inferSchema="true").csv(path).schema
+        found = spark.read.options(**reading, inferSchema="true").csv(path).schema
+        schema = StructType([f for f in found.fields if f.name != _OVERFLOW])
     wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
-    # Pruning would hide the extra fields from the parser.
-    rows = spark.read.options(**options, enforceSchema="true").schema(wide).csv(path)
+    rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     message = F.concat(F.lit("row has too many fields, the first extra one is: "), F.col(_OVERFLOW))
-    first, *rest = schema.names
-    checked = F.when(F.col(_OVERFLOW).isNotNull(), F.raise_error(message).cast(schema[first].dataType)).otherwise(
-        F.col(f"`{first}`")
-    )
-    return rows.select(checked.alias(first), *(F.col(f"`{name}`") for name in rest))
+    whole = rows.where(F.when(F.col(_OVERFLOW).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
+
+    def value(field: StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        marked = mark and isinstance(field.dataType, StringType)
+        return (F.translate(c, mark, "\n") if marked else c).alias(field.name)
+
+    return whole.select(*map(value, schema.fields))

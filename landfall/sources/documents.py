@@ -84,7 +84,7 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     A calendar has one entry per day, so its one document is small. The position says which of two
     entries for a day came first.
     """
-    return calendar_entries(spark.read.option("wholetext", True).text(path).select(F.col("value").alias("body")))
+    return calendar_entries(spark.read.text(path, wholetext=True).select(F.col("value").alias("body")))
 
 
 def calendar_entries(docs: DataFrame, body: str = "body") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -14,6 +14,22 @@ def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | No
     return reader.parquet(*paths)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
+
+
+def _plain(path: Column) -> Column:
+    """A path as readers take it, from the encoded form of file metadata."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"\A([a-z]+):///", "$1:/")
+
+
 def _since(reader, since: dt.datetime | None):
     """Leave out files that are older, when they are listed. The limit is lowered to a whole second."""
     if since is None:
@@ -22,14 +38,27 @@ def _since(reader, since: dt.datetime | None):
     return reader.option("modifiedAfter", f"{utc:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
 
 
-def file_catalog(spark: SparkSession, *paths: str, since: dt.datetime | None = None) -> DataFrame:
-    """Every file below the paths: ``path``, ``modified``, ``length``. Contents are not read."""
-    return (
-        _since(spark.read.format("binaryFile"), since)
-        .option("recursiveFileLookup", True)
-        .load(list(paths))
-        .select("path", F.col("modificationTime").alias("modified"), "length")
-    )
+def file_catalog(
+    spark: SparkSession, *paths: str, since: dt.datetime | None = None, glob: str | None = None
+) -> DataFrame:
+    """Every file below the paths: ``path``, ``modified``, ``length``. Contents are not read.
+
+    A scan leaves out files of no length, but an empty file may be the newest, or the one that a check must
+    report. They are in the reader's listing, so those that the scan lacks are looked up one by one.
+    """
+    reader = _since(spark.read.format("binaryFile"), since).option("recursiveFileLookup", True)
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(list(paths))
+    scanned = files.select("path", F.col("modificationTime").alias("modified"), "length")
+    names = files.inputFiles()
+    if scanned.count() == len(names):
+        return scanned
+    listed = spark.createDataFrame([(name,) for name in names], "path string").select(_plain(F.col("path")).alias("path"))
+    rows = []
+    for row in listed.join(scanned, "path", "left_anti").toLocalIterator():
+        system, hadoop_path = _hadoop(spark, row["path"])
+        millis = system.getFileStatus(hadoop_path).getModificationTime()
+        rows.append((row["path"], dt.datetime.fromtimestamp(millis / 1000, dt.timezone.utc), 0))
+    return scanned.unionByName(spark.createDataFrame(rows, scanned.schema))
 
 
 def parquet_row_counts(spark: SparkSession, *paths: str, since: dt.datetime | None = None) -> DataFrame:
@@ -43,7 +72,7 @@ def parquet_row_counts(spark: SparkSession, *paths: str, since: dt.datetime | No
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", True)
         .parquet(*paths)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .groupBy(_plain(F.col("_metadata.file_path")).alias("path"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
@@ -54,17 +83,10 @@ def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
     An empty file yields no row in a text scan, so the catalogue supplies it with an empty body.
     """
     texts = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
-    )
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .load(path)
-        .select("path")
+        .text(path, wholetext=True)
+        .select(_plain(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("body"))
     )
+    listed = file_catalog(spark, path, glob=glob).select("path")
     return listed.join(texts, "path", "left").withColumn("body", F.coalesce("body", F.lit("")))

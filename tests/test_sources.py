@@ -1,0 +1,172 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from landfall import sources as S
+
+
+def write(path, text, modified=None):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(text.encode())
+    if modified:
+        os.utime(path, (modified, modified))
+    return str(path)
+
+
+def test_csv_short_rows_types_and_quotes(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'n;d;t;b;s\n007;2024-01-02;2024-01-02 03:04:05;true;"say ""hi""; ok"\n8;2024-01-03\n')
+    frame = S.read_csv(spark, path, delimiter=";")
+    assert [f.dataType.typeName() for f in frame.schema.fields] == ["integer", "date", "timestamp", "boolean", "string"]
+    rows = [tuple(r) for r in frame.orderBy("n").collect()]
+    assert rows[0] == (7, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), True, 'say "hi"; ok')
+    assert rows[1] == (8, dt.date(2024, 1, 3), None, None, None)
+
+
+def test_csv_without_header(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "1,a\n2,b\n")
+    assert sorted(map(tuple, S.read_csv(spark, path, header=False).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_csv_long_row_fails(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="too many fields"):
+        S.read_csv(spark, path).collect()
+    with pytest.raises(Exception, match="too many fields"):
+        S.read_csv(spark, path).select("b").collect()
+    with pytest.raises(Exception, match="too many fields"):
+        S.read_csv(spark, path).count()
+    path = write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n3,4,5\n')
+    with pytest.raises(Exception, match="too many fields"):
+        S.read_csv(spark, path).collect()
+
+
+def test_csv_short_rows_and_newlines_without_header(spark, tmp_path):
+    path = write(tmp_path / "a.csv", '1,"x\ny",2024-01-02\n2\n\n3,"p ""q"" ",\n')
+    rows = sorted(map(tuple, S.read_csv(spark, path, header=False).collect()))
+    assert rows == [(1, "x\ny", dt.date(2024, 1, 2)), (2, None, None), (3, 'p "q" ', None)]
+
+
+def _quoted_rows(n):
+    fields = ["plain", "one\ntwo", "", 'q"\n"q', "a,b\r\nc", "\n\n\n", 'x"y', "end\n"]
+    return [(i, fields[i % len(fields)], "t" * (i % 50)) for i in range(n)]
+
+
+def _quoted_text(rows, end="\n"):
+    def quote(value):
+        return '"' + value.replace('"', '""') + '"' if any(c in value for c in ',"\n\r') else value
+
+    return f"id,v,w{end}" + "".join(f"{i},{quote(v)},{w}{end}" for i, v, w in rows)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [64, 1 << 20])
+def test_csv_with_newlines_in_fields(spark, tmp_path, end, split):
+    rows = _quoted_rows(400)
+    write(tmp_path / "in" / "a.csv", _quoted_text(rows[:250], end))
+    write(tmp_path / "in" / "b.csv", _quoted_text(rows[250:], end))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        expected = sorted((i, v or None, w or None) for i, v, w in rows)
+        frame = S.read_csv(spark, str(tmp_path / "in"))
+        assert sorted(map(tuple, frame.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_open_quote(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="never closed"):
+        S.read_csv(spark, path)
+
+
+def test_csv_splits_files_without_quoted_newlines(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b\n1,"x, y"\n')
+    assert not S.has_quoted_newlines(spark, path)
+    write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n')
+    assert S.has_quoted_newlines(spark, str(tmp_path))
+
+
+def test_file_catalog(spark, tmp_path):
+    write(tmp_path / "x" / "a.CSV", "1", 1_700_000_000)
+    write(tmp_path / "x" / "y z" / "b +%.csv", "", 1_700_000_600)
+    rows = {os.path.basename(r["path"]): r for r in S.file_catalog(spark, str(tmp_path)).collect()}
+    assert rows["a.CSV"]["length"] == 1 and rows["b +%.csv"]["length"] == 0
+    since = dt.datetime.fromtimestamp(1_700_000_600, dt.timezone.utc)
+    late = S.file_catalog(spark, str(tmp_path), since=since).collect()
+    assert [os.path.basename(r["path"]) for r in late] == ["b +%.csv"]
+    plan = S.file_catalog(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_texts_keep_empty_files(spark, tmp_path):
+    write(tmp_path / "1.sql", "SELECT 1\n")
+    write(tmp_path / "2.SQL", "")
+    write(tmp_path / "3.txt", "x")
+    rows = {os.path.basename(r["path"]): r["body"] for r in S.read_texts(spark, str(tmp_path), "*.[sS][qQ][lL]").collect()}
+    assert rows == {"1.sql": "SELECT 1\n", "2.SQL": ""}
+
+
+def test_flatten_documents(spark, tmp_path):
+    path = write(
+        tmp_path / "d.json",
+        '{"codigo": "uf", "fecha": "hoy", "serie": [{"fecha": "2024-01-02T03:00:00.000Z", "valor": 1.5}, {"fecha": "2024-01-03T03:00:00.000Z"}]}',
+    )
+    docs = S.read_documents(spark, path)
+    rows = S.flatten_documents(docs, ["codigo"], ["fecha", "valor"])
+    assert rows.columns == ["fecha", "valor", "codigo"]
+    assert [tuple(r) for r in rows.collect()] == [(dt.date(2024, 1, 2), 1.5, "uf"), (dt.date(2024, 1, 3), None, "uf")]
+    assert [tuple(r) for r in S.flatten_documents(docs, ["codigo"], []).collect()] == [("uf",)]
+    replaced = S.flatten_documents(docs, ["fecha"], ["fecha", "valor"])
+    assert [tuple(r) for r in replaced.collect()] == [("hoy", 1.5), ("hoy", None)]
+    with pytest.raises(ValueError, match="nombre"):
+        S.flatten_documents(docs, ["nombre"], [])
+    with pytest.raises(ValueError, match="otro"):
+        S.flatten_documents(docs, [], ["otro"])
+
+
+def test_flatten_documents_with_empty_array(spark):
+    docs = spark.sql("SELECT 'a' AS c, array(named_struct('v', 1)) AS serie UNION ALL SELECT 'b', array()")
+    with pytest.raises(Exception, match="absent or empty"):
+        S.flatten_documents(docs, ["c"], ["v"]).collect()
+
+
+def test_missing_fields(spark):
+    docs = spark.createDataFrame([('{"a": null, "b": 1}',), ("broken",)], "body string")
+    found = [r[0] for r in docs.select(S.missing_fields(F.col("body"), ["a", "c"])).collect()]
+    assert found == [["c"], ["a", "c"]]
+
+
+def test_calendar_keeps_positions(spark, tmp_path):
+    from landfall.operators import calendar_days
+
+    path = write(
+        tmp_path / "c.json",
+        '[{"DIA": "02-01-2024", "HABIL": "S"}, {"DIA": "02-01-2024", "HABIL": "N"}, {"DIA": "x", "HABIL": "S"}]',
+    )
+    days = calendar_days(S.read_calendar(spark, path))
+    assert [tuple(r) for r in days.collect()] == [(dt.date(2024, 1, 2), "S")]
+
+
+def test_params_of_every_form(spark):
+    texts = ['{"a": 1}', '[{"a": 2}, {"a": null, "b": {"c": 3}}]', "broken", None, " [] "]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, params string")
+    rows = [(r["id"], r["position"], r["entry"]) for r in S.explode_params(frame).collect()]
+    assert rows == [(0, 0, {"a": "1"}), (1, 0, {"a": "2"}), (1, 1, {"a": None, "b": '{"c":3}'})]
+    assert [r["id"] for r in S.rejected_params(frame).collect()] == [2]
+    for form in ("map('a', '1')", "named_struct('a', 1)", "array(map('a', '1'))", "array(named_struct('a', 1))"):
+        entry = S.explode_params(spark.sql(f"SELECT {form} AS params")).first()["entry"]
+        assert entry == {"a": "1"}
+
+
+def test_process_entries(spark):
+    frame = spark.sql(
+        """SELECT * FROM VALUES ('p', 'f', 'q', true, '{"a": "1"}'), ('p', 'f', 'q', false, '{"a": "2"}'), ('p', 'g', 'q', true, '{"a": "3"}')
+        AS t(process_name, process_fn_name, arquetype_name, active, params)"""
+    )
+    entries = S.process_entries(frame, "p", "f", "q")
+    assert S.first_entry(entries) == {"a": "1"} and list(S.each_entry(entries)) == [{"a": "1"}]
+    with pytest.raises(LookupError):
+        S.first_entry(S.process_entries(frame, "x", "f", "q"))
