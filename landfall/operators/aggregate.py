@@ -58,11 +58,15 @@ def latest_start(df: DataFrame, keys: Sequence[str], start: str, end: str, out:
 def newest(df: DataFrame, keys: Sequence[str], name: str, modified: str, out: str | None = None) -> DataFrame:
     """The name with the latest time of each group; the smallest name when times are equal.
 
-    Partial results are merged, so no group is gathered in one task. ``modified`` is a timestamp of either kind.
+    The latest time comes from a hash aggregation and is joined back, which leaves few rows for the names. One aggregation
+    of time and name together would sort all rows first. The join includes the time, so a hot group does not
+    gather in one task. Rows without a time do not count.
     """
-    micros = F.unix_micros(F.col(modified).cast("timestamp"))
-    order = F.struct((-micros).alias("age"), F.col(name).alias("name"))
-    return df.groupBy(*keys).agg(F.min_by(F.col(name), order).alias(out or name))
+    latest = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.max(modified).alias("_latest"))
+    same = F.col(modified) == F.col("_latest")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(latest, same).groupBy(*keys).agg(F.min(name).alias(out or name))
 
 
 def newest_path(files: DataFrame, name: str = "path", modified: str = "modified") -> str:

@@ -10,7 +10,7 @@ from .. import functions as L
 from .. import plans as P
 from .. import sinks as K
 from .. import sources as S
-from ..operators import RUN_COUNT, purged, struct_type
+from ..operators import RUN_COUNT, files_with_counts, purged, struct_type
 from .registry import Tables, query
 
 DAY = "1998-08-03"
@@ -176,9 +176,17 @@ def query_export(t):
     return S.read_parquet(t.spark, folder).withColumn("periodo_dia", F.col("periodo_dia").cast("string"))
 
 
-@query()
+_NAMES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "benchmark",
+    "pages", "conversations", "embeddings",
+)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS row_count, count(*) > 0 AS has_records FROM {n}" for n in _NAMES))
 def file_catalog(t):
-    return S.file_catalog(t.spark, t.folder)
+    names = L.path_parts("path")["stem"]
+    files = files_with_counts(S.file_catalog(t.spark, t.folder), S.parquet_row_counts(t.spark, t.folder))
+    return files.select(names.alias("name"), "row_count", "has_records").where(F.col("name").isin(*_NAMES))
 
 
 @query("""

@@ -104,6 +104,7 @@ def read_csv(
     delimiter: str = ",",
     header: bool = True,
     schema: StructType | None = None,
+    quoted_newlines: bool | None = None,
 ) -> DataFrame:
     """A scan of UTF-8 CSV with inferred or given types.
 
@@ -113,11 +114,14 @@ def read_csv(
 
     Spark can split a CSV file only if no field holds a newline. Where some do, the records are first
     rewritten to the scratch folder with a stand-in for those newlines, and then read like any others.
+    ``quoted_newlines`` says whether there are any, which saves the scan that looks for them.
     """
     options = {"sep": delimiter, "quote": '"', "escape": '"'}
     mark = None
     reading = {**options, "header": str(header).lower()}
-    if has_quoted_newlines(spark, path):
+    if quoted_newlines is None:
+        quoted_newlines = has_quoted_newlines(spark, path)
+    if quoted_newlines:
         path, mark = _rewrite_on_lines(spark, path, options, header)
         reading.update(header="true", lineSep="\n")
     if schema is None:
