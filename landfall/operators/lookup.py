@@ -1,6 +1,6 @@
 """Lookups: business days, due schedules, expected files.
 
-Small sides are broadcast only after their rows have been counted; beyond the limit the same equi-join runs as a
+Small sides are broadcast only after they have been measured; beyond the limits the same equi-join runs as a
 sort-merge join, which adaptive execution splits at hot keys.
 """
 
@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import DATE_PLACEHOLDER, iso_weekday
 
-# A few narrow columns at this many rows stay far below the memory of one task.
+# What a broadcast may hold at most.
 SMALL_ROWS = 50_000
+SMALL_BYTES = 32 << 20
 
 
-def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Ask for a broadcast when the frame has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> DataFrame:
+    """Ask for a broadcast when the frame has at most ``rows`` rows and ``size`` bytes of text."""
+    text = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), text.alias("size")).first()
+    return F.broadcast(df) if seen["rows"] <= rows and (seen["size"] or 0) <= size else df
 
 
 def calendar_days(entries: DataFrame) -> DataFrame:

@@ -50,8 +50,7 @@ def close_runs(
         log.where(F.col(end).isNull())
         .groupBy(*keys)
         .agg(F.max(start).alias(start))
-        .join(counts.select(*keys, "row_count"), list(keys))
-        .withColumnRenamed("row_count", "_count")
+        .join(counts.groupBy(*keys).agg(F.max("row_count").alias("_count")), list(keys))
         .withColumn("_close", F.lit(True))
     )
     rows = log.join(latest, [*keys, start], "left")

@@ -61,7 +61,9 @@ def landing_report(
         for row in files.where(~F.col("has_records")).select("path").toLocalIterator()
     ]
     failures = spark.createDataFrame([e for e in errors if e[1]], "path string, error string")
-    qualified = expected.withColumn("path", _qualified(spark, "path"))
+    qualified = expected.withColumn("path", _qualified("path"))
+    if "periodicidad" in expected.columns:
+        qualified = qualified.withColumn("periodicidad", F.lower(F.coalesce("periodicidad", F.lit("esporádica"))))
     report = (
         expected_files(qualified, files.join(failures, "path", "left"))
         .withColumn("exists", F.col("file_path").isNotNull())
@@ -76,7 +78,7 @@ def landing_report(
     return report
 
 
-def _qualified(spark: SparkSession, path: str):
+def _qualified(path: str):
     """Local paths as the file listing writes them."""
     c = F.regexp_replace(F.col(path), r"/+\z", "")
     return F.when(c.startswith("/"), F.concat(F.lit("file:"), c)).otherwise(F.regexp_replace(c, r"\Afile:/+", "file:/"))

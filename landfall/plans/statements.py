@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import DATE_PLACEHOLDER, all_equal, base_name, ddl_table, render
 from ..functions.dates import normal_period
 from ..operators import natural_order
-from ..sinks import export_rows, full_refresh, purge_table, quoted, results_frame
+from ..sinks import export_rows, full_refresh, purge_table, quoted, results_frame, write_document
 from ..sinks.files import slug
 from ..sources import read_texts
 
@@ -41,19 +43,24 @@ def run_sql(spark: SparkSession, text: str, dry_run: bool = False) -> str | None
     """
     if "${" in text:
         raise ValueError("the statement holds a placeholder without a value")
-    text = text.strip().rstrip(";").rstrip()
-    several = ";" in text
-    if dry_run:
-        if several:
+    text = text.strip()
+    try:
+        result = spark.sql(f"EXPLAIN {text}" if dry_run else text)
+    except ParseException:
+        # Nothing has run yet. Text of several statements parses as a script only.
+        if ";" not in text:
+            raise
+        if dry_run:
             return "several statements, not checked"
-        plan = "\n".join(row[0] for row in spark.sql(f"EXPLAIN {text}").collect())
+        try:
+            result = spark.sql(f"BEGIN\n{text}\nEND")
+        except ParseException:
+            result = spark.sql(f"BEGIN\n{text}\n;\nEND")
+    if dry_run:
+        plan = "\n".join(row[0] for row in result.collect())
         if plan.startswith("Error occurred during query planning"):
             raise ValueError(plan.split("\n", 1)[1])
-        return None
-    if several and not text[:5].upper() == "BEGIN":
-        text = f"BEGIN\n{text};\nEND"
-    result = spark.sql(text)
-    if result.columns:
+    elif result.columns:
         # A plain query does nothing until its rows are asked for.
         result.write.format("noop").mode("overwrite").save()
     return None
@@ -231,10 +238,12 @@ def period_day(day: str, periodicity: str) -> str:
 def export_query(
     spark: SparkSession, query: str, day: str, periodicity: str, file: str, root: str
 ) -> dict[str, str]:
-    """Export a query's rows to the folder of their period and say where they are."""
+    """Export a query's rows to the folder of their period, and write down the query and where its rows are."""
     if not query or not day or not file or not periodicity:
         raise ValueError("query, date, file and periodicity are needed")
     if "${" in query:
         raise ValueError("the query holds a placeholder without a value")
     path = export_rows(spark.sql(query), root, file, period_day(day, periodicity))
-    return {"query": query, "output_path": path, "params_file": f"jobs-params/{slug(file)}.json"}
+    request = json.dumps({"query": query, "output_path": path}, indent=4)
+    params = write_document(spark, request, f"{root.rstrip('/')}/jobs-params/{slug(file)}.json")
+    return {"query": query, "output_path": path, "params_path": params}

@@ -205,26 +205,28 @@ def test_landing_report(spark, tmp_path):
 def test_scripts(spark, schema, tmp_path):
     folder = tmp_path / "sql" / "proc"
     write(folder / "10_c.sql", f"INSERT INTO {schema}.t SELECT max(a) + 1, '${{fecha_param}}' FROM {schema}.t")
-    write(folder / "2_b.sql", f"INSERT INTO {schema}.t VALUES (1, 'a;b'); INSERT INTO {schema}.t VALUES (2, 'x');")
+    write(folder / "2_b.sql", f"INSERT INTO {schema}.t VALUES (1, 'a;b'); INSERT INTO {schema}.t VALUES (2, 'x'); -- end")
     write(folder / "001_a.SQL", f"CREATE TABLE {schema}.t (a INT, b STRING) USING parquet;\n")
     write(folder / "3_bad.sql", "SELECT * FROM nowhere")
     write(folder / "4_empty.sql", " \n")
+    write(folder / "6_one.sql", f"INSERT INTO {schema}.t VALUES (2, 'y;z')")
     write(folder / "5_unfilled.sql", "SELECT '${other}'")
     write(tmp_path / "sql" / "process2" / "1.sql", "SELECT 1")
     results = P.run_script_folder(spark, f"{tmp_path}/sql", "proc", variables={"fecha_param": "2024-01-01"})
     rows = results.collect()
     assert [(r["file"], r["status"]) for r in rows] == [
         ("001_a.SQL", "done"), ("2_b.sql", "done"), ("3_bad.sql", "error"), ("4_empty.sql", "skipped"),
-        ("5_unfilled.sql", "error"), ("10_c.sql", "done"),
+        ("5_unfilled.sql", "error"), ("6_one.sql", "done"), ("10_c.sql", "done"),
     ]
-    assert rows_of(spark.table(f"{schema}.t")) == [(1, "a;b"), (2, "x"), (3, "2024-01-01")]
+    assert rows_of(spark.table(f"{schema}.t")) == [(1, "a;b"), (2, "x"), (2, "y;z"), (3, "2024-01-01")]
     K.write_results(results, f"{tmp_path}/sql/proc/_logs", P.step_line())
     lines = [r[0] for r in spark.read.text(f"{tmp_path}/sql/proc/_logs/text").collect()]
     assert "[OK] 001_a.SQL" in lines and "[SKIP] 4_empty.sql -> empty file" in lines
-    assert spark.read.json(f"{tmp_path}/sql/proc/_logs/json").count() == 6
+    assert spark.read.json(f"{tmp_path}/sql/proc/_logs/json").count() == 7
     dry = P.run_script_folder(spark, f"{tmp_path}/sql", "proc", dry_run=True, variables={"fecha_param": "2024-01-01"})
-    assert [r["status"] for r in dry.collect()] == ["dry-run", "dry-run", "error", "skipped", "error", "dry-run"]
-    assert spark.table(f"{schema}.t").count() == 3
+    assert [r["status"] for r in dry.collect()] == ["dry-run", "dry-run", "error", "skipped", "error", "dry-run", "dry-run"]
+    assert [r["reason"] for r in dry.where("status = 'dry-run'").collect()].count("several statements, not checked") == 1
+    assert spark.table(f"{schema}.t").count() == 4
     with pytest.raises(Exception):
         P.run_script_folder(spark, f"{tmp_path}/sql", "nobody")
 
@@ -315,7 +317,9 @@ def test_documents_and_schema(spark, tmp_path):
 def test_export_query(spark, tmp_path):
     result = P.export_query(spark, "SELECT 1 AS a", "05-03-2024", "mensual", "DIM_P.parquet", str(tmp_path))
     assert result["output_path"] == f"{tmp_path}/files/DIM_P/periodo_dia=2024-03-01"
-    assert result["params_file"] == "jobs-params/dim-p.json"
+    assert result["params_path"] == f"{tmp_path}/jobs-params/dim-p.json"
+    written = json.loads(spark.read.text(result["params_path"], wholetext=True).first()[0])
+    assert written == {"query": "SELECT 1 AS a", "output_path": result["output_path"]}
     assert spark.read.parquet(result["output_path"]).first()["a"] == 1
     for day, period, reason in (("2024-03-05", "mensual", "bad date"), ("05-03-2024", "anual", "bad periodicity")):
         with pytest.raises(ValueError, match=reason):

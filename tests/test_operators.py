@@ -69,6 +69,8 @@ def test_close_runs(spark):
     again = O.close_runs(closed, counts, L.load_stamp("2024-02-02 12:00:00"))
     assert again.exceptAll(closed).count() == 1 and again.where("end_process IS NULL").count() == 1
     assert "Window" not in plan(closed)
+    # Counting a table twice must not double its runs.
+    assert O.close_runs(log, counts.unionByName(counts), F.lit(str(stamp))).count() == log.count()
 
 
 def test_stamp_nulls(spark):
@@ -148,6 +150,7 @@ def test_due_schedules_reasons(spark):
 
 def test_small_side_is_counted(spark):
     assert "broadcast" in O.small_side(spark.range(5))._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in O.small_side(spark.range(5), size=20)._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in O.small_side(spark.range(5), rows=4)._jdf.queryExecution().analyzed().toString().lower()
 
 
