@@ -82,10 +82,11 @@ def period_values(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataF
 
     Values are made distinct with partial aggregation before they are counted. Text is taken as it is.
     """
-    kind = df.schema[column].dataType.typeName()
-    text = F.col(column) if kind == "string" else F.date_format(F.col(column), "yyyy-MM-dd")
-    distinct = df.select(*keys, text.alias("_period")).distinct()
-    return distinct.groupBy(*keys).agg(F.min("_period").alias("period"), F.count("_period").alias("periods"))
+    is_text = df.schema[column].dataType.typeName() == "string"
+    value = F.col(column) if is_text else F.to_date(F.col(column))
+    distinct = df.select(*keys, value.alias("_period")).distinct()
+    smallest = F.min("_period") if is_text else F.date_format(F.min("_period"), "yyyy-MM-dd")
+    return distinct.groupBy(*keys).agg(smallest.alias("period"), F.count("_period").alias("periods"))
 
 
 def files_with_counts(catalog: DataFrame, counts: DataFrame) -> DataFrame:

@@ -199,10 +199,10 @@ def landing_report(t):
     kinds = t.events.select(F.concat(F.lit(f"{root}/event_type="), "event_type").alias("path")).distinct()
     absent = f"{root}/absent"
     t.events.where(F.lit(False)).write.parquet(absent)
-    old = now + dt.timedelta(days=1)
     expected = kinds.withColumn("periodicidad", F.lit("diaria"))
     report = P.landing_report(t.spark, expected, now)
-    late = P.landing_report(t.spark, expected.limit(1).withColumn("path", F.lit(absent)), old)
+    unfilled = t.events.agg(F.lit(absent).alias("path"), F.lit("diaria").alias("periodicidad"))
+    late = P.landing_report(t.spark, unfilled, now + dt.timedelta(days=1))
     return (
         report.unionByName(late)
         .groupBy(L.base_name("path").alias("folder"))
@@ -340,3 +340,18 @@ def render_scripts(t):
         t.nation.select(F.lit("other").alias("name"), F.col("n_name").alias("value"))
     )
     return P.render_scripts(texts, variables).select(F.col("file").alias("source"), "body", "changed")
+
+
+@query("""
+SELECT event_type AS name, CASE WHEN max(value) > 50 THEN 'NUMERIC' ELSE 'STRING' END AS type, 'NULLABLE' AS mode
+FROM events GROUP BY event_type""")
+def publish_schema(t):
+    # A schema has one field per event type.
+    fields = t.events.groupBy(F.col("event_type").alias("name")).agg(
+        F.when(F.max("value") > 50, "NUMERIC").otherwise("STRING").alias("type"), F.lit("NULLABLE").alias("mode")
+    )
+    params = F.collect_list(F.struct("name", "type", "mode"))
+    schemas = fields.agg(F.lit("p").alias("process_name"), params.alias("params"))
+    path = P.publish_schema(t.spark, schemas, "p", t.scratch("schemas"))
+    document = t.spark.read.text(path, wholetext=True)
+    return document.select(F.inline(F.from_json("value", "array<struct<name:string,type:string,mode:string>>")))

@@ -51,6 +51,12 @@ def keyed_counts(t):
     )
 
 
+@query("SELECT event_id, user_id FROM events WHERE value < 20")
+def open_rows(t):
+    log = t.events.withColumn("end", F.when(F.col("value") >= 20, F.col("ts")))
+    return log.where(L.is_open("end")).select("event_id", "user_id")
+
+
 @query("""
 SELECT user_id, event_type, max(CASE WHEN value < 20 THEN ts END) AS latest_start
 FROM events GROUP BY user_id, event_type""")

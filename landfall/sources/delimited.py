@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import scratch_path
@@ -16,14 +16,25 @@ def _odd_quotes(value: Column) -> Column:
     return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether some line has an odd number of quotes.
+def quoting(spark: SparkSession, path: str) -> Row:
+    """One scan of the text, without parsing: ``newlines``, ``open`` and the marks it ``holds``.
 
     A record that spans lines opens a quote it does not close on its first line. When every line has an even
-    count no record spans lines, so the file can be split among tasks. The test is a text scan without
-    parsing, spread over all splits, that stops at the first hit.
+    count of quotes no record spans lines, so the file can be split among tasks. An odd number of odd lines leaves
+    a quote open.
     """
-    return not spark.read.text(path).where(_odd_quotes(F.col("value")) == 1).isEmpty()
+    value = F.col("value")
+    files = (
+        spark.read.text(path)
+        .groupBy(F.col("_metadata.file_path"))
+        .agg(F.sum(_odd_quotes(value)).alias("odd"), *(F.bool_or(value.contains(m)).alias(f"m{i}") for i, m in enumerate(_MARKS)))
+    )
+    holds = F.array_compact(F.array(*(F.when(F.bool_or(f"m{i}"), F.lit(m)) for i, m in enumerate(_MARKS))))
+    return files.agg(
+        F.coalesce(F.bool_or(F.col("odd") > 0), F.lit(False)).alias("newlines"),
+        F.coalesce(F.bool_or(F.col("odd") % 2 == 1), F.lit(False)).alias("open"),
+        holds.alias("holds"),
+    ).first()
 
 
 def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> DataFrame:
@@ -65,7 +76,7 @@ def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> D
     parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
     several = (
         placed.where(~alone)
-        .groupBy("file", F.floor(F.col("before") / 2).alias("record"))
+        .groupBy("file", F.shiftright("before", 1).alias("record"))
         .agg(F.bool_or("first").alias("first"), F.transform(parts, lambda p: p["value"]).alias("values"))
         .where(kept)
         .select(F.array_join("values", mark).alias("value"))
@@ -73,29 +84,26 @@ def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> D
     return single.unionByName(several).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
 
 
-def _has_open_quote(spark: SparkSession, path: str) -> bool:
-    odd = spark.read.option("lineSep", "\n").text(path).groupBy(F.col("_metadata.file_path")).agg(
-        (F.sum(_odd_quotes(F.col("value"))) % 2).alias("odd")
-    )
-    return not odd.where("odd = 1").isEmpty()
-
+def _rewrite_on_lines(
+    spark: SparkSession, path: str, options: dict[str, str], header: bool, found: Row
+) -> tuple[str, str, list[str]]:
+    """Write the records to the scratch folder with one line and all columns each.
 
-def _rewrite_on_lines(spark: SparkSession, path: str, options: dict[str, str], header: bool) -> tuple[str, str]:
-    """Write the records to the scratch folder with one line and all columns each. Returns the folder and the mark."""
-    if _has_open_quote(spark, path):
+    Returns the folder, the mark that stands for a newline, and the column names, which may hold newlines too.
+    """
+    if found["open"]:
         raise ValueError(f"a quoted field of {path} is never closed")
-    text = spark.read.option("lineSep", "\n").text(path)
-    mark = next((m for m in _MARKS if text.where(F.col("value").contains(m)).isEmpty()), None)
+    mark = next((m for m in _MARKS if m not in found["holds"]), None)
     if mark is None:
         raise ValueError(f"{path} holds every character that could stand for a newline")
     names = spark.read.options(**options, header=str(header).lower(), multiLine="true").csv(path).columns
-    columns = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in [*names, _OVERFLOW])
+    columns = ", ".join([*(f"_c{i} STRING" for i in range(len(names))), f"{_OVERFLOW} STRING"])
     records = joined_records(spark, path, header, mark).where(F.trim("value") != "")
     folder = scratch_path(spark, "csv")
     records.select(F.from_csv("value", columns, options).alias("_r")).select("_r.*").write.options(
         **options, header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(folder)
-    return folder, mark
+    return folder, mark, names
 
 
 def read_csv(
@@ -104,7 +112,7 @@ def read_csv(
     delimiter: str = ",",
     header: bool = True,
     schema: StructType | None = None,
-    quoted_newlines: bool | None = None,
+    quoted_newlines: bool = True,
 ) -> DataFrame:
     """A scan of UTF-8 CSV with inferred or given types.
 
@@ -114,19 +122,20 @@ def read_csv(
 
     Spark can split a CSV file only if no field holds a newline. Where some do, the records are first
     rewritten to the scratch folder with a stand-in for those newlines, and then read like any others.
-    ``quoted_newlines`` says whether there are any, which saves the scan that looks for them.
+    Without ``quoted_newlines`` there are none, which saves the scan that looks for them.
     """
     options = {"sep": delimiter, "quote": '"', "escape": '"'}
     mark = None
     reading = {**options, "header": str(header).lower()}
-    if quoted_newlines is None:
-        quoted_newlines = has_quoted_newlines(spark, path)
-    if quoted_newlines:
-        path, mark = _rewrite_on_lines(spark, path, options, header)
+    found = quoting(spark, path) if quoted_newlines else None
+    if found and found["newlines"]:
+        path, mark, names = _rewrite_on_lines(spark, path, options, header, found)
         reading.update(header="true", lineSep="\n")
     if schema is None:
-        found = spark.read.options(**reading, inferSchema="true").csv(path).schema
-        schema = StructType([f for f in found.fields if f.name != _OVERFLOW])
+        inferred = spark.read.options(**reading, inferSchema="true").csv(path).schema
+        schema = inferred if mark is None else StructType(
+            [StructField(name, f.dataType) for name, f in zip(names, inferred.fields)]
+        )
     wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
     rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     message = F.concat(F.lit("row has too many fields, the first extra one is: "), F.col(_OVERFLOW))

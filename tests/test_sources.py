@@ -76,6 +76,18 @@ def test_csv_with_newlines_in_fields(spark, tmp_path, end, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_csv_marks_that_the_data_holds(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b\n1,"x\ny\u0001"\n')
+    assert S.quoting(spark, path)["holds"] == ["\u0001"]
+    assert [tuple(r) for r in S.read_csv(spark, path).collect()] == [(1, "x\ny\u0001")]
+
+
+def test_csv_header_over_two_lines_and_no_rows(spark, tmp_path):
+    path = write(tmp_path / "a.csv", '"a\nb",c\n')
+    frame = S.read_csv(spark, path)
+    assert len(frame.columns) == 2 and frame.isEmpty()
+
+
 def test_csv_open_quote(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,"x\n2,y\n')
     with pytest.raises(ValueError, match="never closed"):
@@ -84,9 +96,11 @@ def test_csv_open_quote(spark, tmp_path):
 
 def test_csv_splits_files_without_quoted_newlines(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,"x, y"\n')
-    assert not S.has_quoted_newlines(spark, path)
+    assert not S.quoting(spark, path)["newlines"]
     write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n')
-    assert S.has_quoted_newlines(spark, str(tmp_path))
+    found = S.quoting(spark, str(tmp_path))
+    assert found["newlines"] and not found["open"] and found["holds"] == []
+    assert sorted(map(tuple, S.read_csv(spark, path, quoted_newlines=False).collect())) == [(1, "x, y")]
 
 
 def test_file_catalog(spark, tmp_path):
