@@ -9,12 +9,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from ..functions import load_stamp, name_match
+from ..functions import load_stamp, name_match, on_date
 from ..functions.dates import normal_period
 from ..functions.text import TRUE_WORDS
-from ..operators import newest_path, open_runs, raw_schema, stamp_nulls, string_projection
+from ..operators import newest_path, open_runs, purge, raw_schema, stamp_nulls, string_projection
 from ..sinks import (
-    add_table_column, append_rows, ensure_table, full_refresh, purge_table, rewrite, write_parquet,
+    add_table_column, append_rows, ensure_table, fitted, full_refresh, partition_columns, purge_table, rewrite,
+    write_parquet,
 )
 from ..sources import file_catalog, flatten_documents, read_csv, read_documents, read_parquet
 
@@ -109,12 +110,22 @@ def reload_date(
 ) -> None:
     """Purge the date and append its rows, so that a repeated load leaves the same table.
 
-    A sporadic load, or one without a column or date, replaces the whole table. ``rows`` must not read the table.
+    A sporadic load, or one without a column or date, replaces the whole table. An unpartitioned table gets one new version
+    without the old rows and with the new ones, a partitioned one is purged and then appended to. ``rows`` must not
+    read the table.
     """
     if sporadic or not date_column or not day:
         full_refresh(spark, table, ddl)
-    else:
+    elif partition_columns(spark, table):
         purge_table(spark, table, date_column, day)
+    else:
+        fresh = fitted(spark, rows, table)
+        done = rewrite(
+            spark, table, on_date(date_column, day),
+            lambda df: purge(df, date_column, day).unionByName(fresh),
+        )
+        if done["changed"]:
+            return
     append_rows(spark, rows, table)
 
 

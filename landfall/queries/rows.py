@@ -214,9 +214,10 @@ def expected_found(t):
 
 
 @query("""
-SELECT DISTINCT lang, source, regexp_extract(source, '^([a-z]+)', 1) || chr(1) || lpad(cast(length(cast(cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR)) - CASE WHEN cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) = 0 THEN 1 ELSE 0 END AS VARCHAR), 9, '0')
-  || CASE WHEN cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) = 0 THEN '' ELSE cast(cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR) END || chr(1) AS sort_key
-FROM documents""")
+WITH s AS (SELECT DISTINCT lang, source, cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS n FROM documents),
+     k AS (SELECT *, CASE WHEN n = 0 THEN '' ELSE cast(n AS VARCHAR) END AS digits FROM s)
+SELECT lang, source, 'src' || chr(1) || lpad(cast(length(digits) AS VARCHAR), 9, '0') || digits || chr(1) AS sort_key
+FROM k""")
 def natural_order(t):
     names = t.documents.select("lang", "source").distinct()
     return O.natural_order(names, "source", "lang").withColumn("sort_key", O.natural_key("source"))

@@ -4,6 +4,6 @@ from .files import (
     archive_rows, export_folder, export_rows, results_frame, write_document, write_parquet, write_results,
 )
 from .tables import (
-    add_table_column, align, append_rows, day_columns, empty_table, ensure_table, full_refresh, location,
+    add_table_column, align, append_rows, day_columns, empty_table, ensure_table, fitted, full_refresh, location,
     partition_columns, properties, purge_table, quoted, replace_rows, rewrite, table_on_date,
 )

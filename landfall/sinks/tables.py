@@ -116,7 +116,8 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def _for_target(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+def fitted(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    """The frame as the table takes it: by name, with its day column, required values checked."""
     target = spark.table(quoted(table)).schema
     props = properties(spark, table)
     for source, day in day_columns(spark, table).items():
@@ -145,12 +146,12 @@ def _overwriting(spark: SparkSession, mode: str):
 
 def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append by column name."""
-    _for_target(spark, df, table).write.mode("append").insertInto(quoted(table))
+    fitted(spark, df, table).write.mode("append").insertInto(quoted(table))
 
 
 def replace_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Replace everything the table holds. The frame must not read the table."""
-    rows = _for_target(spark, df, table)
+    rows = fitted(spark, df, table)
     with _overwriting(spark, "static"):
         rows.write.mode("overwrite").insertInto(quoted(table))
 

@@ -142,15 +142,20 @@ def test_day_partition_prunes(spark, schema):
     assert rows_of(spark.sql(f"SHOW PARTITIONS {table}")) == [(f"ts_day=2024-01-0{i}",) for i in range(1, 5)]
 
 
-def test_reload_twice_equals_once(spark, schema):
+@pytest.mark.parametrize("by", [None, "ts"])
+def test_reload_twice_equals_once(spark, schema, by):
     table, frame = f"{schema}.t", spark.sql(EVENTS)
-    K.ensure_table(spark, table, frame.schema, "ts")
+    K.ensure_table(spark, table, frame.schema, by)
     K.append_rows(spark, frame, table)
     fresh = frame.where("DATE(ts) = '2024-01-03'").withColumn("k", F.lit(9).cast("bigint"))
     P.reload_date(spark, table, fresh, "ts", "2024-01-03")
     once = rows_of(spark.table(table))
     P.reload_date(spark, table, fresh, "ts", "2024-01-03")
     assert rows_of(spark.table(table)) == once and len(once) == 40
+    # A date that the table does not hold is simply added.
+    other = frame.where("id = 0").withColumn("ts", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    P.reload_date(spark, table, other, "ts", "2025-01-01")
+    assert spark.table(table).count() == 41
 
 
 def test_full_refresh(spark, schema, tmp_path):
