@@ -14,7 +14,7 @@ from ..operators import (
     close_runs, expected_files, files_with_counts, row_count,
 )
 from ..sinks import quoted, results_frame, rewrite, table_on_date
-from ..sources import file_catalog, parquet_row_counts, path_exists
+from ..sources import file_catalog, parquet_row_counts, path_exists, qualified_path
 
 # The control tables that a process must be registered in, by archetype type.
 REQUIRED_TABLES = {
@@ -46,8 +46,9 @@ def landing_report(
     files without a count are opened one by one, to tell an empty file from one that cannot be read. ``strict``
     raises an error when some path has no recent file.
     """
-    roots = [row["path"].rstrip("/") for row in expected.select("path").distinct().toLocalIterator()]
-    roots = [root for root in roots if path_exists(spark, root)]
+    named = [row["path"] for row in expected.select("path").distinct().toLocalIterator()]
+    folders = {path: qualified_path(spark, path) for path in named}
+    roots = sorted(root for root in set(folders.values()) if path_exists(spark, root))
     since = now - dt.timedelta(minutes=minutes)
     if roots:
         catalog = file_catalog(spark, *roots, since=since).where(
@@ -61,15 +62,15 @@ def landing_report(
         for row in files.where(~F.col("has_records")).select("path").toLocalIterator()
     ]
     failures = spark.createDataFrame([e for e in errors if e[1]], "path string, error string")
-    qualified = expected.withColumn("path", _qualified("path"))
+    wanted = expected.join(spark.createDataFrame(list(folders.items()), "path string, _folder_path string"), "path")
     if "periodicidad" in expected.columns:
-        qualified = qualified.withColumn("periodicidad", F.lower(F.coalesce("periodicidad", F.lit("esporádica"))))
+        wanted = wanted.withColumn("periodicidad", F.lower(F.coalesce("periodicidad", F.lit("esporádica"))))
     report = (
-        expected_files(qualified, files.join(failures, "path", "left"))
+        expected_files(wanted, files.join(failures, "path", "left"), path="_folder_path")
         .withColumn("exists", F.col("file_path").isNotNull())
         .withColumn("has_records", F.coalesce("has_records", F.lit(False)))
         .withColumn("error", F.when(~F.col("exists"), F.lit("no recent file")).otherwise(F.col("error")))
-        .drop("modified", "length")
+        .drop("modified", "length", "_folder_path")
     )
     if strict:
         absent = [row["path"] for row in report.where(~F.col("exists")).toLocalIterator()]
@@ -78,12 +79,6 @@ def landing_report(
     return report
 
 
-def _qualified(path: str):
-    """Local paths as the file listing writes them."""
-    c = F.regexp_replace(F.col(path), r"/+\z", "")
-    return F.when(c.startswith("/"), F.concat(F.lit("file:"), c)).otherwise(F.regexp_replace(c, r"\Afile:/+", "file:/"))
-
-
 def table_counts(spark: SparkSession, entries: Iterable[Mapping[str, str]]) -> list[dict]:
     """Row count of each configured table, on its date unless it is sporadic. All counts run as one job."""
     results, frames = [], []
@@ -167,3 +162,12 @@ def completeness(
         every = reduce(lambda a, b: a & b, (F.col(t) > 0 for t in tables))
         ok = F.when(F.col("arquetipo_type") == kind, every).otherwise(ok)
     return result.withColumn("status", F.when(ok, F.lit("ok")).otherwise(F.lit("fail")))
+
+
+def completeness_line():
+    """Text line of a completeness result."""
+    counts = [F.concat(F.lit(f" {name}="), F.col(name)) for name in REQUIRED_TABLES["cleansed"]]
+    return F.concat(
+        F.lit("[VALIDATION] proc="), F.col("process_name"), F.lit(" type="), F.col("arquetipo_type"), *counts,
+        F.lit(" status: "), F.col("status"),
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import DATE_PLACEHOLDER, all_equal, base_name, ddl_table, render
 from ..functions.dates import normal_period
-from ..operators import natural_order
+from ..operators import natural_order, outcome
 from ..sinks import export_rows, full_refresh, purge_table, quoted, results_frame, write_document
 from ..sinks.files import slug
 from ..sources import read_texts
@@ -109,6 +109,12 @@ def step_line():
     )
 
 
+def summary(results: DataFrame) -> DataFrame:
+    """``processed`` and ``succeeded`` counts of step results, and ``status`` ``ok`` or ``partial``."""
+    status = F.lower("status")
+    return outcome(results, status == "error", ~status.isin("error", "skipped"))
+
+
 def render_scripts(
     texts: DataFrame, variables: DataFrame, allowed: Sequence[str] = TEMPLATE_NAMES
 ) -> DataFrame:

@@ -2,5 +2,5 @@
 
 from .delimited import joined_records, quoting, read_csv
 from .documents import calendar_entries, flatten_documents, missing_fields, read_calendar, read_documents
-from .files import file_catalog, parquet_row_counts, path_exists, read_parquet, read_texts
+from .files import file_catalog, parquet_row_counts, path_exists, qualified_path, read_parquet, read_texts
 from .params import each_entry, explode_params, first_entry, parse_entries, process_entries, rejected_params

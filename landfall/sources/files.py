@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop_path)
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host, as file listings write it."""
+    system, hadoop_path = _hadoop(spark, path)
+    return system.makeQualified(hadoop_path).toString()
+
+
 def _plain(path: Column) -> Column:
     """A path as readers take it, from the encoded form of file metadata."""
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))

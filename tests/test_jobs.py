@@ -193,7 +193,7 @@ def test_landing_report(spark, tmp_path):
     write(tmp_path / "full" / "y.txt", "x")
     paths = [(f"{tmp_path}/{name}", "diaria") for name in ("full", "empty/", "bad", "zero", "a b+c%d", "old", "missing")]
     expected = spark.createDataFrame(paths, "path string, periodicidad string")
-    report = {os.path.basename(r["path"]): r for r in P.landing_report(spark, expected, now).collect()}
+    report = {os.path.basename(r["path"].rstrip("/")): r for r in P.landing_report(spark, expected, now).collect()}
     assert (report["full"]["exists"], report["full"]["has_records"], report["full"]["row_count"]) == (True, True, 3)
     assert (report["empty"]["exists"], report["empty"]["has_records"], report["empty"]["error"]) == (True, False, None)
     for name in ("bad", "zero"):
@@ -224,6 +224,7 @@ def test_scripts(spark, schema, tmp_path):
         ("5_unfilled.sql", "error"), ("6_one.sql", "done"), ("10_c.sql", "done"),
     ]
     assert rows_of(spark.table(f"{schema}.t")) == [(1, "a;b"), (2, "x"), (2, "y;z"), (3, "2024-01-01")]
+    assert tuple(P.summary(results).first()) == (7, 4, "partial")
     K.write_results(results, f"{tmp_path}/sql/proc/_logs", P.step_line())
     lines = [r[0] for r in spark.read.text(f"{tmp_path}/sql/proc/_logs/text").collect()]
     assert "[OK] 001_a.SQL" in lines and "[SKIP] 4_empty.sql -> empty file" in lines
@@ -346,5 +347,7 @@ def test_completeness(spark):
         requests, spark.sql(one + "'a' AS arquetype_name"), spark.sql(one + "'ze' AS zone_name"),
         spark.sql(one + "'zd' AS zone_name"), spark.sql(one + "'other' AS table_type"),
     )
+    lines = {r[0] for r in result.select(P.completeness_line()).collect()}
+    assert "[VALIDATION] proc=p type=raw process_params=1 process_email=1 process_ddl=1 process_insert=0 status: ok" in lines
     found = rows_of(result.select("arquetipo_type", "arquetype_name", "status"))
     assert found == [("cleansed", "a", "fail"), ("raw", "a", "ok"), ("raw", "b", "fail"), ("x", "a", "fail")]
