@@ -44,12 +44,23 @@ def _events_table(t: Tables, partition: str | None = None) -> str:
     return table
 
 
-@query("""
-SELECT cast(doc_id AS INTEGER) AS doc_id, text, lang, source FROM documents""")
+_DOCUMENTS = "SELECT cast(doc_id AS INTEGER) AS doc_id, text, lang, source FROM documents"
+
+
+def _documents_csv(t: Tables) -> str:
+    """All documents as CSV; the texts hold newlines, quotes and delimiters."""
+    return _write_csv(t.documents.select("doc_id", "text", "lang", "source"), t.scratch("csv"), sep=";")
+
+
+@query(_DOCUMENTS)
 def csv_roundtrip(t):
-    # The texts hold newlines, quotes and delimiters.
-    path = _write_csv(t.documents.select("doc_id", "text", "lang", "source"), t.scratch("csv"), sep=";")
-    return S.read_csv(t.spark, path, delimiter=";")
+    return S.read_csv(t.spark, _documents_csv(t), delimiter=";")
+
+
+@query(_DOCUMENTS)
+def csv_split_within_records(t):
+    # As if the files were too large for one task each.
+    return S.read_csv(t.spark, _documents_csv(t), delimiter=";", whole_file_bytes=0)
 
 
 @query("""

@@ -12,29 +12,41 @@ _OVERFLOW = "_overflow"
 # Stand-ins for a newline within a field; the first one that the data does not hold is used.
 _MARKS = ("\u0001", "\u0002", "\u0003", "\u0004", "\u0005")
 
+# Files of up to this size may be parsed by one task each.
+WHOLE_FILE_BYTES = 1 << 27
+
+
 def _odd_quotes(value: Column) -> Column:
-    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2
+    return (F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))) % 2
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(path)
 
 
 def quoting(spark: SparkSession, path: str) -> Row:
-    """One scan of the text, without parsing: ``newlines``, ``open`` and the marks it ``holds``.
+    """One scan of the text, without parsing: ``newlines``, ``open``, ``returns``, ``largest``.
 
     A record that spans lines opens a quote it does not close on its first line. When every line has an even
     count of quotes no record spans lines, so the file can be split among tasks. An odd number of odd lines leaves
-    a quote open.
+    a quote open. ``returns`` says whether there are carriage returns, ``largest`` is the size of the largest file.
     """
     value = F.col("value")
+    odd = _odd_quotes(value)
+    # A reader takes a lone carriage return for the end of a line, too.
+    inner = F.regexp_replace(value, r"\r\z", "").contains("\r")
+    broken = F.when(inner, F.exists(F.split(value, "\r"), lambda part: _odd_quotes(part) == 1)).otherwise(odd == 1)
     files = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path"))
-        .agg(F.sum(_odd_quotes(value)).alias("odd"), *(F.bool_or(value.contains(m)).alias(f"m{i}") for i, m in enumerate(_MARKS)))
+        _lines(spark, path)
+        .groupBy(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size"))
+        .agg(
+            F.bool_or(broken).alias("newlines"),
+            (F.sum(odd) % 2 == 1).alias("open"),
+            F.bool_or(value.contains("\r")).alias("returns"),
+        )
     )
-    holds = F.array_compact(F.array(*(F.when(F.bool_or(f"m{i}"), F.lit(m)) for i, m in enumerate(_MARKS))))
-    return files.agg(
-        F.coalesce(F.bool_or(F.col("odd") > 0), F.lit(False)).alias("newlines"),
-        F.coalesce(F.bool_or(F.col("odd") % 2 == 1), F.lit(False)).alias("open"),
-        holds.alias("holds"),
-    ).first()
+    flags = (F.coalesce(F.bool_or(name), F.lit(False)).alias(name) for name in ("newlines", "open", "returns"))
+    return files.agg(*flags, F.max("size").alias("largest")).first()
 
 
 def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> DataFrame:
@@ -45,16 +57,12 @@ def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> D
     record of its own when an even count comes before it and its own quotes pair up, otherwise it belongs to the
     record numbered by half that count. Only the lines of such records are grouped.
     """
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            _odd_quotes(F.col("value")).alias("odd"),
-        )
+    lines = _lines(spark, path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        _odd_quotes(F.col("value")).alias("odd"),
     )
     # One row per split.
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,15 +93,14 @@ def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> D
 
 
 def _rewrite_on_lines(
-    spark: SparkSession, path: str, options: dict[str, str], header: bool, found: Row
+    spark: SparkSession, path: str, options: dict[str, str], header: bool
 ) -> tuple[str, str, list[str]]:
     """Write the records to the scratch folder with one line and all columns each.
 
     Returns the folder, the mark that stands for a newline, and the column names, which may hold newlines too.
     """
-    if found["open"]:
-        raise ValueError(f"a quoted field of {path} is never closed")
-    mark = next((m for m in _MARKS if m not in found["holds"]), None)
+    lines = _lines(spark, path)
+    mark = next((m for m in _MARKS if lines.where(F.col("value").contains(m)).isEmpty()), None)
     if mark is None:
         raise ValueError(f"{path} holds every character that could stand for a newline")
     names = spark.read.options(**options, header=str(header).lower(), multiLine="true").csv(path).columns
@@ -113,6 +120,7 @@ def read_csv(
     header: bool = True,
     schema: StructType | None = None,
     quoted_newlines: bool = True,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """A scan of UTF-8 CSV with inferred or given types.
 
@@ -120,17 +128,24 @@ def read_csv(
     fields than columns fails the query that reads it; the check is part of the scan, so a load that meets such
     a row writes nothing. With a given schema the data is read once, otherwise types need a pass of their own.
 
-    Spark can split a CSV file only if no field holds a newline. Where some do, the records are first
-    rewritten to the scratch folder with a stand-in for those newlines, and then read like any others.
-    Without ``quoted_newlines`` there are none, which saves the scan that looks for them.
+    Spark can split a CSV file only if no field holds a newline. Where some do, files of up to ``whole_file_bytes``
+    are parsed by a task each. Where one is larger, the records are first rewritten to the scratch folder with
+    a stand-in for those newlines, and then read like any others. So are files with carriage returns, because the
+    parser would drop those within fields. Without ``quoted_newlines`` there are none, which saves the scan that
+    looks for them.
     """
     options = {"sep": delimiter, "quote": '"', "escape": '"'}
     mark = None
     reading = {**options, "header": str(header).lower()}
     found = quoting(spark, path) if quoted_newlines else None
     if found and found["newlines"]:
-        path, mark, names = _rewrite_on_lines(spark, path, options, header, found)
-        reading.update(header="true", lineSep="\n")
+        if found["open"]:
+            raise ValueError(f"a quoted field of {path} is never closed")
+        if found["largest"] <= whole_file_bytes and not found["returns"]:
+            reading["multiLine"] = "true"
+        else:
+            path, mark, names = _rewrite_on_lines(spark, path, options, header)
+            reading.update(header="true", lineSep="\n")
     if schema is None:
         inferred = spark.read.options(**reading, inferSchema="true").csv(path).schema
         schema = inferred if mark is None else StructType(

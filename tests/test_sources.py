@@ -38,18 +38,20 @@ def test_csv_long_row_fails(spark, tmp_path):
     with pytest.raises(Exception, match="too many fields"):
         S.read_csv(spark, path).count()
     path = write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n3,4,5\n')
-    with pytest.raises(Exception, match="too many fields"):
-        S.read_csv(spark, path).collect()
+    for limit in (0, 100):
+        with pytest.raises(Exception, match="too many fields"):
+            S.read_csv(spark, path, whole_file_bytes=limit).collect()
 
 
 def test_csv_short_rows_and_newlines_without_header(spark, tmp_path):
     path = write(tmp_path / "a.csv", '1,"x\ny",2024-01-02\n2\n\n3,"p ""q"" ",\n')
-    rows = sorted(map(tuple, S.read_csv(spark, path, header=False).collect()))
-    assert rows == [(1, "x\ny", dt.date(2024, 1, 2)), (2, None, None), (3, 'p "q" ', None)]
+    for limit in (0, 100):
+        rows = sorted(map(tuple, S.read_csv(spark, path, header=False, whole_file_bytes=limit).collect()))
+        assert rows == [(1, "x\ny", dt.date(2024, 1, 2)), (2, None, None), (3, 'p "q" ', None)]
 
 
-def _quoted_rows(n):
-    fields = ["plain", "one\ntwo", "", 'q"\n"q', "a,b\r\nc", "\n\n\n", 'x"y', "end\n"]
+def _quoted_rows(n, returns):
+    fields = ["plain", "one\ntwo", "", 'q"\n"q', "a,b\nc", "\n\n\n", 'x"y', "end\n"] + ["r\r\nn", "l\rl"] * returns
     return [(i, fields[i % len(fields)], "t" * (i % 50)) for i in range(n)]
 
 
@@ -60,32 +62,34 @@ def _quoted_text(rows, end="\n"):
     return f"id,v,w{end}" + "".join(f"{i},{quote(v)},{w}{end}" for i, v, w in rows)
 
 
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("end, returns", [("\n", False), ("\n", True), ("\r\n", True)])
 @pytest.mark.parametrize("split", [64, 1 << 20])
-def test_csv_with_newlines_in_fields(spark, tmp_path, end, split):
-    rows = _quoted_rows(400)
+def test_csv_with_newlines_in_fields(spark, tmp_path, end, returns, split):
+    rows = _quoted_rows(400, returns)
     write(tmp_path / "in" / "a.csv", _quoted_text(rows[:250], end))
     write(tmp_path / "in" / "b.csv", _quoted_text(rows[250:], end))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
         expected = sorted((i, v or None, w or None) for i, v, w in rows)
-        frame = S.read_csv(spark, str(tmp_path / "in"))
-        assert sorted(map(tuple, frame.collect())) == expected
+        for limit in (0, 1 << 27):
+            frame = S.read_csv(spark, str(tmp_path / "in"), whole_file_bytes=limit)
+            assert [t for _, t in frame.dtypes] == ["int", "string", "string"]
+            assert sorted(map(tuple, frame.collect())) == expected
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_csv_marks_that_the_data_holds(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,"x\ny\u0001"\n')
-    assert S.quoting(spark, path)["holds"] == ["\u0001"]
-    assert [tuple(r) for r in S.read_csv(spark, path).collect()] == [(1, "x\ny\u0001")]
+    assert [tuple(r) for r in S.read_csv(spark, path, whole_file_bytes=0).collect()] == [(1, "x\ny\u0001")]
 
 
 def test_csv_header_over_two_lines_and_no_rows(spark, tmp_path):
     path = write(tmp_path / "a.csv", '"a\nb",c\n')
-    frame = S.read_csv(spark, path)
-    assert len(frame.columns) == 2 and frame.isEmpty()
+    for limit in (0, 100):
+        frame = S.read_csv(spark, path, whole_file_bytes=limit)
+        assert frame.columns == ["a\nb", "c"] and frame.isEmpty()
 
 
 def test_csv_open_quote(spark, tmp_path):
@@ -99,7 +103,12 @@ def test_csv_splits_files_without_quoted_newlines(spark, tmp_path):
     assert not S.quoting(spark, path)["newlines"]
     write(tmp_path / "b.csv", 'a,b\n1,"x\ny"\n')
     found = S.quoting(spark, str(tmp_path))
-    assert found["newlines"] and not found["open"] and found["holds"] == []
+    assert found["newlines"] and not found["open"] and not found["returns"] and found["largest"] == 13
+    write(tmp_path / "c.csv", 'a,b\r1,"x\ry"\r')
+    assert S.quoting(spark, str(tmp_path / "c.csv"))["newlines"]
+    path_of_lone_returns = write(tmp_path / "d.csv", 'a,b\r1,"xy"\r')
+    assert not S.quoting(spark, path_of_lone_returns)["newlines"]
+    assert [tuple(r) for r in S.read_csv(spark, path_of_lone_returns).collect()] == [(1, "xy")]
     assert sorted(map(tuple, S.read_csv(spark, path, quoted_newlines=False).collect())) == [(1, "x, y")]
 
 
