@@ -166,6 +166,7 @@ def completeness(
 
 def completeness_line():
     """Text line of a completeness result."""
+    # Fixed value: the tag of the line.
     counts = [F.concat(F.lit(f" {name}="), F.col(name)) for name in REQUIRED_TABLES["cleansed"]]
     return F.concat(
         F.lit("[VALIDATION] proc="), F.col("process_name"), F.lit(" type="), F.col("arquetipo_type"), *counts,

@@ -100,6 +100,7 @@ def run_script_folder(spark: SparkSession, folder: str, process_name: str, **opt
 
 def step_line():
     """Text line of a script result."""
+    # The tags of the lines.
     return F.concat(
         F.when(F.col("status") == "skipped", F.lit("[SKIP] "))
         .when(F.col("status") == "error", F.lit("[ERR] "))
