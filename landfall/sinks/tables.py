@@ -11,8 +11,6 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType, TimestampType
@@ -172,29 +170,29 @@ def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> Non
         spark.sql(ddl)
 
 
-def _in_partitions(specs: list[Row]) -> Column:
-    """A predicate on partition columns that prunes the scan to the given partitions.
+def _partition_key(names: list[str]) -> Column:
+    """A partition's values as one text, nulls left out."""
+    return F.to_json(F.struct(*(F.col(f"`{name}`") for name in names)))
 
-    One column makes a plain list. Several are joined pairwise, so that the expression stays shallow however many
-    partitions there are.
-    """
-    names = list(specs[0].asDict())
-    if len(names) == 1:
-        c = F.col(f"`{names[0]}`")
-        listed = c.isin([spec[0] for spec in specs if spec[0] is not None])
-        return listed | c.isNull() if any(spec[0] is None for spec in specs) else listed
-    tests = [reduce(and_, (F.col(f"`{n}`").eqNullSafe(F.lit(spec[n])) for n in names)) for spec in specs]
-    while len(tests) > 1:
-        tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
-    return tests[0]
-
-
-def _empty_partition(spark: SparkSession, table: str, spec: Row) -> None:
+
+def _in_partitions(specs: list[Row]) -> Column:
+    """A predicate on partition columns that prunes the scan to the given partitions, by one set lookup each."""
+    names = [name for name in specs[0].asDict() if name != "_key"]
+    listed = _partition_key(names).isin([spec["_key"] for spec in specs])
+    # A catalogue can itself select by plain values.
+    for name in names:
+        values = {spec[name] for spec in specs}
+        if None not in values:
+            listed = F.col(f"`{name}`").isin(list(values)) & listed
+    return listed
+
+
+def _empty_partition(spark: SparkSession, table: str, spec: dict[str, object]) -> None:
     """Drop one partition with its files. An external table would keep the files if it were just dropped."""
     values = ", ".join(
-        f"`{name}` = " + ("NULL" if value is None else _text(str(value))) for name, value in spec.asDict().items()
+        f"`{name}` = " + ("NULL" if value is None else _text(str(value))) for name, value in spec.items()
     )
-    fields = [f for f in spark.table(quoted(table)).schema.fields if f.name not in spec.asDict()]
+    fields = [f for f in spark.table(quoted(table)).schema.fields if f.name not in spec]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
     spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({values}) SELECT {nothing} WHERE false")
 
@@ -218,19 +216,19 @@ def rewrite(
         spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(new)}")
         spark.catalog.refreshTable(quoted(table))
         return {"changed": True, "previous": old}
-    columns = [F.col(f"`{p}`") for p in parts]
+    columns = [*(F.col(f"`{p}`") for p in parts), _partition_key(parts).alias("_key")]
     specs = current.where(touched).select(*columns).distinct().collect()
     if not specs:
         return {"changed": False}
     changed = change(current.where(_in_partitions(specs))).select(*current.columns)
-    filled = set(changed.select(*columns).distinct().collect())
+    filled = {row["_key"] for row in changed.select(columns[-1]).distinct().collect()}
     if filled:
         # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
         with _overwriting(spark, "dynamic"):
             changed.hint("rebalance", *parts).write.mode("overwrite").insertInto(quoted(table))
     for spec in specs:
-        if spec not in filled:
-            _empty_partition(spark, table, spec)
+        if spec["_key"] not in filled:
+            _empty_partition(spark, table, {name: spec[name] for name in parts})
     return {"changed": True, "partitions": len(specs)}
 
 
@@ -243,7 +241,7 @@ def purge_table(spark: SparkSession, table: str, column: str, day: dt.date | str
         rows = spark.table(quoted(table)).where(F.col(day_column) == day_literal(day))
         specs = rows.select(*parts).distinct().collect()
         for spec in specs:
-            _empty_partition(spark, table, spec)
+            _empty_partition(spark, table, spec.asDict())
         return {"changed": bool(specs), "partitions": len(specs)}
     return rewrite(spark, table, on_date(column, day), lambda df: purge(df, column, day))
 
