@@ -13,6 +13,7 @@ from ..functions.dates import normal_period
 from ..operators import (
     close_runs, expected_files, files_with_counts, row_count,
 )
+from ..session import scratch_path
 from ..sinks import quoted, results_frame, rewrite, table_on_date
 from ..sources import file_catalog, parquet_row_counts, path_exists, qualified_path
 
@@ -54,7 +55,10 @@ def landing_report(
         catalog = file_catalog(spark, *roots, since=since).where(
             name_match("path", suffix=".parquet") & recent("modified", now, minutes)
         )
-        files = files_with_counts(catalog, parquet_row_counts(spark, *roots, since=since))
+        # One row per recent file, written down so that footers are read once.
+        found = scratch_path(spark, "landing")
+        files_with_counts(catalog, parquet_row_counts(spark, *roots, since=since)).write.parquet(found)
+        files = spark.read.schema(_FILE).parquet(found)
     else:
         files = spark.createDataFrame([], _FILE)
     errors = [
@@ -126,7 +130,7 @@ def validate_tables(
         (F.col("process_name") == process_name) & (F.col("zone_name") == zone_name) & F.col("end_process").isNull()
     )
     stamp = load_stamp(now)
-    rewrite(spark, log, opened, lambda df: close_runs(df, counts, stamp))
+    rewrite(spark, log, opened, lambda df: close_runs(df, counts, stamp), regroup=True)
     return frame
 
 

@@ -198,12 +198,18 @@ def _empty_partition(spark: SparkSession, table: str, spec: dict[str, object]) -
 
 
 def rewrite(
-    spark: SparkSession, table: str, touched: Column, change: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    table: str,
+    touched: Column,
+    change: Callable[[DataFrame], DataFrame],
+    regroup: bool = False,
 ) -> dict[str, object]:
     """Apply ``change`` to the data that holds rows fitting ``touched``.
 
     Partitioned: only the partitions with such rows are read and replaced. Otherwise the whole table
     is written to a new folder and the table pointed to it; ``previous`` names the old folder, which is kept.
+    A change that goes row by row leaves the rows of a partition together, so nothing is shuffled for the write;
+    ``regroup`` brings them together again after one that joins or groups.
     """
     current = spark.table(quoted(table))
     parts = partition_columns(spark, table)
@@ -225,7 +231,8 @@ def rewrite(
     if filled:
         # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
         with _overwriting(spark, "dynamic"):
-            changed.hint("rebalance", *parts).write.mode("overwrite").insertInto(quoted(table))
+            rows = changed.hint("rebalance", *parts) if regroup else changed
+            rows.write.mode("overwrite").insertInto(quoted(table))
     for spec in specs:
         if spec["_key"] not in filled:
             _empty_partition(spark, table, {name: spec[name] for name in parts})
