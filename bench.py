@@ -18,9 +18,9 @@ from landfall.session import build_session  # noqa: E402
 
 HEADLINE = (
     "count_on_date", "daily_load_counts", "latest_per_group", "latest_with_ties", "natural_order", "natural_ends",
-    "string_rows", "period_date", "vars_to_map", "render_template", "json_flatten", "params_explode", "schema_contract",
+    "string_projection", "period_date", "vars_to_map", "render_template", "json_flatten", "params_explode", "schema_contract",
     "business_days", "due_schedules", "expected_found", "completeness", "purge_by_date", "reload_date", "close_open_runs",
-    "csv_roundtrip", "load_csv", "load_parquet", "reload_day_partition", "reload_plain_table", "purge_other_partition",
+    "csv_roundtrip", "load_csv", "parquet_append", "reload_day_partition", "reload_plain_table", "purge_other_partition",
     "archive_by_period", "landing_report", "validate_and_close", "run_scripts",
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as L
-from ..operators import first_row, route_required, string_projection
+from .. import operators as O
 from .registry import query
 
 
@@ -312,7 +312,7 @@ SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 7 AND c
 def keyed_filter(t):
     customer = t.customer.withColumn("active", F.col("c_acctbal") > 0)
     found = customer.where(L.all_equal({"c_mktsegment": "BUILDING", "c_nationkey": 7}, active="active"))
-    return first_row(found, "c_name", "c_custkey").drop("active")
+    return O.first_row(found, "c_name", "c_custkey").drop("active")
 
 
 @query(r"""
@@ -326,7 +326,7 @@ UNION ALL
 SELECT 'null', doc_id, CASE WHEN lang IS NULL OR n_chars IS NULL THEN 'missing: ' || array_to_string(list_filter([
             CASE WHEN lang IS NULL THEN 'lang' END,
             CASE WHEN n_chars IS NULL THEN 'n_chars' END], lambda x: x IS NOT NULL), ', ') END FROM s""")
-def required_fields(t):
+def route_required(t):
     documents = t.documents.select(
         "doc_id",
         F.nullif("lang", F.lit("es")).alias("lang"),
@@ -335,7 +335,7 @@ def required_fields(t):
     )
     frames = []
     for mode in ("falsy", "null"):
-        for frame in route_required(documents, ["lang", "source", "n_chars"], mode):
+        for frame in O.route_required(documents, ["lang", "source", "n_chars"], mode):
             reason = F.col("reason") if "reason" in frame.columns else F.lit(None).cast("string").alias("reason")
             frames.append(frame.select(F.lit(mode).alias("mode"), "doc_id", reason))
     first, *rest = frames
@@ -360,11 +360,11 @@ SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS
        cast(o_totalprice AS VARCHAR) AS o_totalprice, o_orderdate, o_orderpriority,
        cast(o_orderkey * 100000.5::DOUBLE AS VARCHAR) AS big, cast(o_totalprice > 100000 AS VARCHAR) AS flag
 FROM orders""")
-def string_rows(t):
+def string_projection(t):
     orders = t.orders.withColumn("big", F.col("o_orderkey") * F.lit(100000.5)).withColumn(
         "flag", F.col("o_totalprice") > 100000
     )
-    return string_projection(orders)
+    return O.string_projection(orders)
 
 
 @query(r"""

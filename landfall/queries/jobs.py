@@ -87,7 +87,7 @@ def load_csv(t):
 
 @query("""
 SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem""")
-def load_parquet(t):
+def parquet_append(t):
     folder = t.scratch("landing")
     K.write_parquet(t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate"), f"{folder}/items_2024-07-01.parquet")
     params = {
@@ -246,22 +246,32 @@ def run_scripts(t):
     return t.spark.table(f"{schema}.totals")
 
 
+@query("""
+SELECT c_mktsegment AS table_type, 'CREATED' AS first, 'SKIPPED' AS second FROM customer GROUP BY 1""")
+def registered_ddl(t):
+    # One table per market segment, defined twice.
+    schema = t.schema()
+    segments = t.customer.select(F.col("c_mktsegment").alias("table_type")).distinct()
+    name = F.concat(F.lit(f"spark_catalog.{schema}.t_"), F.lower("table_type"))
+    statement = F.concat(F.lit("CREATE TABLE IF NOT EXISTS `"), F.replace(name, F.lit("."), F.lit("`.`")), F.lit("` (a INT) USING parquet"))
+    ddl = segments.select(
+        F.lit("p").alias("process_name"), "table_type", statement.alias("ddl_statement"), F.lit(True).alias("is_active")
+    )
+    types = sorted(row["table_type"] for row in segments.collect())
+    runs = [P.run_definitions(t.spark, ddl, "p", types, skip_existing=True) for _ in range(2)]
+    first, second = (
+        run.select("table_type", F.col("status").alias(name)) for run, name in zip(runs, ("first", "second"))
+    )
+    return first.join(second, "table_type")
+
+
 @query("""
 SELECT c_mktsegment AS segment, count(*) AS n, '2024-03-01' AS day FROM customer GROUP BY 1""")
-def registered_statements(t):
+def registered_insert(t):
     schema = t.schema()
     t.customer.createOrReplaceTempView("landfall_customer")
     name = f"spark_catalog.{schema}.segments"
-    ddl = t.spark.createDataFrame(
-        [
-            ("p", "hub", f"CREATE TABLE {name} (segment STRING, n BIGINT, day DATE) USING parquet", True),
-            ("p", "hub", f"CREATE TABLE {name} (other STRING) USING parquet", False),
-            ("p", "link", f"CREATE TABLE IF NOT EXISTS {name} (segment STRING) USING parquet", True),
-            ("p", "satelite", "CREATE TABLE two.parts (a INT) USING parquet", True),
-        ],
-        "process_name string, table_type string, ddl_statement string, is_active boolean",
-    )
-    P.run_definitions(t.spark, ddl, "p", ["hub", "link", "satelite"], skip_existing=True)
+    t.spark.sql(f"CREATE TABLE {name} (segment STRING, n BIGINT, day DATE) USING parquet")
     insert = F.lit(
         f"INSERT INTO {name} SELECT c_mktsegment, count(*), DATE '${{fecha_param}}' FROM landfall_customer GROUP BY 1"
     )

@@ -22,6 +22,9 @@ from ..operators.schema import enforce_required
 _DAY_OF = "landfall.day_of."
 _REQUIRED = "landfall.required"
 
+# Between the folder of an unpartitioned table's first version and the mark of a later one.
+_VERSION = "--v-"
+
 
 def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
@@ -161,8 +164,16 @@ def empty_table(spark: SparkSession, table: str) -> None:
 
 
 def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> None:
-    """Empty the table; with its registered definition, create it anew from that."""
+    """Empty the table; with its registered definition, create it anew from that.
+
+    A new table starts in the folder of the first version, so that folder is emptied, too.
+    """
     if spark.catalog.tableExists(quoted(table)):
+        if ddl:
+            place = location(spark, table)
+            if _VERSION in place:
+                spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(place.split(_VERSION)[0])}")
+                spark.catalog.refreshTable(quoted(table))
         empty_table(spark, table)
         if ddl:
             spark.sql(f"DROP TABLE {quoted(table)}")
@@ -217,7 +228,7 @@ def rewrite(
         if current.where(touched).isEmpty():
             return {"changed": False}
         old = location(spark, table)
-        new = f"{old.rstrip('/').split('--v-')[0]}--v-{uuid.uuid4().hex}"
+        new = f"{old.rstrip('/').split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex}"
         change(current).select(*current.columns).write.parquet(new)
         spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(new)}")
         spark.catalog.refreshTable(quoted(table))

@@ -167,6 +167,24 @@ def test_full_refresh(spark, schema, tmp_path):
     assert spark.table(table).columns == ["a", "b"] and spark.table(table).isEmpty()
 
 
+@pytest.mark.parametrize("external", [False, True])
+def test_full_refresh_after_a_rewrite(spark, schema, tmp_path, external):
+    table = f"{schema}.t"
+    ddl = f"CREATE TABLE {table} (a INT, d DATE) USING parquet" + (f" LOCATION '{tmp_path}/t'" if external else "")
+    K.full_refresh(spark, table, ddl)
+    spark.sql(f"INSERT INTO {table} VALUES (1, DATE'2024-01-01'), (2, DATE'2024-01-02')")
+    assert K.purge_table(spark, table, "d", "2024-01-01")["changed"]
+    assert K.purge_table(spark, table, "d", "2024-01-02")["changed"] and spark.table(table).isEmpty()
+    spark.sql(f"INSERT INTO {table} VALUES (3, NULL)")
+    K.full_refresh(spark, table)
+    assert spark.table(table).isEmpty()
+    spark.sql(f"INSERT INTO {table} VALUES (3, NULL)")
+    K.full_refresh(spark, table, ddl)
+    assert spark.table(table).isEmpty()
+    spark.sql(f"INSERT INTO {table} VALUES (4, NULL)")
+    assert rows_of(spark.table(table).select("a")) == [(4,)]
+
+
 def test_archive(spark, tmp_path):
     root, today = str(tmp_path), dt.date(2024, 7, 1)
     one = spark.sql("SELECT 1 AS a, DATE'2024-05-01' AS periodo_mes")
