@@ -54,12 +54,11 @@ def struct_type(document: Sequence[dict]) -> StructType:
 
 def apply_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns in order, cast to its types; columns the frame lacks are null."""
-    return df.select(
-        *(
-            (F.col(f"`{f.name}`").cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        )
-    )
+    def column(f: StructField) -> Column:
+        c = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)
+        return c.cast(f.dataType).alias(f.name)
+
+    return df.select(*map(column, schema.fields))
 
 
 def document_violations(df: DataFrame, document: str, *ids: str) -> DataFrame:

@@ -109,12 +109,12 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
     unknown = have.keys() - {name.lower() for name in schema.names}
     if unknown:
         raise ValueError(f"the target has no columns: {', '.join(sorted(unknown))}")
-    return df.select(
-        *(
-            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        )
-    )
+
+    def column(f: StructField) -> Column:
+        name = have.get(f.name.lower())
+        return (F.col(f"`{name}`") if name else F.lit(None)).cast(f.dataType).alias(f.name)
+
+    return df.select(*map(column, schema.fields))
 
 
 def fitted(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:

@@ -22,8 +22,9 @@ def read_documents(
 
 def missing_fields(body: Column, names: Sequence[str]) -> Column:
     """Names that are no top-level key of the JSON text. A key with a null value is present."""
-    keys = F.coalesce(F.json_object_keys(body), F.expr("array()").cast("array<string>"))
-    return F.array_except(F.array(*map(F.lit, names)), keys) if names else F.expr("array()").cast("array<string>")
+    nothing = F.array().cast("array<string>")
+    keys = F.coalesce(F.json_object_keys(body), nothing)
+    return F.array_except(F.array(*map(F.lit, names)), keys) if names else nothing
 
 
 def _records_of(schema: StructType, array: str) -> list[str]:

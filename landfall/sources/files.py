@@ -58,7 +58,8 @@ def file_catalog(
     names = files.inputFiles()
     if scanned.count() == len(names):
         return scanned
-    listed = spark.createDataFrame([(name,) for name in names], "path string").select(_plain(F.col("path")).alias("path"))
+    listed = spark.createDataFrame([(name,) for name in names], "name string")
+    listed = listed.select(_plain(F.col("name")).alias("path"))
     rows = []
     for row in listed.join(scanned, "path", "left_anti").toLocalIterator():
         system, hadoop_path = _hadoop(spark, row["path"])

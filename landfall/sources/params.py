@@ -17,7 +17,8 @@ def parse_entries(column: Column, kind) -> Column:
     """
     if isinstance(kind, StringType):
         text = F.btrim(column)
-        return F.from_json(F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), _ENTRIES)
+        listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+        return F.from_json(listed, _ENTRIES)
     if isinstance(kind, MapType):
         return F.array(column).cast(_ENTRIES)
     if isinstance(kind, StructType):
