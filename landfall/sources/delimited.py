@@ -151,6 +151,8 @@ def read_csv(
         schema = inferred if mark is None else StructType(
             [StructField(name, f.dataType) for name, f in zip(names, inferred.fields)]
         )
+    if not schema.fields:
+        raise ValueError(f"{path} has no columns")
     wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
     rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     message = F.concat(F.lit("row has too many fields, the first extra one is: "), F.col(_OVERFLOW))

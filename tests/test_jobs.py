@@ -48,6 +48,15 @@ def test_load_csv_picks_the_newest_and_stamps(spark, schema, tmp_path):
     assert [(r["id"], r["fecha_carga"]) for r in rows] == [("2", STAMP), ("2", later), ("x", later)]
 
 
+def test_load_csv_does_not_pass_over_an_empty_file(spark, schema, tmp_path):
+    write(tmp_path / "in" / "a_1.csv", "id\n1\n", 1_700_000_000)
+    write(tmp_path / "in" / "a_2.csv", "", 1_700_000_900)
+    params = {"input": f"{tmp_path}/in/a.csv", "output": f"{schema}.t", "periodicidad": "mensual"}
+    with pytest.raises(Exception, match="a_2.csv"):
+        P.load_csv(spark, params, NOW)
+    assert not spark.catalog.tableExists(f"{schema}.t")
+
+
 def test_load_csv_adds_the_stamp_to_an_older_table(spark, schema, tmp_path):
     write(tmp_path / "a.csv", "b;a\n1;x\n")
     spark.sql(f"CREATE TABLE {schema}.t (a STRING, c STRING, b STRING) USING parquet")
