@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import exact_dedup, source_mix
 from .common import read_documents
+from .exact_dedup import exact_duplicates
+from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
+from .source_mix import mix_sources, words
 from .suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +30,34 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(read_documents(spark, folder)).drop("n_chars")
+
+
+ORACLE["op3_exact_dedup"] = exact_dedup.ORACLE
+
+
+@query
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder).select("doc_id", "source", "text")
+    mixed = mix_sources(docs.select("doc_id", "source", words(F.col("text")).alias("size")), F.col("size"))
+    one = ["doc_id", "source", *(f"mix.{c}" for c in ("stretch", "number", "size", "source_size", "target"))]
+    return mixed.groupBy(*one).agg(F.sum("mix.taken").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op6_source_mix"] = source_mix.ORACLE
+
+
+@query
+def op9_multiset_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fingerprints(read_documents(spark, folder))
+    three = {x: centred(F.col(f"{x}lanes"), F.col(f"{x}n")) for x in ("", "edited_", "next_")}
+    rows = rows.withColumns({f"{x}centred": v for x, v in three.items()})
+    near = lambda x: likeness(F.col("centred"), F.col(f"{x}_centred"), F.col("lanes"), F.col(f"{x}_lanes"))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", in_hex(F.col("lanes")).alias("fingerprint"), in_hex(F.col("edited_lanes")).alias("edited_fingerprint"),
+        near("edited").alias("near_edited"), near("next").alias("near_next"),
+    )
