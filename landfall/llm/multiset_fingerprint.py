@@ -19,7 +19,7 @@ _PART = 1 << 20
 
 def pieces(text: Column) -> Column:
     """Paragraphs: they end with a line break, and a sentence's end within a line ends one as well."""
-    return F.split(text, r"(?<=\n)|(?<=[.!?])(?!\n)")
+    return F.split(text, r"(?<=\n)|(?<=[.!?])(?![.!?\n])")
 
 
 def _fieldwise(a: Column, b: Column, sign: int) -> Column:

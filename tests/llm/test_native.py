@@ -110,13 +110,13 @@ def test_edited_texts(spark, rows_each):
 
 
 def test_vectors_are_sums(spark):
-    texts = {1: "One. Two.\nThree.", 2: "Three. Two.\nOne.", 3: "Two.\nThree.One.", 4: "One. Two.\n", 5: "Three.", 6: None, 7: "", 8: "." * 50}
+    texts = {1: "One. Two.\nThree.", 2: "Three. Two.\nOne.", 3: "Two.\nThree.One.", 4: "One. Two.\n", 5: "Three.", 6: None, 7: "", 8: "..." * 50}
     docs = spark.createDataFrame([(i, t, 0, "e") for i, t in texts.items()], "doc_id long, text string, n int, bucket string")
     got = {r.doc_id: r for r in fingerprints(docs).collect()}
     assert got[1].lanes == got[2].lanes != got[3].lanes  # " Two.\n" is not "Two.\n"
     assert len(got[1].lanes) == LONGS
     assert got[6].lanes == got[7].lanes == [0] * LONGS
-    assert got[1].n == 3 and got[8].n == 50
+    assert got[1].n == 3 and got[8].n == 1
     frame = spark.createDataFrame([(got[4].lanes, got[5].lanes, got[1].lanes)], "a array<long>, b array<long>, c array<long>")
     row = frame.select(added(F.col("a"), F.col("b")).alias("ab"), removed(F.col("c"), F.col("b")).alias("cb")).head()
     assert row.ab == got[1].lanes and row.cb == got[4].lanes
