@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, source_mix
+from .bpe_codec import encode_texts
 from .common import read_documents
 from .exact_dedup import exact_duplicates
+from .language_id import identify, train
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
 from .source_mix import mix_sources, words
 from .suffix_dedup import remove_repeats
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -61,3 +66,21 @@ def op9_multiset_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", in_hex(F.col("lanes")).alias("fingerprint"), in_hex(F.col("edited_lanes")).alias("edited_fingerprint"),
         near("edited").alias("near_edited"), near("next").alias("near_next"),
     )
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    model = train(docs.where(F.pmod(part, F.lit(4)) != 2))
+    rows = identify(docs.select("doc_id", "text").select("doc_id", (F.pmod(part, F.lit(4)) == 2).alias("held_out"), "text"), model)
+    return rows.select("doc.doc_id", "doc.held_out", "lang_pred", "score")
+
+
+@query
+def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_texts(read_documents(spark, folder).select("doc_id", "text"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
