@@ -14,6 +14,7 @@ from .common import read_documents
 from .exact_dedup import exact_duplicates
 from .language_id import identify, train
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
+from .simhash_dedup import near_duplicates
 from .source_mix import mix_sources, words
 from .suffix_dedup import remove_repeats
 
@@ -84,3 +85,9 @@ def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
         "doc.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = near_duplicates(read_documents(spark, folder), shingle=4, bits=4)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
