@@ -13,6 +13,7 @@ from .bpe_codec import encode_texts
 from .common import read_documents
 from .exact_dedup import exact_duplicates
 from .language_id import identify, train
+from .lm_scoring import score_texts
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
 from .simhash_dedup import near_duplicates
 from .source_mix import mix_sources, words
@@ -91,3 +92,10 @@ def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = near_duplicates(read_documents(spark, folder), shingle=4, bits=4)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rows = score_texts(read_documents(spark, folder), F.pmod(part, F.lit(7)) != 2)
+    return rows.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
