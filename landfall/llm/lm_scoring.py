@@ -158,7 +158,7 @@ _OUT = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.i
 
 
 def score_texts(
-    docs: DataFrame, learn: Column, order: int = 2, strength: float = 50.0, block_bytes: int = 6 << 20, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, learn: Column, order: int = 2, strength: float = 200.0, block_bytes: int = 6 << 20, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """Learn from the documents where ``learn`` is true and score every whole text.
 
@@ -176,7 +176,7 @@ def score_texts(
     named = blocks.groupBy("block").applyInArrow(_name(order, n), "block int, bucket int, names binary, counts binary")
     replies = named.groupBy("bucket").applyInArrow(_total, "block int, bucket int, totals binary, tokens long, types long")
     sums = replies.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("all_types"))
-    replies = replies.crossJoin(F.broadcast(sums))  # one row
+    replies = replies.withColumn("all", F.lit(0)).join(F.broadcast(sums.withColumn("all", F.lit(0))), "all").drop("all")  # one row
     kind = docs.schema[doc_id].dataType.simpleString()
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _score(order, strength), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

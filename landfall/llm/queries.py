@@ -15,6 +15,7 @@ from .exact_dedup import exact_duplicates
 from .language_id import identify, train
 from .lm_scoring import score_texts
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
+from .personal_data import KINDS, find_entities
 from .simhash_dedup import near_duplicates
 from .source_mix import mix_sources, words
 from .suffix_dedup import remove_repeats
@@ -99,3 +100,13 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = score_texts(read_documents(spark, folder), F.pmod(part, F.lit(7)) != 2)
     return rows.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    rows = find_entities(read_documents(spark, folder))
+    name = lambda kind: F.element_at(F.array(*map(F.lit, KINDS)), kind + 1)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda e: F.concat_ws(":", name(e["kind"]), e["start"], e["end"])), ",")
+    of = lambda i: F.size(F.filter("base", lambda e: e["kind"] == i)).cast("long")
+    counts = [of(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    return rows.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))

@@ -77,7 +77,7 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
-    want = dict(zip(docs, plain([(t, not held[i]) for i, t in docs.items()], 2, 50.0)))
+    want = dict(zip(docs, plain([(t, not held[i]) for i, t in docs.items()], 2, 200.0)))
     rows = QUERIES["op2_lm_scoring"](spark, folder).collect()
     for r in rows:
         assert r.held_out == held[r.doc_id]
