@@ -59,16 +59,12 @@ def exact_duplicates(docs: DataFrame, rounds: int = 3, fan_in: int = 4, text: st
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without their copies, all columns as they were."""
-    kept = exact_duplicates(docs, text=text, doc_id=doc_id).where("kept").select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__k"), F.col("n_chars").alias("__n"), F.col("text_sha256").alias("__sha"))
-    named = docs.withColumns({
-        "__k": F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)),
-        "__n": F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long"),
-        "__sha": F.sha2(bare(F.col(text)).cast("binary"), 256),
-    })
-    keys = ["__k", "__n", "__sha"]
-    rest = [F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    return named.join(kept, keys, "left_semi").groupBy(*keys).agg(*rest).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("k")
+    kept = exact_duplicates(docs, text=text, doc_id=doc_id).where("kept").select(name, "n_chars", "text_sha256")
+    named = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
+        "doc", name, F.char_length("text").cast("long").alias("n_chars"), F.sha2(bare(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    keys = ["k", "n_chars", "text_sha256"]
+    return named.join(kept, keys, "left_semi").groupBy(*keys).agg(F.first("doc").alias("doc")).select("doc.*")
 
 
 ORACLE = """

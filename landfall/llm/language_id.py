@@ -69,6 +69,9 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
+NOTHING = Model([], np.zeros((1, PLACES), np.float32), np.zeros((1, 1), np.float32), np.zeros(1, np.float32))
+
+
 def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     norm = np.sqrt(np.maximum(a.sum(axis=1), 1))[:, None] * np.sqrt(np.maximum(b.sum(axis=1), 1))[None, :]
     return (a @ b.T) / norm
@@ -97,7 +100,7 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("place"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
-        raise ValueError("no labelled documents")
+        return NOTHING
     # twice the sample by a threshold on the hash, and at least some: then few rows are left to be ordered
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, (2.0 * per_language + 50) / n))])
     near = rows.where(F.shiftrightunsigned("place", 1) < F.element_at(share, F.col("lang")) * float(2**63))
@@ -105,7 +108,7 @@ def train(docs: DataFrame, per_language: int = 300, landmarks: int = 24, ridge:
     sample = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language).select("lang", "text", "place")
     got = sample.mapInArrow(_marked, "lang string, place long, part int, marks binary").toPandas().sort_values(["lang", "place", "part"])
     if got.empty:
-        raise ValueError("no letters in any labelled document")
+        return NOTHING
     marks = np.unpackbits(np.frombuffer(b"".join(map(bytes, got["marks"])), np.uint8).reshape(len(got), -1), axis=1).astype(np.float32)
     langs = sorted(got["lang"].unique())
     label = np.array([langs.index(x) for x in got["lang"]])
@@ -136,7 +139,7 @@ def _score(model, rows: int):
                     mark(texts[begin + i].as_py(), marks[i])
                 scores = fitted.scores(marks[:n])
                 best = scores.argmax(axis=1)
-                letters = marks[:n].any(axis=1)
+                letters = marks[:n].any(axis=1) & bool(fitted.langs)
                 lang = [fitted.langs[b] if has else "und" for b, has in zip(best, letters)]
                 score = np.where(letters, scores[np.arange(n), best], 0.0).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([docs.slice(begin, n), pa.array(lang, pa.string()), pa.array(score)], ["doc", "lang_pred", "score"])
@@ -148,7 +151,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Predict the language of every whole text.
 
     Returns ``doc`` (all columns of the document), ``lang_pred`` and ``score`` (from 0 to 1, over all languages 1 together). Null texts and
-    texts without a letter are ``und`` with score 0; of equal scores the first language by name wins. Nothing but the text is looked at.
+    texts without a letter are ``und`` with score 0, as is all if the model knows no language; of equal scores the first language by name wins. Nothing but the text is looked at.
     An empty table gives no rows. The model, well under 10 MB, is sent to the executors.
     """
     rows = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, source_mix
@@ -13,6 +13,7 @@ from .bpe_codec import encode_texts
 from .common import read_documents
 from .exact_dedup import exact_duplicates
 from .language_id import identify, train
+from .line_dedup import remove_repeated_lines
 from .lm_scoring import score_texts
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
 from .personal_data import KINDS, find_entities
@@ -26,6 +27,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def taught(parts: int) -> Column:
+    """Documents to learn from; those with remainder 2 are held out."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts)) != 2
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -52,7 +58,7 @@ ORACLE["op3_exact_dedup"] = exact_dedup.ORACLE
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).select("doc_id", "source", "text")
     mixed = mix_sources(docs.select("doc_id", "source", words(F.col("text")).alias("size")), F.col("size"))
-    one = ["doc_id", "source", *(f"mix.{c}" for c in ("stretch", "number", "size", "source_size", "target"))]
+    one = ["doc.doc_id", "doc.source", *(f"mix.{c}" for c in ("stretch", "number", "size", "source_size", "target"))]
     return mixed.groupBy(*one).agg(F.sum("mix.taken").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -74,9 +80,8 @@ def op9_multiset_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder)
-    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    model = train(docs.where(F.pmod(part, F.lit(4)) != 2))
-    rows = identify(docs.select("doc_id", "text").select("doc_id", (F.pmod(part, F.lit(4)) == 2).alias("held_out"), "text"), model)
+    model = train(docs.where(taught(4)))
+    rows = identify(docs.select("doc_id", (~taught(4)).alias("held_out"), "text"), model)
     return rows.select("doc.doc_id", "doc.held_out", "lang_pred", "score")
 
 
@@ -97,8 +102,7 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = score_texts(read_documents(spark, folder), F.pmod(part, F.lit(7)) != 2)
+    rows = score_texts(read_documents(spark, folder), taught(7))
     return rows.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -110,3 +114,9 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     of = lambda i: F.size(F.filter("base", lambda e: e["kind"] == i)).cast("long")
     counts = [of(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = remove_repeated_lines(read_documents(spark, folder))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

@@ -43,14 +43,14 @@ def mix_sources(
 ) -> DataFrame:
     """Queue the documents of each source in shuffled order, ``most`` times over, and serve the sources in proportion to their targets.
 
-    Returns ``most`` rows (copies 0, 1, ..) per document with all its columns and ``mix``: size, source_size, target, stretch and number (which name the
+    Returns ``most`` rows (copies 0, 1, ..) per document: ``doc``, all its columns, and ``mix``: size, source_size, target, stretch and number (which name the
     document within its source), copy, start and finish
     (virtual times: words of the source queued before, and with this copy, divided by its target) and taken (words served). Sources are
     served side by side until the budget is spent. As the targets add up to it and no source runs out before, that is at virtual time 1:
     copies that finish by then are taken whole, one in service is cut there, later ones are left out. Rows come range-sorted by finish.
 
     The order is that of md5 of the doc_id, so reruns agree; rows with equal doc_id follow by size. A null source is one of its own, a null
-    text has size 0, and documents of size 0 are never taken. Extra columns are carried along. An empty table gives no rows.
+    text has size 0, and documents of size 0 are never taken. An empty table gives no rows.
 
     A source of any size is dealt over 16 ** ``digits`` stretches of the shuffled order: sums of stretches give where each begins, and only
     within a stretch rows are added up in order.
@@ -73,7 +73,7 @@ def mix_sources(
     time = lambda words: F.when(F.col("target") > 0, words / F.col("target"))
     mix = F.struct(
         "size", "source_size", "target", "stretch", "number", "copy", time(F.col("queued")).alias("start"), time(F.col("queued") + F.col("size")).alias("finish"), served.alias("taken"))
-    return copies.select("doc", mix.alias("mix")).repartitionByRange("mix.finish").sortWithinPartitions("mix.finish").select("doc.*", "mix")
+    return copies.select("doc", mix.alias("mix")).repartitionByRange("mix.finish").sortWithinPartitions("mix.finish")
 
 
 ORACLE = """

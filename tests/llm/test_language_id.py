@@ -48,5 +48,5 @@ def test_odd_rows(spark, model):
     assert rows[None][0] == "en"
     assert rows[4][0] in model.langs
     assert identify(docs.limit(0), model).count() == 0
-    with pytest.raises(ValueError, match="no labelled"):
-        train(docs.withColumn("lang", F.lit(None).cast("string")))
+    nothing = train(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r.lang_pred, r.score) for r in identify(docs, nothing).collect()} == {("und", 0.0)}

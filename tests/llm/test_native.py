@@ -65,17 +65,17 @@ def test_mix_shares_and_limits(spark):
     pick = random.Random(3)
     rows = [(i, "w " * pick.randint(0, 30), "abc"[min(2, i % 7)], "k", 1) for i in range(2000)] + [(5000 + i, "x y", None, None, None) for i in range(9)]
     docs, out = mixed(spark, rows, digits=1)
-    per = out.groupBy("source").agg(F.sum("mix.taken").alias("taken"), F.first("mix.target").alias("target"), F.first("mix.source_size").alias("size")).collect()
+    per = out.groupBy("doc.source").agg(F.sum("mix.taken").alias("taken"), F.first("mix.target").alias("target"), F.first("mix.source_size").alias("size")).collect()
     total = sum(r["size"] for r in per)
     assert math.isclose(sum(r.target for r in per), 1.5 * total)
     for r in per:
         assert r.taken == math.floor(r.target) <= 2 * r["size"]
-    assert out.columns == [*docs.columns, "w", "mix"]
+    assert out.select("doc.*").columns == [*docs.columns, "w"]
     assert out.where("mix.taken > mix.size or mix.taken < 0").count() == 0
     finish = [r.f for r in out.select(F.col("mix.finish").alias("f")).collect() if r.f is not None]
     assert finish == sorted(finish)
-    again = mixed(spark, rows[::-1], digits=2)[1].select("doc_id", "mix.copy", "mix.taken")
-    assert sorted(again.collect()) == sorted(out.select("doc_id", "mix.copy", "mix.taken").collect())
+    again = mixed(spark, rows[::-1], digits=2)[1].select("doc.doc_id", "mix.copy", "mix.taken")
+    assert sorted(again.collect()) == sorted(out.select("doc.doc_id", "mix.copy", "mix.taken").collect())
 
 
 def test_mix_odd_rows(spark):
