@@ -9,7 +9,8 @@ place of their smallest ``gram`` (the *anchor*, chosen by hash among the grams o
 3. What is left are segments at the ends of repeats. Those of one anchor meet, are sorted by the suffix after the anchor in a mergesort
    whose comparisons find the common extension by binary search over prefix polynomial hashes, and neighbours are compared byte by byte. In
    that order, strings are equal where the extensions to the right reach far enough and the bytes left of the anchor agree.
-4. An anchor with more than ``group_limit`` different segments is not gathered: its strings are counted one by one in a hash aggregation.
+4. An anchor with more than ``group_limit`` different segments (6 MB of them) is not gathered: its strings are counted one by one in a hash
+   aggregation.
 """
 
 from __future__ import annotations
@@ -322,7 +323,7 @@ def _cut(length: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_limit: int = 2000, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_limit: int = 16384, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Cut every byte covered by a ``length``-byte string that also starts at another place of the corpus.
 
     Returns one row per document: doc_id, n_bytes, ``spans`` (maximal removed runs of bytes, end exclusive) and ``kept`` (the remaining
