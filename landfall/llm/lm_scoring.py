@@ -51,6 +51,18 @@ def ngrams(hashes: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray
     return out
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Counts, most of them small: a byte each, and those from 255 on in full behind them."""
+    large = values >= 255
+    return np.where(large, 255, values).astype(np.uint8).tobytes() + values[large].astype(np.int64).tobytes()
+
+
+def unpacked(content: bytes, n: int) -> np.ndarray:
+    values = np.frombuffer(content, np.uint8, n).astype(np.int64)
+    values[values == 255] = np.frombuffer(content, np.int64, offset=n) if len(content) > n else 0
+    return values
+
+
 class Block:
     """The n-grams of some texts: their names in order, and where each token's are."""
 
@@ -110,9 +122,9 @@ def _name(order: int, buckets: int):
         block = Block((t.as_py() for t in table.column("text")), table.column("learn").to_numpy(), order)
         counts, cuts = block.counts(), block.cuts(buckets)
         full = np.flatnonzero(cuts[1:] > cuts[:-1])
-        pack = lambda x: pa.array([x[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary())
+        pack = lambda x, f: pa.array([f(x[cuts[b] : cuts[b + 1]]) for b in full], pa.binary())
         number = table.column("block")[0].as_py()
-        return pa.table({"block": pa.array([number] * len(full), pa.int32()), "bucket": pa.array(full, pa.int32()), "names": pack(block.names), "counts": pack(counts)})
+        return pa.table({"block": pa.array([number] * len(full), pa.int32()), "bucket": pa.array(full, pa.int32()), "names": pack(block.names, np.ndarray.tobytes), "counts": pack(counts, packed)})
 
     return run
 
@@ -120,29 +132,28 @@ def _name(order: int, buckets: int):
 def _total(table: pa.Table) -> pa.Table:
     """Add up the counts of a bucket and give each block the totals of its names; the bucket's tokens and types go with one of the rows."""
     names = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("names")]
-    counts = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("counts")])
+    counts = np.concatenate([unpacked(x.as_py(), len(n)) for x, n in zip(table.column("counts"), names)])
     distinct, at = np.unique(np.concatenate(names), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
     np.add.at(total, at, counts)
     words = total[distinct & _TAGS == 1]
     ends = np.cumsum([len(x) for x in names])
-    packed = [x.tobytes() for x in np.split(total[at], ends[:-1])]
-    only_first = lambda n: pa.array([int(n)] + [0] * (len(packed) - 1), pa.int64())
+    replies = [packed(x) for x in np.split(total[at], ends[:-1])]
+    only_first = lambda n: pa.array([int(n)] + [0] * (len(replies) - 1), pa.int64())
     return pa.table({
-        "block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(packed, pa.binary()), "tokens": only_first(words.sum()), "types": only_first((words > 0).sum()),
+        "block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(replies, pa.binary()), "tokens": only_first(words.sum()), "types": only_first((words > 0).sum()),
     })
 
 
-def _score(order: int, strength: float):
+def _score(order: int, strength: float, buckets: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(docs):
             return pa.table({n: docs.column(n) for n in ("doc_id", "learn")} | {n: pa.array([], t) for n, t in _OUT})
         block = Block((t.as_py() for t in docs.column("text")), docs.column("learn").to_numpy(), order)
-        by_bucket = np.argsort(replies.column("bucket").to_numpy())
-        totals = np.concatenate([np.frombuffer(replies.column("totals")[int(i)].as_py(), np.int64) for i in by_bucket])
-        if len(totals) != len(block.names):
-            raise RuntimeError("the totals of a block don't belong to its texts")
-        n, v = (replies.column(c)[0].as_py() for c in ("all_tokens", "all_types"))
+        cuts, totals = block.cuts(buckets), np.zeros(len(block.names), np.int64)
+        for b, reply in zip(replies.column("bucket").to_pylist(), replies.column("totals")):
+            totals[cuts[b] : cuts[b + 1]] = unpacked(reply.as_py(), cuts[b + 1] - cuts[b])
+        n, v = (replies.column("all")[0].as_py()[c] for c in ("tokens", "types"))
         known = totals[block.at[0]]
         base = np.log10((known + 1.0) / (n + v + 1.0))
         values = (
@@ -175,8 +186,8 @@ def score_texts(
     blocks = rows.select(F.pmod(F.xxhash64("k", "c"), F.lit(n)).cast("int").alias("block"), "doc_id", "learn", "text")
     named = blocks.groupBy("block").applyInArrow(_name(order, n), "block int, bucket int, names binary, counts binary")
     replies = named.groupBy("bucket").applyInArrow(_total, "block int, bucket int, totals binary, tokens long, types long")
-    sums = replies.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("all_types"))
-    replies = replies.withColumn("all", F.lit(0)).join(F.broadcast(sums.withColumn("all", F.lit(0))), "all").drop("all")  # one row
+    sums = replies.agg(F.struct(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).alias("all"))
+    replies = replies.withColumn("all", sums.scalar())
     kind = docs.schema[doc_id].dataType.simpleString()
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _score(order, strength), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _score(order, strength, n), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
