@@ -5,7 +5,7 @@ from .aggregate import (
     period_values, row_count, row_count_on,
 )
 from .lookup import (
-    calendar_days, due_schedules, expected_counts, expected_files, small_side, with_business_day,
+    calendar_days, due_schedules, expected_counts, expected_files, with_business_day,
 )
 from .mutate import RUN_COUNT, RUN_KEYS, close_runs, open_runs, purge, purged, stamp_nulls
 from .order import concatenate, first_row, natural_ends, natural_key, natural_order

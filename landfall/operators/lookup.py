@@ -1,7 +1,6 @@
 """Lookups: business days, due schedules, expected files.
 
-Small sides are broadcast only after they have been measured; beyond the limits the same equi-join runs as a
-sort-merge join, which adaptive execution splits at hot keys.
+All are equi-joins. Adaptive execution broadcasts a side that it has measured to be small and splits hot keys of the others.
 """
 
 from __future__ import annotations
@@ -10,17 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import DATE_PLACEHOLDER, iso_weekday
 
-# What a broadcast may hold at most.
-SMALL_ROWS = 50_000
-SMALL_BYTES = 32 << 20
-
-
-def small_side(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> DataFrame:
-    """Ask for a broadcast when the frame has at most ``rows`` rows and ``size`` bytes of text."""
-    text = F.sum(F.length(F.to_json(F.struct(*df.columns))))
-    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), text.alias("size")).first()
-    return F.broadcast(df) if seen["rows"] <= rows and (seen["size"] or 0) <= size else df
-
 
 def calendar_days(entries: DataFrame) -> DataFrame:
     """One flag per day, the first listed."""
@@ -35,7 +23,7 @@ def with_business_day(
     df: DataFrame, day: str, calendar: DataFrame, flag: str = "flag", out: str = "is_business_day"
 ) -> DataFrame:
     """Add the calendar's flag for a date column, null when not listed, and whether it is a business day."""
-    days = small_side(calendar_days(calendar)).select(
+    days = calendar_days(calendar).select(
         F.col("day").alias("_calendar_day"), F.col("flag").alias(flag)
     )
     return (
@@ -63,7 +51,7 @@ def due_schedules(
     Due means a business day whose ISO weekday is in ``dias_semana``. The configuration is the first record of
     the chosen column with the run date filled in.
     """
-    chosen = small_side(one_schedule_per_process(schedules))
+    chosen = one_schedule_per_process(schedules)
     rows = with_business_day(requests, "run_date", calendar, flag="_flag", out="_business").join(
         chosen, F.col("process_name") == F.col("_process"), "left"
     )
@@ -100,13 +88,14 @@ def _folders(path):
 def expected_files(expected: DataFrame, files: DataFrame, path: str = "path", file: str = "path") -> DataFrame:
     """Each expected folder with the files below it at any depth; a folder without files keeps one null row.
 
-    A file is matched through the folders above it, which makes this an equi-join rather than a comparison
-    of every file with every folder.
+    A file is matched through the folders above it, which makes this an equi-join rather than a comparison of every file with every folder.
+    Folders that nobody expects, such as the root above all files, are dropped by an inner join before anything else.
     """
-    listed = files.withColumn("_folder", F.explode(_folders(F.col(file)))).select(
+    key = F.regexp_replace(F.col(path), r"/+\z", "")
+    wanted = expected.select(key.alias("_folder")).distinct()
+    listed = files.withColumn("_folder", F.explode(_folders(F.col(file)))).join(wanted, "_folder").select(
         "_folder", *(F.col(name).alias(f"file_{name}" if name in expected.columns else name) for name in files.columns)
     )
-    key = F.regexp_replace(F.col(path), r"/+\z", "")
     return expected.join(listed, key == F.col("_folder"), "left").drop("_folder")
 
 

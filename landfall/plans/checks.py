@@ -6,7 +6,9 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import load_stamp, name_match, recent
 from ..functions.dates import normal_period
@@ -15,7 +17,7 @@ from ..operators import (
 )
 from ..session import scratch_path
 from ..sinks import quoted, results_frame, rewrite, table_on_date
-from ..sources import file_catalog, parquet_row_counts, path_exists, qualified_path
+from ..sources import file_catalog, parquet_row_counts, path_exists, plain_path, qualified_path, recent_parquet
 
 # The control tables that a process must be registered in, by archetype type.
 REQUIRED_TABLES = {
@@ -30,22 +32,44 @@ TABLE_TYPES = ("satelite", "hub", "link")
 _FILE = "path string, modified timestamp, length bigint, row_count bigint, has_records boolean"
 
 
-def _read_error(spark: SparkSession, path: str) -> str | None:
+def _read_error(spark: SparkSession, *paths: str) -> str | None:
+    """Why the files can't be read; only their footers are looked at, in one job."""
     try:
-        spark.read.parquet(path).isEmpty()
+        spark.read.schema(StructType([])).parquet(*paths).count()
         return None
     except Exception as error:
         return str(error)
 
 
+def _empty_errors(spark: SparkSession, empty: list) -> list[tuple[str, str]]:
+    """Errors of files without rows. One job tells whether all are sound, and only if not they are tried one by one."""
+    errors = [(row["path"], "not a Parquet file") for row in empty if row["length"] < 12]
+    paths = [row["path"] for row in empty if row["length"] >= 12]
+    if paths and _read_error(spark, *paths):
+        errors += [(path, error) for path in paths if (error := _read_error(spark, path))]
+    return errors
+
+
+def _rows_read(spark: SparkSession, root: str, since: dt.datetime) -> DataFrame | None:
+    """The number of rows of each file below a folder that can be read in all their columns."""
+    try:
+        rows = recent_parquet(spark, since).option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
+    except AnalysisException:
+        return None  # no file there has a schema
+    values = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in rows.schema.fields]
+    seen = rows.groupBy(plain_path(F.col("_metadata.file_path")).alias("path")).agg(F.count("*").alias("rows_read"), F.bit_xor(F.xxhash64(*values)).alias("_all"))
+    # The hash of all columns is used, or the scan would leave them out.
+    return seen.select("path", F.when(F.col("_all").isNotNull(), F.col("rows_read")).alias("rows_read"))
+
+
 def landing_report(
-    spark: SparkSession, expected: DataFrame, now: dt.datetime, minutes: int = 10, strict: bool = False
+    spark: SparkSession, expected: DataFrame, now: dt.datetime, minutes: int = 10, strict: bool = False, thorough: bool = True
 ) -> DataFrame:
     """For every expected ``path`` its recent Parquet files and whether each has rows.
 
-    ``expected`` has ``path`` and may have ``periodicidad``. Rows are counted from footers in one job. Only
-    files without a count are opened one by one, to tell an empty file from one that cannot be read. ``strict``
-    raises an error when some path has no recent file.
+    ``expected`` has ``path`` and may have ``periodicidad``. Rows are counted from footers in one job. ``thorough`` reads all columns of
+    all files in one more, and reports files that give fewer rows than their footers promise. One job tells whether files
+    without rows are sound. ``strict`` raises an error when some path has no recent file.
     """
     named = [row["path"] for row in expected.select("path").distinct().toLocalIterator()]
     folders = {path: qualified_path(spark, path) for path in named}
@@ -61,11 +85,15 @@ def landing_report(
         files = spark.read.schema(_FILE).parquet(found)
     else:
         files = spark.createDataFrame([], _FILE)
-    errors = [
-        (row["path"], _read_error(spark, row["path"]))
-        for row in files.where(~F.col("has_records")).select("path").toLocalIterator()
-    ]
-    failures = spark.createDataFrame([e for e in errors if e[1]], "path string, error string")
+    errors = _empty_errors(spark, files.where(~F.col("has_records")).select("path", "length").collect())
+    failures = spark.createDataFrame(errors, "path string, error string")
+    read = [rows for root in roots if thorough and (rows := _rows_read(spark, root, since)) is not None]
+    if read:
+        counted = reduce(DataFrame.unionByName, read).groupBy("path").agg(F.max("rows_read").alias("rows_read"))
+        got = F.coalesce("rows_read", F.lit(0))
+        message = F.concat(F.lit("only "), got.cast("string"), F.lit(" of "), F.col("row_count").cast("string"), F.lit(" rows can be read"))
+        failures = failures.unionByName(
+            files.where("has_records").join(counted, "path", "left").where(got < F.col("row_count")).select("path", message.alias("error")))
     wanted = expected.join(spark.createDataFrame(list(folders.items()), "path string, _folder_path string"), "path")
     if "periodicidad" in expected.columns:
         wanted = wanted.withColumn("periodicidad", F.lower(F.coalesce("periodicidad", F.lit("esporádica"))))
@@ -85,7 +113,7 @@ def landing_report(
 
 def table_counts(spark: SparkSession, entries: Iterable[Mapping[str, str]]) -> list[dict]:
     """Row count of each configured table, on its date unless it is sporadic. All counts run as one job."""
-    results, frames = [], []
+    results, frames = [], {}
     for position, entry in enumerate(entries):
         dataset, table = entry.get("dataset_name"), entry.get("table_name")
         result = {"dataset_name": dataset, "table_name": table, "row_count": None, "has_records": None, "error": None}
@@ -102,10 +130,21 @@ def table_counts(spark: SparkSession, entries: Iterable[Mapping[str, str]]) -> l
         except Exception as error:
             result["error"] = str(error)
             continue
-        frames.append(row_count(rows).withColumn("position", F.lit(position)))
-    if frames:
-        for row in reduce(DataFrame.unionByName, frames).collect():
+        frames[position] = row_count(rows).withColumn("position", F.lit(position))
+
+    def take(frame: DataFrame) -> None:
+        for row in frame.collect():
             results[row["position"]].update(row_count=row["row_count"], has_records=row["has_records"])
+
+    if frames:
+        try:
+            take(reduce(DataFrame.unionByName, frames.values()))
+        except Exception:  # some table can't be read: each by itself, so that the others count
+            for position, frame in frames.items():
+                try:
+                    take(frame)
+                except Exception as error:
+                    results[position]["error"] = str(error)
     return results
 
 

@@ -9,17 +9,21 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from ..functions import load_stamp, name_match, on_date
+from ..functions import field_list, load_stamp, name_match, on_date
 from ..functions.dates import normal_period
 from ..functions.text import TRUE_WORDS
 from ..operators import newest_path, open_runs, purge, raw_schema, stamp_nulls, string_projection
 from ..sinks import (
-    add_table_column, append_rows, ensure_table, fitted, full_refresh, partition_columns, purge_table, rewrite,
+    add_table_column, append_rows, ensure_table, fitted, full_refresh, partition_columns, purge_table, replace_day, rewrite,
     write_parquet,
 )
 from ..sources import file_catalog, flatten_documents, read_csv, read_documents, read_parquet
 
 
+#: The entry that names the date or timestamp column by whose day a new raw table is partitioned.
+PARTITION_KEY = "campo_particion"
+
+
 def newest_file(
     spark: SparkSession, folder: str, contains: str = "", suffix: str = "", base_only: bool = False
 ) -> str:
@@ -53,8 +57,8 @@ def load_csv(
     """Load a CSV file into a raw table: text but for dates and timestamps, with a load stamp.
 
     Daily and monthly loads take the newest file below the input's folder whose name holds the input's stem; others
-    take the input as it is. One plan scans, projects, stamps and appends. Older rows without a stamp are
-    stamped first, where there are any.
+    take the input as it is. One plan scans, projects, stamps and appends. Older rows without a
+    stamp, also those that others have put in since the last load, are stamped first. A new table is partitioned by the day of the column that ``campo_particion`` names, if any.
     """
     source, target = _source_and_target(params)
     if normal_period(params.get("periodicidad")) in ("daily", "monthly"):
@@ -65,7 +69,7 @@ def load_csv(
     rows = string_projection(
         read_csv(spark, source, params.get("csv_delimiter", ","), header, schema=schema)
     )
-    created = ensure_table(spark, target, _with_stamp(raw_schema(rows.schema), stamp_column))
+    created = ensure_table(spark, target, _with_stamp(raw_schema(rows.schema), stamp_column), params.get(PARTITION_KEY) or None)
     if stamp_column:
         stamp = load_stamp(now)
         if not created:
@@ -94,7 +98,7 @@ def load_parquet(spark: SparkSession, params: Mapping[str, str], now: dt.datetim
     else:
         source = f"{folder}/{stem}_{now:%Y-%m-%d}{extension}"
     rows = read_parquet(spark, source)
-    created = ensure_table(spark, target, rows.schema)
+    created = ensure_table(spark, target, rows.schema, params.get(PARTITION_KEY) or None)
     append_rows(spark, rows, target)
     return {"status": "OK", "file": source, "table": target, "created": created}
 
@@ -111,12 +115,14 @@ def reload_date(
     """Purge the date and append its rows, so that a repeated load leaves the same table.
 
     A sporadic load, or one without a column or date, replaces the whole table. An unpartitioned table gets one new version
-    without the old rows and with the new ones, a partitioned one is purged and then appended to. ``rows`` must not
-    read the table.
+    without the old rows and with the new ones; the day of a table partitioned by it is overwritten; any other partitioned one is purged and
+    then appended to. ``rows`` must not read the table.
     """
     if sporadic or not date_column or not day:
         full_refresh(spark, table, ddl)
     elif partition_columns(spark, table):
+        if replace_day(spark, rows, table, date_column, day):
+            return
         purge_table(spark, table, date_column, day)
     else:
         fresh = fitted(spark, rows, table)
@@ -143,10 +149,8 @@ def load_documents(
         if not entry.get("url") or not name or not wanted:
             results.append({"filename": name or None, "status": "SKIPPED", "error": "url, filename or vars missing"})
             continue
-        # Fixed value: the prefix of inner fields.
-        fields = wanted.split(";")
-        nested = [f.replace("serie.", "") for f in fields if f.startswith("serie.")]
-        flat = [f for f in fields if not f.startswith("serie.")]
+        listed = spark.range(1).select(field_list(F.lit(wanted)).alias("f")).first()["f"]
+        flat, nested = listed["flat"], listed["nested"]
         try:
             docs = read_documents(spark, f"{landed.rstrip('/')}/{name.removesuffix('.parquet')}.json")
             path = write_parquet(flatten_documents(docs, flat, nested), f"{out.rstrip('/')}/{name}", mode="overwrite")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import ParseException
@@ -14,6 +15,7 @@ from ..functions.dates import normal_period
 from ..operators import natural_order, outcome
 from ..sinks import export_rows, full_refresh, purge_table, quoted, results_frame, write_document
 from ..sinks.files import slug
+from ..sinks.tables import defined_name, same_table
 from ..sources import read_texts
 
 # The names that a template may use.
@@ -51,7 +53,7 @@ def run_sql(spark: SparkSession, text: str, dry_run: bool = False) -> str | None
         if ";" not in text:
             raise
         if dry_run:
-            return "several statements, not checked"
+            return _check_each(spark, text)
         try:
             result = spark.sql(f"BEGIN\n{text}\nEND")
         except ParseException:
@@ -66,6 +68,33 @@ def run_sql(spark: SparkSession, text: str, dry_run: bool = False) -> str | None
     return None
 
 
+def split_statements(text: str) -> list[str]:
+    """The statements of a text. Semicolons within quotes and comments don't end one."""
+    tokens = re.finditer(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*[\s\S]*?\*/|;""", text)
+    cuts = [m.start() for m in tokens if m.group() == ";"]
+    parts = [text[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)])]
+    return [p.strip() for p in parts if re.sub(r"--[^\n]*|/\*[\s\S]*?\*/", "", p).strip()]
+
+
+def _check_each(spark: SparkSession, text: str) -> str | None:
+    """Check every statement of a text without running any. What an earlier one would make counts as there."""
+    made: set[str] = set()
+    unchecked = 0
+    for statement in split_statements(text):
+        try:
+            run_sql(spark, statement, dry_run=True)
+        except ParseException:
+            raise
+        except Exception as error:
+            if not any(re.search(rf"(?<![\w]){re.escape(name)}(?![\w])", statement.replace("`", ""), re.IGNORECASE) for name in made):
+                raise error
+            unchecked += 1  # it uses what isn't there before the text runs
+        found = re.match(r"\s*CREATE\s+(?:OR\s+REPLACE\s+)?(?:TEMP(?:ORARY)?\s+)?(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?([\w.`-]+)", statement, re.IGNORECASE)
+        if found:
+            made.add(found.group(1).replace("`", ""))
+    return f"{unchecked} statements use what earlier ones make" if unchecked else None
+
+
 def run_scripts(
     spark: SparkSession, scripts: DataFrame, dry_run: bool = False, variables: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -217,10 +246,11 @@ def purge_entries(spark: SparkSession, entries, process_ddl: DataFrame, process_
         day, column = (entry.get("fecha_param") or "").strip(), (entry.get("fecha_columna") or "").strip()
         try:
             if normal_period(entry.get("periodicidad")) == "sporadic" or not day or not column:
-                found = definitions(process_ddl, process_name, ["raw"]).first()
-                if found is None or not found["ddl_statement"]:
-                    raise LookupError("no definition registered")
-                full_refresh(spark, name, found["ddl_statement"])
+                listed = [row["ddl_statement"] or "" for row in definitions(process_ddl, process_name, ["raw"]).collect()]
+                found = next((ddl for ddl in listed if same_table(defined_name(ddl), name)), None)
+                if found is None:
+                    raise LookupError(f"no definition of {name} registered")
+                full_refresh(spark, name, found)
                 results.append({"table_name": name, "status": "OK", "reason": "created anew"})
             else:
                 purge_table(spark, name, column, day)

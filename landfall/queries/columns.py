@@ -386,3 +386,15 @@ def status_text_and_defaults(t):
         L.default_if_blank(blanked, "none").alias("filled"),
         L.default_if_absent(entry, "kind", "absent").alias("keyed"),
     )
+
+
+@query("""
+SELECT o_orderkey, rtrim(printf('%.7f', o_orderkey / 1e7), '0') || CASE WHEN o_orderkey % 10000000 = 0 THEN '0' ELSE '' END AS small,
+       cast(o_orderkey AS VARCHAR) || '0000000000000000.0' AS large, cast(o_orderkey AS VARCHAR) || '000000000000000.0' AS middle,
+       rtrim(printf('%.3f', o_orderkey / 1e3), '0') || CASE WHEN o_orderkey % 1000 = 0 THEN '0' ELSE '' END AS thousandth
+FROM (SELECT o_orderkey + 1 AS o_orderkey FROM orders)""")
+def double_texts(t):
+    orders = t.orders.select((F.col("o_orderkey") + 1).alias("o_orderkey"))
+    key = F.col("o_orderkey").cast("double")
+    numbers = {"small": key / 1e7, "large": key * 1e16, "middle": key * 1e15, "thousandth": key / 1e3}
+    return orders.select("o_orderkey", *(L.plain_text(v).alias(k) for k, v in numbers.items()))

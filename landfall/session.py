@@ -35,15 +35,24 @@ def build_session(name: str = "landfall", master: str | None = None, **conf: str
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a machine-local folder; on a cluster such a folder would be
-    invisible to the other machines.
+    Only a session known to be local may fall back to a machine-local folder; on a cluster such a folder would be
+    invisible to the other machines. What is written there stays until ``remove_scratch`` is called.
     """
     global _LOCAL_SCRATCH
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", None) or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if _LOCAL_SCRATCH is None:
             _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="landfall-")
         root = _LOCAL_SCRATCH
     return os.path.join(root, "landfall", f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a path that ``scratch_path`` gave. Frames that read it can't be used afterwards. Returns whether it was there."""
+    if "/landfall/" not in path:
+        raise ValueError(f"{path} is not a scratch path")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

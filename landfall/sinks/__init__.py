@@ -5,5 +5,5 @@ from .files import (
 )
 from .tables import (
     add_table_column, align, append_rows, day_columns, empty_table, ensure_table, fitted, full_refresh, location,
-    partition_columns, properties, purge_table, quoted, replace_rows, rewrite, table_on_date,
+    partition_columns, properties, purge_table, quoted, remove_version, replace_day, replace_rows, rewrite, table_on_date,
 )

@@ -1,13 +1,15 @@
 """Table sinks and row changes on catalogue tables of plain Parquet.
 
-Such tables have no DELETE or UPDATE. A change rewrites the partitions that hold the rows concerned, or writes a
-new version of an unpartitioned table beside the old one and points the table to it, so a job that dies
-half-way leaves the table as it was.
+Such tables have no DELETE or UPDATE. A change writes a new version of an unpartitioned table beside the old one and points the table to it,
+so a job that dies half-way leaves the table as it was. Of a partitioned table it replaces the partitions that hold the rows concerned in one
+overwrite, and then empties those of which nothing is left; a job that dies in between leaves some of them full, and running it
+again completes it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -18,6 +20,7 @@ from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZTyp
 from ..functions import day_literal, on_date
 from ..operators.mutate import purge
 from ..operators.schema import enforce_required
+from ..session import remove_scratch, scratch_path
 
 _DAY_OF = "landfall.day_of."
 _REQUIRED = "landfall.required"
@@ -97,10 +100,16 @@ def day_columns(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def table_on_date(spark: SparkSession, table: str, column: str, day: dt.date | str) -> DataFrame:
-    """Rows of a date; a table partitioned by that column's day reads one partition."""
+    """Rows of a date; a table partitioned by that column's day reads its partition and that of rows without a day."""
     rows = spark.table(quoted(table)).where(on_date(column, day))
-    day_column = day_columns(spark, table).get(column)
-    return rows.where(F.col(day_column) == day_literal(day)) if day_column else rows
+    day_column = _day_column(spark, table, column)
+    # An INSERT by SQL may have left the day out.
+    return rows.where((F.col(day_column) == day_literal(day)) | F.col(day_column).isNull()) if day_column else rows
+
+
+def _day_column(spark: SparkSession, table: str, column: str) -> str | None:
+    """The day column that belongs to a timestamp column, whatever the case of its name."""
+    return {source.lower(): day for source, day in day_columns(spark, table).items()}.get(column.lower())
 
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
@@ -122,8 +131,9 @@ def fitted(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     target = spark.table(quoted(table)).schema
     props = properties(spark, table)
     for source, day in day_columns(spark, table).items():
-        if source in df.columns:
-            df = df.withColumn(day, F.to_date(F.col(source)))
+        given = next((name for name in df.columns if name.lower() == source.lower()), None)
+        if given:
+            df = df.withColumn(day, F.to_date(F.col(f"`{given}`")))
     rows = align(df, target)
     required = props.get(_REQUIRED, "").split(",")
     checked = StructType([StructField(f.name, f.dataType, f.name not in required) for f in target.fields])
@@ -166,19 +176,50 @@ def empty_table(spark: SparkSession, table: str) -> None:
 def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> None:
     """Empty the table; with its registered definition, create it anew from that.
 
-    A new table starts in the folder of the first version, so that folder is emptied, too.
+    The definition must be of this table and have no placeholder left, and it is first tried under another name. Only when
+    that has worked, the old table goes, so a bad definition leaves it with all its rows. A new table starts in the folder of the first
+    version, so that folder is emptied, too.
     """
+    if ddl is None:
+        if spark.catalog.tableExists(quoted(table)):
+            empty_table(spark, table)
+        return
+    name = defined_name(ddl)
+    if not same_table(name, table):
+        raise ValueError(f"the definition is of {name or 'no table'}, not of {table}")
+    if "${" in ddl:
+        raise ValueError("the definition holds a placeholder without a value")
+    trial = ".".join([*name.replace("`", "").split(".")[:-1], f"landfall_trial_{uuid.uuid4().hex}"])
+    folder = scratch_path(spark, "trial")
+    try:
+        spark.sql(_LOCATION.sub(f"LOCATION '{folder}'", ddl.replace(name, quoted(trial), 1)))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(trial)}")
     if spark.catalog.tableExists(quoted(table)):
-        if ddl:
-            place = location(spark, table)
-            if _VERSION in place:
-                spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(place.split(_VERSION)[0])}")
-                spark.catalog.refreshTable(quoted(table))
+        place = location(spark, table)
+        if _VERSION in place:
+            spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(place.split(_VERSION)[0])}")
+            spark.catalog.refreshTable(quoted(table))
         empty_table(spark, table)
-        if ddl:
-            spark.sql(f"DROP TABLE {quoted(table)}")
-    if ddl:
-        spark.sql(ddl)
+        spark.sql(f"DROP TABLE {quoted(table)}")
+    spark.sql(ddl)
+
+
+_LOCATION = re.compile(r"\bLOCATION\s+(?:'[^']*'|\"[^\"]*\")", re.IGNORECASE)
+_CREATED = re.compile(r"\s*CREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:`[^`]+`|[\w-]+)(?:\.(?:`[^`]+`|[\w-]+))*)", re.IGNORECASE)
+
+
+def defined_name(ddl: str) -> str | None:
+    """The name in a CREATE statement, as it is written there."""
+    found = _CREATED.match(ddl)
+    return found.group(1) if found else None
+
+
+def same_table(name: str | None, table: str) -> bool:
+    """Whether two names are of one table, as far as both say; each needs a schema."""
+    a, b = ((x or "").replace("`", "").lower().split(".") for x in (name, table))
+    n = min(len(a), len(b))
+    return n >= 2 and a[-n:] == b[-n:]
 
 
 def _partition_key(names: list[str]) -> Column:
@@ -237,7 +278,10 @@ def rewrite(
     specs = current.where(touched).select(*columns).distinct().collect()
     if not specs:
         return {"changed": False}
-    changed = change(current.where(_in_partitions(specs))).select(*current.columns)
+    # Written down, so that the change runs once though it is read twice.
+    written = scratch_path(spark, "rewrite")
+    change(current.where(_in_partitions(specs))).select(*current.columns).write.parquet(written)
+    changed = spark.read.schema(current.schema).parquet(written)
     filled = {row["_key"] for row in changed.select(columns[-1]).distinct().collect()}
     if filled:
         # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
@@ -247,23 +291,72 @@ def rewrite(
     for spec in specs:
         if spec["_key"] not in filled:
             _empty_partition(spark, table, {name: spec[name] for name in parts})
+    remove_scratch(spark, written)
     return {"changed": True, "partitions": len(specs)}
 
 
 def purge_table(spark: SparkSession, table: str, column: str, day: dt.date | str) -> dict[str, object]:
-    """Remove the rows of a date. A partition of just that date goes without reading its rows."""
+    """Remove the rows of a date. Partitions of just that date go without reading their rows, all in one statement.
+
+    Rows that lie in the partition without a day, because an INSERT left it out, are looked at by their timestamp.
+    """
     parts = partition_columns(spark, table)
-    day_column = day_columns(spark, table).get(column, column)
+    derived = _day_column(spark, table, column)
+    day_column = derived or next((p for p in parts if p.lower() == column.lower()), column)
     kinds = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
-    if day_column in parts and isinstance(kinds[day_column], DateType):
-        rows = spark.table(quoted(table)).where(F.col(day_column) == day_literal(day))
-        specs = rows.select(*parts).distinct().collect()
-        for spec in specs:
-            _empty_partition(spark, table, spec.asDict())
-        return {"changed": bool(specs), "partitions": len(specs)}
+    if parts and day_column == parts[0] and isinstance(kinds[day_column], DateType):
+        found = not spark.table(quoted(table)).where(F.col(day_column) == day_literal(day)).isEmpty()
+        if found:
+            _empty_day(spark, table, parts, day)
+        if derived:
+            stray = F.col(day_column).isNull() & on_date(column, day)
+            found = rewrite(spark, table, stray, lambda df: purge(df, column, day))["changed"] or found
+        return {"changed": found}
     return rewrite(spark, table, on_date(column, day), lambda df: purge(df, column, day))
 
 
+def _empty_day(spark: SparkSession, table: str, parts: list[str], day: dt.date | str) -> None:
+    """Empty all partitions of a day, whatever the values of further partition columns."""
+    fields = [f for f in spark.table(quoted(table)).schema.fields if f.name != parts[0]]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    spec = ", ".join([f"`{parts[0]}` = {_text(str(day))}", *(f"`{p}`" for p in parts[1:])])
+    with _overwriting(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) SELECT {nothing} WHERE false")
+
+
+def replace_day(spark: SparkSession, df: DataFrame, table: str, column: str, day: dt.date | str) -> bool:
+    """Put the rows of a date in the place of the table's, in one overwrite; False if the table isn't partitioned by just that day.
+
+    Rows of the frame that are of other dates are appended.
+    """
+    parts = partition_columns(spark, table)
+    day_column = _day_column(spark, table, column)
+    if not day_column or parts != [day_column]:
+        return False
+    rows = fitted(spark, df, table)
+    mine = F.coalesce(F.col(day_column) == day_literal(day), F.lit(False))
+    stray = F.col(day_column).isNull() & on_date(column, day)
+    rewrite(spark, table, stray, lambda old: purge(old, column, day))
+    if rows.where(mine).isEmpty():
+        _empty_day(spark, table, parts, day)
+    else:
+        with _overwriting(spark, "dynamic"):
+            rows.where(mine).write.mode("overwrite").insertInto(quoted(table))
+    rows.where(~mine).write.mode("append").insertInto(quoted(table))
+    return True
+
+
+def remove_version(spark: SparkSession, table: str, previous: str) -> bool:
+    """Delete an old version's folder that ``rewrite`` has named, unless the table points to it. Returns whether it was there."""
+    place = location(spark, table)
+    if place.rstrip("/") == previous.rstrip("/"):
+        raise ValueError("the table is in this folder")
+    if previous.split(_VERSION)[0].rstrip("/") != place.split(_VERSION)[0].rstrip("/"):
+        raise ValueError(f"{previous} is no version of {table}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(previous)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def add_table_column(spark: SparkSession, table: str, name: str, kind: str) -> bool:
     """Add a column unless the table has it. Returns whether it was added."""
     if name.lower() in (c.lower() for c in spark.table(quoted(table)).columns):

@@ -1,6 +1,6 @@
 """Readers."""
 
-from .delimited import joined_records, quoting, read_csv
+from .delimited import never_closed, quoting, read_csv
 from .documents import calendar_entries, flatten_documents, missing_fields, read_calendar, read_documents
-from .files import file_catalog, parquet_row_counts, path_exists, qualified_path, read_parquet, read_texts
+from .files import plain_path, recent_parquet, file_catalog, parquet_row_counts, path_exists, qualified_path, read_parquet, read_texts
 from .params import each_entry, explode_params, first_entry, parse_entries, process_entries, rejected_params

@@ -5,112 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..session import scratch_path
-
 _OVERFLOW = "_overflow"
 
-# Stand-ins for a newline within a field; the first one that the data does not hold is used.
-_MARKS = ("\u0001", "\u0002", "\u0003", "\u0004", "\u0005")
-
-# Files of up to this size may be parsed by one task each.
-WHOLE_FILE_BYTES = 1 << 27
 
+def _left_open(line: Column, delimiter: str) -> Column:
+    """Whether a line that begins outside quotes ends within a quoted field.
 
-def _odd_quotes(value: Column) -> Column:
-    return (F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))) % 2
+    A quote opens a field only at the field's start; elsewhere it is a character. Closed fields are taken out, so an opening quote that
+    is left has no end.
+    """
+    sep = "\\Q" + delimiter + "\\E"
+    other = f"(?:(?!{sep})[\\s\\S])*+"
+    closed = F.regexp_replace(line, f'(^|{sep})"[^"]*+(?:""[^"]*+)*+"(?!"){other}', "$1")
+    return closed.rlike(f'(?s)(^|{sep})"')
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def quoting(spark: SparkSession, path: str) -> Row:
-    """One scan of the text, without parsing: ``newlines``, ``open``, ``returns``, ``largest``.
+def quoting(spark: SparkSession, path: str, delimiter: str = ",") -> Row:
+    """One scan of the text, without parsing: ``newlines`` and ``returns``.
 
-    A record that spans lines opens a quote it does not close on its first line. When every line has an even
-    count of quotes no record spans lines, so the file can be split among tasks. An odd number of odd lines leaves
-    a quote open. ``returns`` says whether there are carriage returns, ``largest`` is the size of the largest file.
+    ``newlines`` tells whether a record spans lines. If no line that begins outside quotes ends within them, none does, and the
+    file can be split among tasks. A reader takes a lone carriage return for the end of a line, too. ``returns`` tells whether the first
+    line of every file ends with a carriage return.
     """
     value = F.col("value")
-    odd = _odd_quotes(value)
-    # A reader takes a lone carriage return for the end of a line, too.
-    inner = F.regexp_replace(value, r"\r\z", "").contains("\r")
-    broken = F.when(inner, F.exists(F.split(value, "\r"), lambda part: _odd_quotes(part) == 1)).otherwise(odd == 1)
-    files = (
-        _lines(spark, path)
-        .groupBy(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size"))
-        .agg(
-            F.bool_or(broken).alias("newlines"),
-            (F.sum(odd) % 2 == 1).alias("open"),
-            F.bool_or(value.contains("\r")).alias("returns"),
-        )
-    )
-    flags = (F.coalesce(F.bool_or(name), F.lit(False)).alias(name) for name in ("newlines", "open", "returns"))
-    return files.agg(*flags, F.max("size").alias("largest")).first()
+    parts = F.exists(F.split(value, "\r"), lambda part: _left_open(part, delimiter))
+    broken = F.when(~value.contains('"'), False).when(value.contains("\r"), parts).otherwise(_left_open(value, delimiter))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    files = _lines(spark, path).select(F.col("_metadata.file_path").alias("file"), broken.alias("broken"), value.endswith("\r").alias("cr"), place.alias("place"))
+    per_file = files.groupBy("file").agg(F.bool_or("broken").alias("broken"), F.min_by("cr", "place").alias("cr"))
+    return per_file.agg(*(F.coalesce(f, F.lit(False)).alias(n) for f, n in ((F.bool_or("broken"), "newlines"), (F.bool_and("cr"), "returns")))).first()
 
 
-def joined_records(spark: SparkSession, path: str, header: bool, mark: str) -> DataFrame:
-    """The records of CSV files, one per row, with ``mark`` for each newline within a record.
+def never_closed(spark: SparkSession, path: str, delimiter: str = ",") -> bool:
+    """Whether a file ends within quotes.
 
-    A line with an odd number of quotes opens or closes a quoted part. Counting those lines within each split and adding
-    the counts of the splits before gives every line its place, so no task needs more than a split: a line is a
-    record of its own when an even count comes before it and its own quotes pair up, otherwise it belongs to the
-    record numbered by half that count. Only the lines of such records are grouped.
+    What a line does to the state (outside or within quotes) depends on the state before it: it may set, keep or turn it. Lines are put
+    together within each split, and the splits of a file in their order, so no task needs more than a split.
     """
+    value = F.col("value")
     lines = _lines(spark, path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        _odd_quotes(F.col("value")).alias("odd"),
-    )
-    # One row per split.
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy("file", "block")
-        .agg(F.sum("odd").alias("odds"))
-        .select("file", "block", F.coalesce(F.sum("odds").over(earlier), F.lit(0)).alias("carried"))
-    )
-    within = Window.partitionBy("file", "block").orderBy("line")
-    before = F.coalesce(F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = (
-        lines.join(splits, ["file", "block"])
-        .withColumn("before", F.col("carried") + before)
-        .withColumn("first", (F.col("block") == 0) & (F.row_number().over(within) == 1))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+        _left_open(value, delimiter).cast("int").alias("out"), _left_open(F.concat(F.lit('"'), value), delimiter).cast("int").alias("within"),
     )
-    alone = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
-    kept = ~F.col("first") if header else F.lit(True)
-    single = placed.where(alone & kept).select("value")
-    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    several = (
-        placed.where(~alone)
-        .groupBy("file", F.shiftright("before", 1).alias("record"))
-        .agg(F.bool_or("first").alias("first"), F.transform(parts, lambda p: p["value"]).alias("values"))
-        .where(kept)
-        .select(F.array_join("values", mark).alias("value"))
-    )
-    return single.unionByName(several).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
-
-
-def _rewrite_on_lines(
-    spark: SparkSession, path: str, options: dict[str, str], header: bool
-) -> tuple[str, str, list[str]]:
-    """Write the records to the scratch folder with one line and all columns each.
-
-    Returns the folder, the mark that stands for a newline, and the column names, which may hold newlines too.
-    """
-    lines = _lines(spark, path)
-    mark = next((m for m in _MARKS if lines.where(F.col("value").contains(m)).isEmpty()), None)
-    if mark is None:
-        raise ValueError(f"{path} holds every character that could stand for a newline")
-    names = spark.read.options(**options, header=str(header).lower(), multiLine="true").csv(path).columns
-    columns = ", ".join([*(f"_c{i} STRING" for i in range(len(names))), f"{_OVERFLOW} STRING"])
-    records = joined_records(spark, path, header, mark).where(F.trim("value") != "")
-    folder = scratch_path(spark, "csv")
-    records.select(F.from_csv("value", columns, options).alias("_r")).select("_r.*").write.options(
-        **options, header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
-    ).csv(folder)
-    return folder, mark, names
+    sets = F.col("out") == F.col("within")
+    so_far = Window.partitionBy("file", "block").orderBy("line")
+    turned = lines.withColumn("turns", F.sum(F.when((F.col("out") == 1) & ~sets, 1).otherwise(0)).over(so_far))
+    splits = turned.groupBy("file", "block").agg(
+        F.max("turns").alias("turns"), F.max(F.when(sets, F.struct("line", (F.col("out") + F.col("turns")).alias("state")))).alias("last"))
+    step = F.struct("block", "turns", F.col("last.state").alias("state"))
+    state = F.aggregate(
+        F.array_sort(F.collect_list(step)), F.lit(0).cast("bigint"), lambda before, s: (F.coalesce(s["state"], before) + s["turns"]) % 2)
+    return not splits.groupBy("file").agg(state.alias("state")).where("state = 1").isEmpty()
 
 
 def read_csv(
@@ -120,7 +69,6 @@ def read_csv(
     header: bool = True,
     schema: StructType | None = None,
     quoted_newlines: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """A scan of UTF-8 CSV with inferred or given types.
 
@@ -128,39 +76,22 @@ def read_csv(
     fields than columns fails the query that reads it; the check is part of the scan, so a load that meets such
     a row writes nothing. With a given schema the data is read once, otherwise types need a pass of their own.
 
-    Spark can split a CSV file only if no field holds a newline. Where some do, files of up to ``whole_file_bytes``
-    are parsed by a task each. Where one is larger, the records are first rewritten to the scratch folder with
-    a stand-in for those newlines, and then read like any others. So are files with carriage returns, because the
-    parser would drop those within fields. Without ``quoted_newlines`` there are none, which saves the scan that
-    looks for them.
+    Spark can split a CSV file only if no record spans lines. A scan of the text finds out, which ``quoted_newlines=False`` saves.
+    Where records do, each file is parsed by one task, whatever its size, so large data of that kind should come in several files.
     """
-    options = {"sep": delimiter, "quote": '"', "escape": '"'}
-    mark = None
-    reading = {**options, "header": str(header).lower()}
-    found = quoting(spark, path) if quoted_newlines else None
-    if found and found["newlines"]:
-        if found["open"]:
+    reading = {"sep": delimiter, "quote": '"', "escape": '"', "header": str(header).lower()}
+    if quoted_newlines and (found := quoting(spark, path, delimiter))["newlines"]:
+        if never_closed(spark, path, delimiter):
             raise ValueError(f"a quoted field of {path} is never closed")
-        if found["largest"] <= whole_file_bytes and not found["returns"]:
-            reading["multiLine"] = "true"
-        else:
-            path, mark, names = _rewrite_on_lines(spark, path, options, header)
-            reading.update(header="true", lineSep="\n")
+        reading["multiLine"] = "true"
+        if found["returns"]:
+            reading["lineSep"] = "\r\n"  # so that line ends within fields stay as they are
     if schema is None:
-        inferred = spark.read.options(**reading, inferSchema="true").csv(path).schema
-        schema = inferred if mark is None else StructType(
-            [StructField(name, f.dataType) for name, f in zip(names, inferred.fields)]
-        )
+        schema = spark.read.options(**reading, inferSchema="true").csv(path).schema
     if not schema.fields:
         raise ValueError(f"{path} has no columns")
     wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
     rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     message = F.concat(F.lit("row has too many fields, the first extra one is: "), F.col(_OVERFLOW))
     whole = rows.where(F.when(F.col(_OVERFLOW).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
-
-    def value(field: StructField) -> Column:
-        c = F.col(f"`{field.name}`")
-        marked = mark and isinstance(field.dataType, StringType)
-        return (F.translate(c, mark, "\n") if marked else c).alias(field.name)
-
-    return whole.select(*map(value, schema.fields))
+    return whole.select(*(F.col(f"`{f.name}`") for f in schema.fields))

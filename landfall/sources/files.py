@@ -30,7 +30,7 @@ def qualified_path(spark: SparkSession, path: str) -> str:
     return system.makeQualified(hadoop_path).toString()
 
 
-def _plain(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     """A path as readers take it, from the encoded form of file metadata."""
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, r"\A([a-z]+):///", "$1:/")
@@ -59,7 +59,7 @@ def file_catalog(
     if scanned.count() == len(names):
         return scanned
     listed = spark.createDataFrame([(name,) for name in names], "name string")
-    listed = listed.select(_plain(F.col("name")).alias("path"))
+    listed = listed.select(plain_path(F.col("name")).alias("path"))
     rows = []
     for row in listed.join(scanned, "path", "left_anti").toLocalIterator():
         system, hadoop_path = _hadoop(spark, row["path"])
@@ -68,18 +68,22 @@ def file_catalog(
     return scanned.unionByName(spark.createDataFrame(rows, scanned.schema))
 
 
+def recent_parquet(spark: SparkSession, since: dt.datetime | None = None):
+    """A reader of all Parquet files below the paths, or the recent ones."""
+    return _since(spark.read, since).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+
+
 def parquet_row_counts(spark: SparkSession, *paths: str, since: dt.datetime | None = None) -> DataFrame:
     """``path`` and ``row_count`` for each readable Parquet file that has rows.
 
     The read schema is empty, so only footers are read, and files of different schemas may be mixed.
     """
     return (
-        _since(spark.read.schema(StructType([])), since)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
+        recent_parquet(spark, since)
+        .schema(StructType([]))
         .option("ignoreCorruptFiles", True)
         .parquet(*paths)
-        .groupBy(_plain(F.col("_metadata.file_path")).alias("path"))
+        .groupBy(plain_path(F.col("_metadata.file_path")).alias("path"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
@@ -93,7 +97,7 @@ def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .text(path, wholetext=True)
-        .select(_plain(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("body"))
+        .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("body"))
     )
     listed = file_catalog(spark, path, glob=glob).select("path")
     return listed.join(texts, "path", "left").withColumn("body", F.coalesce("body", F.lit("")))

@@ -103,9 +103,12 @@ def test_field_list(spark):
 
 
 def test_plain_text(spark):
-    rows = spark.createDataFrame([(v,) for v in (1.5, 12345678.9, 1e7, -2.5e9, 0.0, None, 1e300)], "x double")
+    rows = spark.createDataFrame([(v,) for v in (1.5, 12345678.9, 1e7, -2.5e9, 0.0, None, 0.0001, -1.2e-4, 1.25e-7, 1e15, 1.5e16, 123456789012345680.0)], "x double")
     found = [r[0] for r in rows.select(L.plain_text("x")).collect()]
-    assert found == ["1.5", "12345678.9", "10000000.0", "-2500000000.0", "0.0", None, "1.0E300"]
+    assert found == ["1.5", "12345678.9", "10000000.0", "-2500000000.0", "0.0", None, "0.0001", "-0.00012", "0.000000125", "1000000000000000.0", "15000000000000000.0", "123456789012345680.0"]
+    odd = spark.createDataFrame([(v,) for v in (1e300, float("nan"), float("inf"), 5e-324)], "x double")
+    texts = [r[0] for r in odd.select(L.plain_text("x")).collect()]
+    assert texts[:3] == ["1" + "0" * 300 + ".0", "NaN", "Infinity"] and float(texts[3]) == 5e-324
 
 
 def test_period_date(spark):

@@ -148,23 +148,23 @@ def test_due_schedules_reasons(spark):
     assert rows["p", dt.date(2030, 1, 1)]["reason"] == "not a business day"
 
 
-def test_small_side_is_counted(spark):
-    assert "broadcast" in O.small_side(spark.range(5))._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in O.small_side(spark.range(5), size=20)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in O.small_side(spark.range(5), rows=4)._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_business_day_without_broadcast(spark, monkeypatch):
-    from landfall.operators import lookup
-
+def test_business_day_without_broadcast(spark):
     days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-10')) AS day")
     calendar = days.where("day < '2024-01-08'").select(F.lit(0).alias("position"), "day", F.when(F.dayofmonth("day") < 6, "S").otherwise("N").alias("flag"))
     expected = O.with_business_day(days, "day", calendar).orderBy("day").collect()
-    monkeypatch.setattr(lookup, "small_side", lambda df: df.hint("merge"))
-    assert O.with_business_day(days, "day", calendar).orderBy("day").collect() == expected
+    assert O.with_business_day(days, "day", calendar.hint("merge")).orderBy("day").collect() == expected
     assert [r["is_business_day"] for r in expected] == [True] * 5 + [False] * 5
 
 
+def test_expected_folders_are_matched_before_the_shuffle(spark):
+    """No exchange of files by folder but behind the join with the expected ones."""
+    expected = spark.createDataFrame([("r/a",)], "path string")
+    files = spark.createDataFrame([(f"r/a/{i}.parquet",) for i in range(50)], "path string").repartition(4)
+    plan = O.expected_files(expected, files)._jdf.queryExecution().optimizedPlan().toString()
+    generate = plan.index("Generate explode")
+    assert "Join Inner" in plan[:generate] and plan[:generate].rindex("Join Inner") > plan[:generate].rindex("LeftOuter")
+
+
 def test_expected_files(spark):
     expected = spark.createDataFrame([("r/a/",), ("r/b",), ("r",)], "path string")
     files = spark.createDataFrame([("r/a/x/1.parquet",), ("r/a2/2.parquet",)], "path string")

@@ -29,14 +29,28 @@ def test_csv(spark, tmp_path, seed):
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     try:
-        for limit, split in ((0, rng.randint(20, 400)), (0, 1 << 27), (1 << 27, 1 << 27)):
+        for split in (rng.randint(20, 400), 1 << 27):
             spark.conf.set(key, split)
-            frame = S.read_csv(spark, str(tmp_path / "a.csv"), whole_file_bytes=limit)
+            frame = S.read_csv(spark, str(tmp_path / "a.csv"))
             assert sorted(map(tuple, frame.collect())) == rows
     finally:
         spark.conf.set(key, before)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_csv_as_the_plain_parser(spark, tmp_path, seed):
+    """Quotes within unquoted fields, blank lines and control characters."""
+    rng = random.Random(seed)
+    pieces = ["a", "5\"", " ", "\x01", "\x05", "é", "'", "\t"]
+    field = lambda: "x" + "".join(rng.choice(pieces) for _ in range(rng.randint(0, 5)))
+    quoted = lambda: '"' + field().replace('"', '""') + rng.choice(["", "\n", "\n\n", ',"",']) + '"'
+    lines = [f"{i},{rng.choice((field, quoted))()},{rng.choice((field, quoted))()}" + "\n" * rng.randint(1, 3) for i in range(200)]
+    (tmp_path / "a.csv").write_text("\n" * rng.randint(0, 2) + "id,a,b\n" + "".join(lines))
+    plain = spark.read.options(header="true", quote='"', escape='"', multiLine="true", inferSchema="true").csv(str(tmp_path / "a.csv"))
+    assert sorted(map(tuple, S.read_csv(spark, str(tmp_path / "a.csv")).collect())) == sorted(map(tuple, plain.collect()))
+    assert plain.count() == 200
+
+
 def test_vars_map(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice("ab|; |;") for _ in range(rng.randint(0, 20))) for _ in range(400)]
