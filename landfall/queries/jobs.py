@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as L
+from .. import operators as O
 from .. import plans as P
 from .. import sinks as K
 from .. import sources as S
@@ -65,12 +67,12 @@ def csv_split_within_records(t):
 
 
 @query("""
-SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, cast(o_totalprice AS VARCHAR) AS o_totalprice, o_orderdate,
+SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, cast(o_totalprice AS VARCHAR) AS o_totalprice, o_orderdate,
        o_orderpriority, TIMESTAMP '2024-07-01 08:00:00' AS fecha_carga
 FROM orders""")
 def load_csv(t):
     folder = t.scratch("landing")
-    columns = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     _write_csv(t.orders.select(*columns), f"{folder}/orders", timestampNTZFormat="yyyy-MM-dd HH:mm:ss", sep="|")
     params = {
         "input": f"{folder}/orders",
@@ -87,10 +89,10 @@ def load_csv(t):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem""")
+SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem""")
 def parquet_append(t):
     folder = t.scratch("landing")
-    K.write_parquet(t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate"), f"{folder}/items_2024-07-01.parquet")
+    K.write_parquet(t.lineitem, f"{folder}/items_2024-07-01.parquet")
     params = {
         "input": f"{folder}/items.parquet", "output": f"spark_catalog.{t.schema()}.items", "periodicidad": "diario",
     }
@@ -147,15 +149,15 @@ def reload_plain_table(t):
 
 
 @query("""
-SELECT event_id, ts, user_id, event_type, props FROM events WHERE ts::DATE <> DATE '2024-01-10'""")
+SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts::DATE <> DATE '2024-01-10'""")
 def purge_other_partition(t):
     # The table is partitioned by something else than the purged date.
     table = f"{t.schema()}.events"
     t.spark.sql(
-        f"CREATE TABLE {table} (event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, props STRING, event_type STRING) "
+        f"CREATE TABLE {table} (event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE, props STRING, event_type STRING) "
         "USING parquet PARTITIONED BY (event_type)"
     )
-    K.append_rows(t.spark, t.events.drop("value"), table)
+    K.append_rows(t.spark, t.events, table)
     K.purge_table(t.spark, table, "ts", "2024-01-10")
     return t.spark.table(table)
 
@@ -213,7 +215,7 @@ def landing_report(t):
     t.events.where(F.lit(False)).write.parquet(absent)
     expected = kinds.withColumn("periodicidad", F.lit("diaria"))
     report = P.landing_report(t.spark, expected, now)
-    unfilled = t.events.agg(F.lit(absent).alias("path"), F.lit("diaria").alias("periodicidad"))
+    unfilled = t.spark.createDataFrame([(absent, "diaria")], "path string, periodicidad string")
     late = P.landing_report(t.spark, unfilled, now + dt.timedelta(days=1))
     return (
         report.unionByName(late)
@@ -342,8 +344,9 @@ def api_documents(t):
     # One document per event type and day, each with that day's events as its records.
     landed, out = t.scratch("landed"), t.scratch("origin-files")
     record = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("fecha"), F.col("value").alias("valor"))
-    document = F.to_json(F.struct(F.col("event_type").alias("codigo"), F.lit("x").alias("unidad"), F.array(record).alias("serie")))
-    t.events.select(document.alias("value")).write.text(f"{landed}/events.json")
+    document = F.to_json(F.struct(F.col("event_type").alias("codigo"), F.lit("x").alias("unidad"), "serie"))
+    days = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.collect_list(record).alias("serie"))
+    days.select(document.alias("value")).write.text(f"{landed}/events.json")
     docs = S.read_documents(t.spark, f"{landed}/events.json", lines=True)
     flat = S.flatten_documents(docs, ["codigo"], ["fecha", "valor"])
     path = K.write_parquet(flat, f"{out}/events")
@@ -358,7 +361,7 @@ def render_scripts(t):
         F.concat(F.lit("SELECT "), "lang", F.lit(" FROM {{ nombre_proceso }}_"), "source", F.lit(" -- {{ other }}"))
     )
     texts = t.documents.select(F.concat(F.lit("a/"), "source").alias("path"), body.alias("body"))
-    variables = t.nation.agg(F.lit("nombre_proceso").alias("name"), F.lit("t").alias("value")).unionByName(
+    variables = t.spark.createDataFrame([("nombre_proceso", "t")], "name string, value string").unionByName(
         t.nation.select(F.lit("other").alias("name"), F.col("n_name").alias("value"))
     )
     return P.render_scripts(texts, variables).select(F.col("file").alias("source"), "body", "changed")
@@ -377,3 +380,152 @@ def publish_schema(t):
     path = P.publish_schema(t.spark, schemas, "p", t.scratch("schemas"))
     document = t.spark.read.text(path, wholetext=True)
     return document.select(F.inline(F.from_json("value", "array<struct<name:string,type:string,mode:string>>")))
+
+
+@query("""
+SELECT ts::DATE AS day, isodow(ts) < 6 AS business, count(*) AS n FROM events GROUP BY 1, 2""")
+def business_calendar(t):
+    # The calendar lists each day twice; the first entry counts.
+    day = F.to_date("ts")
+    days = t.events.select(day.alias("d")).distinct().orderBy("d")
+    flag = F.when(F.weekday("d") < 5, "S").otherwise("N")
+    entry = lambda value: F.struct(F.date_format("d", "dd-MM-yyyy").alias("DIA"), value.alias("HABIL"))
+    body = days.agg(F.concat(F.collect_list(entry(flag)), F.collect_list(entry(F.lit("S")))).alias("all")).select(F.to_json("all").alias("value"))
+    path = t.scratch("calendar")
+    body.coalesce(1).write.text(path)
+    rows = O.with_business_day(t.events.select(day.alias("day")), "day", S.read_calendar(t.spark, path), out="business")
+    return rows.groupBy("day", "business").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT '001_make.sql' AS file, 'done' AS status, cast(NULL AS VARCHAR) AS reason, count(*) AS n FROM orders
+UNION ALL SELECT '2_more.sql', 'done', NULL, 2 * count(*) FROM orders
+UNION ALL SELECT '3_fail.sql', 'error', NULL, -1
+UNION ALL SELECT '10_empty.sql', 'skipped', 'empty file', -1""")
+def script_folder(t):
+    # Scripts read from files, the log read back.
+    schema, folder = t.schema(), t.scratch("scripts")
+    t.orders.createOrReplaceTempView("landfall_orders")
+    scripts = {
+        "001_make.sql": f"CREATE TABLE {schema}.first USING parquet AS SELECT * FROM landfall_orders",
+        "2_more.sql": f"CREATE TABLE {schema}.second USING parquet AS SELECT * FROM {schema}.first; INSERT INTO {schema}.second SELECT * FROM {schema}.first",
+        "3_fail.sql": f"SELECT * FROM {schema}.nothing",
+        "10_empty.sql": " \n",
+    }
+    for name, text in scripts.items():
+        K.write_document(t.spark, text, f"{folder}/parts/{name}")
+        K.move(t.spark, f"{folder}/parts/{name}/part-*", f"{folder}/proc/{name}")
+    K.write_results(P.run_script_folder(t.spark, folder, "proc"), f"{folder}/proc/_logs", P.step_line())
+    log = t.spark.read.schema("file string, status string, reason string, error string").json(f"{folder}/proc/_logs/json")
+    counts = {"001_make.sql": "first", "2_more.sql": "second"}
+    made = [t.spark.table(f"{schema}.{table}").agg(F.lit(file).alias("file"), F.count("*").alias("n")) for file, table in counts.items()]
+    return log.join(made[0].unionByName(made[1]), "file", "left").select("file", "status", "reason", F.coalesce("n", F.lit(-1)).alias("n"))
+
+
+@query("""
+SELECT event_type AS filename, 'OK' AS status, count(*) AS n, count(DISTINCT ts::DATE) AS days, round(sum(value), 2) AS total FROM events GROUP BY 1
+UNION ALL SELECT 'absent', 'ERROR', 0, 0, 0
+UNION ALL SELECT 'bare', 'SKIPPED', 0, 0, 0""")
+def load_documents(t):
+    # One document per event type, all its events as records.
+    landed, out = t.scratch("landed"), t.scratch("origin-files")
+    record = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("fecha"), F.col("value").alias("valor"))
+    kinds = t.events.groupBy("event_type").agg(F.collect_list(record).alias("serie"))
+    text = F.to_json(F.struct(F.col("event_type").alias("codigo"), "serie")).alias("value")
+    kinds.select(text, F.concat("event_type", F.lit(".json")).alias("file")).write.partitionBy("file").text(f"{landed}/all")
+    names = [row["event_type"] for row in kinds.select("event_type").collect()]
+    for name in names:
+        K.move(t.spark, f"{landed}/all/file={name}.json", f"{landed}/{name}.json")
+    wanted = "codigo;serie.fecha;serie.valor"
+    entries = [{"url": "u", "filename": name, "vars": wanted} for name in (*names, "absent")] + [{"url": "u", "filename": "bare"}]
+    results = P.load_documents(t.spark, entries, landed, out)
+    status = t.spark.createDataFrame([(r["filename"], r["status"]) for r in results], "filename string, status string")
+    loaded = S.read_parquet(t.spark, *(r["path"] for r in results if "path" in r)).groupBy(F.col("codigo").alias("filename")).agg(
+        F.count("*").alias("n"), F.countDistinct("fecha").alias("days"), F.round(F.sum("valor"), 2).alias("total"))
+    zero = F.lit(0)
+    return status.join(loaded, "filename", "left").select(
+        "filename", "status", F.coalesce("n", zero).alias("n"), F.coalesce("days", zero).alias("days"), F.coalesce("total", F.lit(0.0)).alias("total"))
+
+
+def _one_file(frame, path: str, write) -> str:
+    """A frame as one file of this name."""
+    folder = f"{path}-parts"
+    write(frame.coalesce(1), folder)
+    K.move(frame.sparkSession, f"{folder}/part-*", path)
+    return path
+
+
+@query("""
+SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, 'newest' AS picked FROM orders""")
+def load_newest_csv(t):
+    folder = t.scratch("landing")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    for name, frame in (("a/orders_1.csv", rows.where("o_orderstatus = 'F'")), ("b/orders_2.csv", rows)):
+        K.set_modified(t.spark, _one_file(frame, f"{folder}/{name}", _write_csv), NOW + dt.timedelta(days="ab".index(name[0])))
+    params = {"input": f"{folder}/orders.csv", "output": f"spark_catalog.{t.schema()}.orders", "periodicidad": "diaria", "campo_fecha": "loaded"}
+    done = P.load_csv(t.spark, params, NOW)
+    return t.spark.table(params["output"]).select(
+        "o_orderkey", "o_orderstatus", F.lit("newest" if done["file"].endswith("orders_2.csv") else "other").alias("picked"))
+
+
+@query("SELECT * FROM lineitem")
+def load_newest_parquet(t):
+    folder = t.scratch("landing")
+    for name, frame in (("a/items_1.parquet", t.lineitem.where("l_linenumber = 1")), ("b/items_2.parquet", t.lineitem)):
+        K.set_modified(t.spark, _one_file(frame, f"{folder}/{name}", lambda rows, path: rows.write.parquet(path)), NOW + dt.timedelta(days="ab".index(name[0])))
+    params = {"input": f"{folder}/items.parquet", "output": f"spark_catalog.{t.schema()}.items", "periodicidad": "mensual"}
+    P.load_parquet(t.spark, params, NOW)
+    return t.spark.table(params["output"])
+
+
+@query("""
+SELECT cast(c_custkey AS VARCHAR) AS c_custkey, c_name, TIMESTAMP '2024-07-01 08:00:00' AS stamped FROM customer
+UNION ALL SELECT cast(c_custkey AS VARCHAR), c_name, TIMESTAMP '2024-07-01 08:00:00' FROM customer""")
+def load_adds_the_stamp(t):
+    # The table is older than its stamp column; its rows are stamped by the load.
+    folder, table = t.scratch("landing"), f"spark_catalog.{t.schema()}.customers"
+    rows = t.customer.select("c_custkey", "c_name")
+    _write_csv(rows, f"{folder}/customers")
+    K.ensure_table(t.spark, table, O.raw_schema(rows.schema))
+    K.append_rows(t.spark, O.string_projection(rows), table)
+    P.load_csv(t.spark, {"input": f"{folder}/customers", "output": table, "periodicidad": "esporadica", "campo_fecha": "stamped"}, NOW)
+    return t.spark.table(table).withColumn("stamped", F.col("stamped").cast("timestamp_ntz"))
+
+
+@query(f"""
+SELECT 'dated' AS name, 'OK' AS status, (SELECT count(*) FROM orders WHERE o_orderdate::DATE <> DATE '{DAY}') AS n
+UNION ALL SELECT 'sporadic', 'OK', 0
+UNION ALL SELECT 'foreign', 'ERROR', count(*) FROM orders
+UNION ALL SELECT 'broken', 'ERROR', count(*) FROM orders
+UNION ALL SELECT 'a.b.c', 'ERROR', -1""")
+def purge_entries(t):
+    schema = t.schema()
+    names = ("dated", "sporadic", "foreign", "broken")
+    for name in names:
+        K.ensure_table(t.spark, f"{schema}.{name}", t.orders.schema)
+        K.append_rows(t.spark, t.orders, f"{schema}.{name}")
+    statements = [f"CREATE TABLE {schema}.other (a INT) USING parquet", f"CREATE TABLE {schema}.broken (a INT", f"CREATE TABLE {schema}.sporadic (a INT) USING parquet"]
+    ddl = t.spark.createDataFrame([("p", "raw", text, True) for text in statements], "process_name string, table_type string, ddl_statement string, is_active boolean")
+    dated = {"fecha_param": DAY, "fecha_columna": "o_orderdate", "periodicidad": "diaria"}
+    entries = [{"dataset_name": schema, "table_name": "dated", **dated}]
+    entries += [{"dataset_name": schema, "table_name": name, "periodicidad": "esporadica"} for name in names[1:]] + [{"table_name": "a.b.c", **dated}]
+    status = P.purge_entries(t.spark, entries, ddl, "p").select(F.replace("table_name", F.lit(f"{schema}."), F.lit("")).alias("name"), "status")
+    counts = [t.spark.table(f"{schema}.{name}").agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name in names]
+    return status.join(reduce(DataFrame.unionByName, counts), "name", "left").withColumn("n", F.coalesce("n", F.lit(-1)))
+
+
+@query(_RELOADED)
+def insert_then_reload(t):
+    # Rows put in by SQL lack the day that partitions the table; they are purged and reloaded all the same.
+    table = f"spark_catalog.{t.schema()}.events"
+    K.ensure_table(t.spark, table, struct_type(_EVENT_FIELDS), "ts")
+    t.events.createOrReplaceTempView("landfall_events")
+    names = ", ".join(f["name"] for f in _EVENT_FIELDS)
+    insert = f"INSERT INTO {table} ({names}) SELECT {names} FROM landfall_events WHERE '${{fecha_param}}' <> ''"
+    inserts = t.spark.createDataFrame([("p", "hub", insert, True)], "process_name string, table_type string, insert_statement string, is_active boolean")
+    P.run_insert(t.spark, inserts, "p", "hub", _EVENT_DAY)
+    K.purge_table(t.spark, table, "ts", _EVENT_DAY)
+    fresh = purged(t.events, "ts", _EVENT_DAY).withColumn("value", F.col("value") * 2)
+    for _ in range(2):
+        P.reload_date(t.spark, table, fresh, "ts", _EVENT_DAY)
+    return t.spark.table(table).drop("ts_day")

@@ -1,7 +1,7 @@
 """Writers."""
 
 from .files import (
-    archive_rows, export_folder, export_rows, results_frame, write_document, write_parquet, write_results,
+    archive_rows, export_folder, export_rows, move, results_frame, set_modified, write_document, write_parquet, write_results,
 )
 from .tables import (
     add_table_column, align, append_rows, day_columns, empty_table, ensure_table, fitted, full_refresh, location,

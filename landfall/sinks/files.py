@@ -97,3 +97,25 @@ def write_document(spark: SparkSession, text: str, path: str) -> str:
     """Write one small text document."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def _system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder; the source may be a pattern that fits just one."""
+    system, pattern = _system(spark, source)
+    found = system.globStatus(pattern)
+    if not found or len(found) != 1:
+        raise FileNotFoundError(f"{source} names {len(found or ())} files")
+    _, place = _system(spark, target)
+    system.mkdirs(place.getParent())
+    if not system.rename(found[0].getPath(), place):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
+def set_modified(spark: SparkSession, path: str, moment: dt.datetime) -> None:
+    system, place = _system(spark, path)
+    system.setTimes(place, int(moment.timestamp() * 1000), -1)
