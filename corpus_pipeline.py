@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import exact_dedup, simhash_dedup
 from landfall.llm.bpe_codec import encode_texts
-from landfall.llm.common import read_documents, staged
+from landfall.llm.common import on_workers, read_documents, staged
 from landfall.llm.language_id import identify, train
 from landfall.llm.queries import VOCABULARY, taught
 from landfall.llm.source_mix import mix_sources, words
@@ -59,6 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages in order, each written and read again."""
+    on_workers(spark)
     docs = read_documents(spark, folder)
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, folder), name.replace(" ", "-"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup, source_mix
 from .bpe_codec import encode_texts
-from .common import read_documents
+from .common import on_workers, read_documents
 from .exact_dedup import exact_duplicates
 from .language_id import identify, train
 from .line_dedup import remove_repeated_lines
@@ -33,8 +34,13 @@ def taught(parts: int) -> Column:
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        on_workers(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query

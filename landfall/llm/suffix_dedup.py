@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import in_bytes, keyed, mixed, slices, staged
 
 _BASE = 0x9E3779B97F4A7C15
-_PIECE = 1 << 19
+_PIECE = 1 << 18
 _letters = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
 
@@ -34,7 +34,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
     if base not in _powers or len(_powers[base]) < n:
-        steps = np.full(max(n, 1 << 21), base, np.uint64)
+        steps = np.full(max(n, 1 << 20), base, np.uint64)
         steps[0] = 1
         _powers[base] = np.cumprod(steps)
     return _powers[base][:n]
