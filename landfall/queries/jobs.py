@@ -316,11 +316,10 @@ def validate_and_close(t):
     for name, rows in {"events": t.events, "items": t.lineitem}.items():
         K.ensure_table(t.spark, f"{schema}.{name}", rows.schema, "ts" if name == "events" else None)
         K.append_rows(t.spark, rows, f"{schema}.{name}")
+    # By start day, so that closing runs rewrites only the days that have open ones.
     log = f"{schema}.process_detail"
-    t.spark.sql(
-        f"CREATE TABLE {log} (process_name STRING, dataset_name STRING, table_name STRING, start_process TIMESTAMP_NTZ, "
-        f"end_process TIMESTAMP_NTZ, {RUN_COUNT} BIGINT, zone_name STRING) USING parquet"
-    )
+    names = {"process_name": "STRING", "dataset_name": "STRING", "table_name": "STRING", "start_process": "DATETIME", "end_process": "DATETIME", RUN_COUNT: "INT64", "zone_name": "STRING"}
+    K.ensure_table(t.spark, log, struct_type([{"name": n, "type": kind, "mode": "NULLABLE"} for n, kind in names.items()]), "start_process")
     dated = {"fecha_columna": "ts", "fecha_param": _EVENT_DAY, "periodicidad": "diaria"}
     entries = [
         {"dataset_name": schema, "table_name": "events", "zone_name": "raw", **dated},
