@@ -141,7 +141,7 @@ def _total(table: pa.Table) -> pa.Table:
     replies = [packed(x) for x in np.split(total[at], ends[:-1])]
     only_first = lambda n: pa.array([int(n)] + [0] * (len(replies) - 1), pa.int64())
     return pa.table({
-        "block": table.column("block"), "bucket": table.column("bucket"), "totals": pa.array(replies, pa.binary()), "tokens": only_first(words.sum()), "types": only_first((words > 0).sum()),
+        "block": table.column("block"), "bucket": table.column("bucket"), "checksum": pa.array([int(np.bitwise_xor.reduce(x).view(np.int64)) for x in names], pa.int64()), "totals": pa.array(replies, pa.binary()), "tokens": only_first(words.sum()), "types": only_first((words > 0).sum()),
     })
 
 
@@ -151,7 +151,9 @@ def _score(order: int, strength: float, buckets: int):
             return pa.table({n: docs.column(n) for n in ("doc_id", "learn")} | {n: pa.array([], t) for n, t in _OUT})
         block = Block((t.as_py() for t in docs.column("text")), docs.column("learn").to_numpy(), order)
         cuts, totals = block.cuts(buckets), np.zeros(len(block.names), np.int64)
-        for b, reply in zip(replies.column("bucket").to_pylist(), replies.column("totals")):
+        for b, reply, checksum in zip(replies.column("bucket").to_pylist(), replies.column("totals"), replies.column("checksum").to_pylist()):
+            if int(checksum) != int(np.bitwise_xor.reduce(block.names[cuts[b] : cuts[b + 1]]).view(np.int64)):
+                raise RuntimeError("a block's texts have changed since their n-grams were counted")
             totals[cuts[b] : cuts[b + 1]] = unpacked(reply.as_py(), cuts[b + 1] - cuts[b])
         n, v = (replies.column("all")[0].as_py()[c] for c in ("tokens", "types"))
         known = totals[block.at[0]]
@@ -183,9 +185,10 @@ def score_texts(
     rows = keyed(docs, F.coalesce(learn, F.lit(False)).alias("learn"), text=text, doc_id=doc_id)
     size = rows.agg(F.sum(F.octet_length("text") + 1)).head()[0] or 0
     n = size // block_bytes + 1
-    blocks = rows.select(F.pmod(F.xxhash64("k", "c"), F.lit(n)).cast("int").alias("block"), "doc_id", "learn", "text")
+    # Copies of a row are spread by their place. It is the same wherever the plan reads the documents, and the sums below prove it.
+    blocks = rows.select(F.pmod(F.xxhash64("k", "c", F.spark_partition_id()), F.lit(n)).cast("int").alias("block"), "doc_id", "learn", "text")
     named = blocks.groupBy("block").applyInArrow(_name(order, n), "block int, bucket int, names binary, counts binary")
-    replies = named.groupBy("bucket").applyInArrow(_total, "block int, bucket int, totals binary, tokens long, types long")
+    replies = named.groupBy("bucket").applyInArrow(_total, "block int, bucket int, checksum long, totals binary, tokens long, types long")
     sums = replies.agg(F.struct(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).alias("all"))
     replies = replies.withColumn("all", sums.scalar())
     kind = docs.schema[doc_id].dataType.simpleString()

@@ -136,7 +136,8 @@ def fingerprints(docs: DataFrame, rows_each: int = 2000, most_buckets: int = 409
     every = W.partitionBy()
     to = F.coalesce(F.lead("bucket").over(W.orderBy("bucket")), F.min("bucket").over(every))
     heads = heads.select(F.col("head.k").alias("k"), F.col("head.c").alias("c"), to.alias("to"))
-    more = rows.drop("bucket").join(F.broadcast(heads), ["k", "c"]).select("k", "c", "doc_id", "text", F.col("to").alias("bucket"), F.lit(1).alias("extra"))
+    found = rows.drop("bucket").join(F.broadcast(heads), ["k", "c"]).groupBy("k", "c", "to").agg(F.first("doc_id").alias("doc_id"), F.max("text").alias("text"))
+    more = found.select("k", "c", "doc_id", "text", F.col("to").alias("bucket"), F.lit(1).alias("extra"))
     dealt = rows.select("k", "c", "doc_id", "text", "bucket", F.lit(0).alias("extra")).unionByName(more)
 
     order = W.partitionBy("bucket").orderBy("extra", F.desc("k"), F.desc("c"), F.desc("text"))

@@ -345,18 +345,18 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
     kinds = staged(found.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("k", "c", "p")).alias("one")), "kinds")
     mixed_ = staged(kinds.groupBy("h").agg(F.count("*").alias("n_g"), F.min("n").alias("least")).where("least = 1").select("h", "n_g"), "mixed")
     named = kinds.join(mixed_, "h").groupBy("one.k", "one.c").agg(F.collect_list(F.struct("h", "g", "n", "n_g", F.col("one.p").alias("p"))).alias("segs"))
-    ends = staged(
-        rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary"), "ends")
+    fetched = rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary")
+    ends = staged(fetched.dropDuplicates(["h", "g"]), "ends")  # repeated rows give the same segments
 
     few = ends.where(F.col("n_g") <= group_limit).repartition("h").sortWithinPartitions("h").mapInArrow(_solve(length, 4000), "h long, g long, at array<int>")
-    strings = staged(ends.where(F.col("n_g") > group_limit).dropDuplicates(["h", "g"]).mapInArrow(_strings(length), "h long, g long, i int, w binary"), "strings")
+    strings = staged(ends.where(F.col("n_g") > group_limit).mapInArrow(_strings(length), "h long, g long, i int, w binary"), "strings")
     twice = staged(strings.groupBy("w").count().where("count > 1").select("w"), "twice")
     many = strings.join(twice, "w").groupBy("h", "g").agg(F.collect_list("i").alias("at"))
     some = many.join(kinds.where("n = 1").select("h", "g"), ["h", "g"], "left_semi")
     whole = kinds.where("n > 1").select("h", "g", F.lit(None).cast("array<int>").alias("at"))
     answers = staged(whole.unionByName(few).unionByName(some), "answers")
 
-    cover = found.join(answers, ["h", "g"]).groupBy("k", "c").agg(F.collect_list(F.struct("p", "at")).alias("cover"))
+    cover = found.join(answers, ["h", "g"]).groupBy("k", "c").agg(F.collect_set(F.struct("p", "at")).alias("cover"))
     joined = rows.join(cover, ["k", "c"], "left").select("doc_id", "text", "cover")
     id_type = docs.schema[doc_id].dataType.simpleString()
     return joined.mapInArrow(_cut(length), f"doc_id {id_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

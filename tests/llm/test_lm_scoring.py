@@ -84,3 +84,13 @@ def test_query(spark):
         check((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score), want[r.doc_id])
     long = [r for r in rows if r.held_out and r.n_tokens > 50]
     assert sum(r.score for r in long) > sum(r.base_score for r in long)
+
+
+def test_copies_are_spread_and_read_alike(spark):
+    docs = spark.createDataFrame([(1, "a b c", True)] * 500, "doc_id long, text string, learn boolean").repartition(5)
+    got = score_texts(docs, F.col("learn"), block_bytes=600).collect()
+    assert len(got) == 500 and {(r.n_tokens, r.train_tokens) for r in got} == {(4, 2000)}
+    frame = score_texts(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), F.lit(True), block_bytes=1 << 18)
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert text.split("Initial Plan")[0].count("FileScan") == 1  # the documents are shuffled once

@@ -85,3 +85,10 @@ def test_query_on_given_documents(spark):
     rows = QUERIES["op1_suffix_dedup"](spark, folder).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in rows} == want
     assert any(r.n_removed for r in rows)
+
+
+def test_many_repeated_rows(spark):
+    text = "the same words in each of these rows, and a little more of them. " * 3
+    docs = spark.createDataFrame([(1, text)] * 3000 + [(2, text[10:] + "x" * 50)], "doc_id long, text string").repartition(4)
+    rows = remove_repeats(docs, 60, 21).selectExpr("doc_id", "length(kept) AS n", "size(spans) AS s").distinct().collect()
+    assert sorted((r.doc_id, r.n, r.s) for r in rows) == [(1, 0, 1), (2, 50, 1)]
