@@ -296,7 +296,7 @@ def _cut(length: int):
         for batch in batches:
             data, ends = in_bytes(batch.column("text"))
             lists, ids = batch.column("cover"), batch.column("doc_id")
-            for begin, end in slices(ends, 1 << 23):
+            for begin, end in slices(ends, 1 << 21):
                 spans, kept, sizes = [], [], []
                 for i in range(begin, end):
                     text = data[ends[i] : ends[i + 1]]
@@ -348,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
     fetched = rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary")
     ends = staged(fetched.dropDuplicates(["h", "g"]), "ends")  # repeated rows give the same segments
 
-    few = ends.where(F.col("n_g") <= group_limit).repartition("h").sortWithinPartitions("h").mapInArrow(_solve(length, 4000), "h long, g long, at array<int>")
+    few = ends.where(F.col("n_g") <= group_limit).repartition("h").sortWithinPartitions("h").mapInArrow(_solve(length, 2000), "h long, g long, at array<int>")
     strings = staged(ends.where(F.col("n_g") > group_limit).mapInArrow(_strings(length), "h long, g long, i int, w binary"), "strings")
     twice = staged(strings.groupBy("w").count().where("count > 1").select("w"), "twice")
     many = strings.join(twice, "w").groupBy("h", "g").agg(F.collect_list("i").alias("at"))
