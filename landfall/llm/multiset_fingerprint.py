@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,22 +97,29 @@ def in_hex(lanes: Column) -> Column:
     return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def _bucketed(rows: DataFrame, rows_each: int, most: int) -> tuple[DataFrame, int]:
-    """The rows with ``bucket``, their stretch of the order by k; stretches hold about equally many rows."""
+def _bucketed(rows: DataFrame, rows_each: int, most: int) -> DataFrame:
+    """The rows with ``bucket``, their stretch of the order by k and c; stretches hold about equally many rows, and there are at most 2 * most.
+
+    A k with more rows than a stretch holds is at several quantiles. Its rows have as many stretches of their own, dealt by c.
+    """
     n = rows.count()
     buckets = max(1, min(most, n // rows_each))
-    cuts = []
+    times: Counter = Counter()
     if buckets > 1:
         fractions = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(rows.select(F.percentile_approx("k", F.array(*map(F.lit, fractions)), F.lit(4 * buckets))).head()[0]))
-    if not cuts:
-        return rows.withColumn("bucket", F.lit(0)), 1
+        times.update(rows.select(F.percentile_approx("k", F.array(*map(F.lit, fractions)), F.lit(4 * buckets))).head()[0])
+    if not times:
+        return rows.withColumn("bucket", F.lit(0))
+    cuts = sorted(times)
     steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    table = F.lit(cuts)
+    table, parts = F.lit(cuts), F.lit([times[k] for k in cuts])
     place = F.aggregate(
         F.array(*map(F.lit, steps)), F.lit(0),
         lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, at + step - 1) < F.col("k")), at + step).otherwise(at))
-    return rows.withColumn("bucket", place), len(cuts) + 1
+    mine = F.get(parts, F.col("place"))
+    many = (F.get(table, F.col("place")) == F.col("k")) & (mine > 1)
+    part = F.when(many, 1 + F.floor(F.col("c") * mine / 2**32)).otherwise(0).cast("int")
+    return rows.withColumn("place", place).withColumn("bucket", F.col("place") * (max(times.values()) + 1) + part).drop("place")
 
 
 def fingerprints(docs: DataFrame, rows_each: int = 2000, most_buckets: int = 4096, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -122,17 +131,18 @@ def fingerprints(docs: DataFrame, rows_each: int = 2000, most_buckets: int = 409
 
     Returns one row per document: doc_id, n_chars, edited_sha256, lanes, n, edited_lanes, edited_n, next_lanes, next_n. The edited text is the text
     whose last floor(n_chars / 2) code points are replaced by the first as many (or all) of the next document, by descending doc_id; after the
-    last comes the first. A null doc_id is the smallest, rows with equal doc_id are ordered by text. Null texts count as empty; an empty text
+    last comes the first. A null doc_id is the smallest, rows with equal doc_id are ordered by the CRC32 of
+    the text and then by text. Null texts count as empty; an empty text
     has a vector of zeros. A lone document is its own next one. Other columns are not looked at; an empty table gives no rows.
 
-    Documents are dealt to stretches of the order, cut at quantiles of the doc_id. The first document of a stretch is also given to the
+    Documents are dealt to stretches of the order, cut at quantiles of the doc_id; rows that share one doc_id are dealt further. The first document of a stretch is also given to the
     stretch before it, so each text is shuffled once, and the paragraphs not at all.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"), F.crc32(whole.cast("binary")).alias("c"), F.col(doc_id).alias("doc_id"), whole.alias("text"))
-    rows, _ = _bucketed(rows, rows_each, most_buckets)
-    heads = rows.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("head"))  # one row per stretch, at most 4096
+    rows = _bucketed(rows, rows_each, most_buckets)
+    heads = rows.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("head"))  # one row per stretch, at most 8192
     every = W.partitionBy()
     to = F.coalesce(F.lead("bucket").over(W.orderBy("bucket")), F.min("bucket").over(every))
     heads = heads.select(F.col("head.k").alias("k"), F.col("head.c").alias("c"), to.alias("to"))

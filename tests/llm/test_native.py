@@ -4,13 +4,14 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import pytest
 from compare import compare, oracle_connection
 from pyspark.sql import functions as F
 
 from landfall.llm.exact_dedup import exact_duplicates, keep_one
-from landfall.llm.multiset_fingerprint import LONGS, added, fingerprints, removed
+from landfall.llm.multiset_fingerprint import LONGS, _bucketed, added, fingerprints, removed
 from landfall.llm.queries import ORACLE, QUERIES
 from landfall.llm.source_mix import mix_sources, words
 
@@ -144,3 +145,16 @@ def test_lone_and_equal_ids(spark):
     rows = fingerprints(spark.createDataFrame([(7, "ab"), (7, "ab"), (None, "xy"), (None, None)], "doc_id long, text string"), rows_each=1).collect()
     assert len(rows) == 4
     assert fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_of_one_id_are_dealt(spark):
+    rows = [(None if i % 3 else i, f"text {i}. And {i * i}.") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = sorted(rows, key=lambda r: (-(2**63) if r[0] is None else r[0], zlib.crc32(r[1].encode()), r[1]), reverse=True)
+    want = []
+    for (_, text), (_, following) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        want.append(hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in fingerprints(docs, rows_each=20).collect()) == sorted(want)
+    named = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), F.crc32(F.col("text").cast("binary")).alias("c"))
+    assert max(r["count"] for r in _bucketed(named, 20, 4096).groupBy("bucket").count().collect()) < 60
