@@ -42,11 +42,18 @@ def _read_error(spark: SparkSession, *paths: str) -> str | None:
 
 
 def _empty_errors(spark: SparkSession, empty: list) -> list[tuple[str, str]]:
-    """Errors of files without rows. One job tells whether all are sound, and only if not they are tried one by one."""
+    """Errors of files without rows. One job tells whether all are sound; if not, halves are tried, so few jobs look for few bad files."""
     errors = [(row["path"], "not a Parquet file") for row in empty if row["length"] < 12]
-    paths = [row["path"] for row in empty if row["length"] >= 12]
-    if paths and _read_error(spark, *paths):
-        errors += [(path, error) for path in paths if (error := _read_error(spark, path))]
+    open_ = [[row["path"] for row in empty if row["length"] >= 12]]
+    while open_:
+        paths = open_.pop()
+        if not paths or not (error := _read_error(spark, *paths)):
+            continue
+        if len(paths) == 1:
+            errors.append((paths[0], error))
+        else:
+            half = len(paths) // 2
+            open_ += [paths[:half], paths[half:]]
     return errors
 
 

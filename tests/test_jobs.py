@@ -512,3 +512,18 @@ def test_raw_tables_are_partitioned_by_a_named_column(spark, schema, tmp_path):
     P.load_csv(spark, params, NOW)
     assert K.partition_columns(spark, f"{schema}.s") == ["sold"]
     assert K.purge_table(spark, f"{schema}.s", "sold", "2024-01-02")["changed"] and spark.table(f"{schema}.s").count() == 1
+
+
+def test_bad_files_among_empty_ones_are_found_by_halves(spark, tmp_path, monkeypatch):
+    from landfall.plans import checks
+
+    for i in range(16):
+        spark.range(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/empty")
+    good = sorted(map(str, (tmp_path / "empty").glob("*.parquet")))
+    write(tmp_path / "junk.parquet", "not a Parquet file, but long enough")
+    files = [{"path": p, "length": os.path.getsize(p)} for p in [*good[:9], f"{tmp_path}/junk.parquet", *good[9:]]]
+    tried, read = [], checks._read_error
+    monkeypatch.setattr(checks, "_read_error", lambda spark, *paths: tried.append(paths) or read(spark, *paths))
+    assert [p for p, _ in checks._empty_errors(spark, files)] == [f"{tmp_path}/junk.parquet"]
+    assert len(tried) <= 11
+    assert checks._empty_errors(spark, [f for f in files if "junk" not in f["path"]]) == []
