@@ -1,8 +1,9 @@
 """Removal of repeated runs of lines, cut at places that the lines themselves choose.
 
 A rolling hash over the hashes of the last few lines ends a chunk where it falls into one of ``mean`` classes. The cuts move along with the lines,
-so a passage has the same chunks wherever it stands, but for those at its ends. A chunk of several lines that occurs again anywhere in the
-corpus is removed there; its first occurrence stays.
+so a passage has the same chunks wherever it stands, but for those at its ends. Each such chunk is cut further into parts of two or three
+lines, so that a short passage need not hold a whole chunk. A part of several lines that occurs again anywhere in the corpus is removed there; its
+first occurrence stays. A chunk that occurs again has the same parts, so all of it goes.
 """
 
 from __future__ import annotations
@@ -45,16 +46,27 @@ def chunk_ends(lines: list[bytes], mean: int, window: int, most: int) -> list[in
     return ends
 
 
+def parts_of(begin: int, end: int, last: bool) -> list[int]:
+    """Where the parts of a chunk end: two lines each, counted from its end, and three in the first if the number is odd.
+
+    Where a text ends, no lines have chosen the place, so its last chunk is counted from the beginning, with three in the last part.
+    """
+    if last and begin:
+        return [*range(begin + 2, end - 1, 2), end]
+    return [*range(end - (end - begin - 2) // 2 * 2, end, 2), end]
+
+
 def chunks_of(text: str, options: tuple[int, int, int]) -> list[tuple[int, bytes]]:
-    """The chunks of a text, each with its number of lines; lines keep their ends."""
+    """The parts of the chunks of a text, each with its number of lines; lines keep their ends."""
     lines = text.encode().split(b"\n")
     lines = [line + b"\n" for line in lines[:-1]] + ([lines[-1]] if lines[-1] else [])
     if not lines:
         return []
     out, begin = [], 0
-    for end in chunk_ends(lines, *options):
-        out.append((end - begin, b"".join(lines[begin:end])))
-        begin = end
+    for chunk_end in chunk_ends(lines, *options):
+        for end in parts_of(begin, chunk_end, chunk_end == len(lines)):
+            out.append((end - begin, b"".join(lines[begin:end])))
+            begin = end
     return out
 
 
@@ -99,10 +111,10 @@ def _cut(options: tuple[int, int, int]):
 
 
 def remove_repeated_lines(docs: DataFrame, mean: int = 4, window: int = 2, most: int = 256, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Remove every chunk of several lines that occurs before: in a document of smaller doc_id, or further up in the same one.
+    """Remove every part of a chunk that occurs before, in a document of smaller doc_id or further up in the same one, and has several lines.
 
-    Returns one row per document: doc_id, n_lines, n_removed (lines) and ``kept``, the remaining text. Chunks are compared byte by byte: they
-    are grouped by hash and by the bytes themselves, and a hash that two different chunks share removes nothing. Single lines are
+    Returns one row per document: doc_id, n_lines, n_removed (lines) and ``kept``, the remaining text. Parts are compared byte by byte: they
+    are grouped by hash and by the bytes themselves, and a hash that two different parts share removes nothing. Single lines are
     never removed. Null texts count as empty. Rows with a null doc_id come first; rows that are equal in doc_id and text share all their
     results, so both keep what the first occurrence is. Other columns are not looked at; an empty table gives no rows.
     """

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from landfall.llm.line_dedup import chunk_ends, chunks_of, remove_repeated_lines
+from landfall.llm.line_dedup import chunk_ends, chunks_of, parts_of, remove_repeated_lines
 from landfall.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -56,6 +56,27 @@ def test_cuts_move_along():
     assert len(a & b) >= len(a) - 2
 
 
+def test_short_passages(spark):
+    # 200 passages of 3 to 6 lines with over 50 words, each twice between lines of its own; whole chunks would find one line in ten.
+    pick = random.Random(5)
+    line = lambda: " ".join("%x" % pick.getrandbits(40) for _ in range(20)) + "\n"
+    passages = [[line() for _ in range(3 + i % 4)] for i in range(200)]
+    around = lambda p: "".join([line() for _ in range(pick.randint(1, 4))] + p + [line() for _ in range(pick.randint(1, 4))])
+    texts = {i: around(passages[i % 200]) for i in range(400)}
+    rows = {r.doc_id: r for r in remove_repeated_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert not any(rows[i].n_removed for i in range(200))
+    assert all(texts[i].count("\n") - rows[i].kept.count("\n") == rows[i].n_removed for i in texts)
+    assert all(set(texts[i].split("\n")) - set(rows[i].kept.split("\n")) <= {x[:-1] for x in passages[i % 200]} for i in texts)
+    assert sum(r.n_removed for r in rows.values()) > sum(map(len, passages)) * 0.3
+
+
+def test_parts_are_short():
+    for begin, end, last in ((0, 2, False), (3, 8, False), (4, 11, True), (0, 5, True), (2, 6, True)):
+        ends = parts_of(begin, end, last)
+        assert ends[-1] == end and all(2 <= b - a <= 3 for a, b in zip([begin, *ends], ends))
+    assert parts_of(0, 1, True) == [1] and parts_of(4, 5, True) == [5]
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a\nb\n"), (1, "a\nb\n"), (None, "a\nb\n")], "doc_id long, text string")
     assert sorted((str(r.doc_id), r.kept) for r in remove_repeated_lines(docs).collect()) == [("1", ""), ("1", ""), ("None", "a\nb\n")]
