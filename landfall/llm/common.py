@@ -43,10 +43,13 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame, *columns: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``k`` and ``c`` name a row (repeated rows share a name, which is right, as they share every result), ``text`` is never null."""
+    """``k`` (the doc_id) and ``c`` (128 bits of a digest of the whole text) name a row, ``text`` is never null.
+
+    Only rows equal in both share a name, which is right, as they share every result. A checksum would not do: many rows may share a doc_id or have none.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"), F.crc32(whole.cast("binary")).alias("c"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"), F.unhex(F.substring(F.sha2(whole.cast("binary"), 256), 1, 32)).alias("c"),
         F.col(doc_id).alias("doc_id"), whole.alias("text"), *columns,
     )
 

@@ -83,7 +83,7 @@ def _chunks(options: tuple[int, int, int], with_bytes: bool):
                         rows.append((xxhash.xxh3_128_digest(chunk), k[i].as_py(), c[i].as_py(), no, chunk))
                         held += len(chunk) * with_bytes
                 if held > 1 << 22 or i == len(batch) - 1:
-                    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                    kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kinds[j]) for j in range(len(names))], names)
                     rows, held = [], 0
 
@@ -121,11 +121,11 @@ def remove_repeated_lines(docs: DataFrame, mean: int = 4, window: int = 2, most:
     options = (mean, window, most)
     rows = keyed(docs, text=text, doc_id=doc_id)
     plain = rows.select("k", "c", "text")
-    whole = plain.mapInArrow(_chunks(options, True), "h binary, k long, c long, no int, chunk binary")
+    whole = plain.mapInArrow(_chunks(options, True), "h binary, k long, c binary, no int, chunk binary")
     equal = whole.groupBy("h", "chunk").agg(F.min(F.struct("k", "c", "no")).alias("first"), F.count("*").alias("n"))
     once = equal.groupBy("h").agg(F.count("*").alias("kinds"), F.min("first").alias("first"), F.sum("n").alias("n"))
     repeated = staged(once.where("kinds = 1 and n > 1").select("h", "first"), "chunks")
-    found = plain.mapInArrow(_chunks(options, False), "h binary, k long, c long, no int").join(repeated, "h")
+    found = plain.mapInArrow(_chunks(options, False), "h binary, k long, c binary, no int").join(repeated, "h")
     gone = found.where(F.struct("k", "c", "no") != F.col("first")).groupBy("k", "c").agg(F.collect_set("no").alias("gone"))
     kind = docs.schema[doc_id].dataType.simpleString()
     return rows.join(gone, ["k", "c"], "left").select("doc_id", "text", "gone").mapInArrow(_cut(options), f"doc_id {kind}, n_lines long, n_removed long, kept string")

@@ -165,7 +165,7 @@ def _followers(maybe, bits: int):
     return run
 
 
-_FOLLOW = [("pattern", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("c", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())]
+_FOLLOW = [("pattern", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("c", pa.binary()), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())]
 
 
 def _scored(links: DataFrame, plain: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +197,7 @@ def find_entities(
     """
     rows = keyed(docs, text=text, doc_id=doc_id)
     kind = docs.schema[doc_id].dataType.simpleString()
-    base = staged(rows.select("k", "c", "doc_id", "text").mapInArrow(_seeds, f"k long, c long, doc_id {kind}, base {_FOUND_SQL}"), "base")
+    base = staged(rows.select("k", "c", "doc_id", "text").mapInArrow(_seeds, f"k long, c binary, doc_id {kind}, base {_FOUND_SQL}"), "base")
     seeds = base.select(F.explode("base").alias("e")).select("e.kind", "e.value", F.explode("e.patterns").alias("pattern"))
     good = seeds.groupBy("pattern", "kind").agg(F.countDistinct("value").alias("n")).where(F.col("n") >= least_seeds)
     patterns = staged(good.select("pattern").distinct(), "announced")
@@ -206,7 +206,7 @@ def find_entities(
     low = patterns.select(F.col("pattern").bitwiseAND(F.lit((1 << bits) - 1)).alias("low")).distinct()
     marks[[r.low for r in low.toLocalIterator()]] = True
     maybe = docs.sparkSession.sparkContext.broadcast(marks)
-    followed = rows.select("k", "c", "text").mapInArrow(_followers(maybe, bits), "pattern long, n long, k long, c long, start long, end long, kind int, value long")
+    followed = rows.select("k", "c", "text").mapInArrow(_followers(maybe, bits), "pattern long, n long, k long, c binary, start long, end long, kind int, value long")
     followed = staged(followed.join(patterns, "pattern", "left_semi"), "followers")
     plain = followed.where("n is not null").groupBy("pattern").agg(F.sum("n").alias("n"))
     candidates = followed.where("n is null")

@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, cell: int
     """
     if not 0 <= bits < 2 * BLOCKS:
         raise ValueError("bits must be from 0 to 5")
-    rows = staged(keyed(docs, text=text, doc_id=doc_id).mapInArrow(_prints(shingle), f"k long, c long, doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long"), "prints")
+    rows = staged(keyed(docs, text=text, doc_id=doc_id).mapInArrow(_prints(shingle), f"k long, c binary, doc_id {docs.schema[doc_id].dataType.simpleString()}, fp long"), "prints")
     nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(near_links(nodes.select("fp"), bits, cell)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))

@@ -121,13 +121,13 @@ def _anchors(length: int, width: int, combined: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, ends = in_bytes(batch.column("text"))
-            k, c = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("k", "c"))
+            k, c = (batch.column(x) for x in ("k", "c"))
             for row, h, g, start, n, off in _segments(data, ends, length, width):
                 if combined:
                     value, count = np.unique(h, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count.astype(np.int64))], ["h", "n"])
                 else:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, (h, g, k[row], c[row], start * 65536 + n * 256 + off))), ["h", "g", "k", "c", "p"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), k.take(pa.array(row)), c.take(pa.array(row)), pa.array(start * 65536 + n * 256 + off)], ["h", "g", "k", "c", "p"])
 
     return run
 
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
     plain = rows.select("k", "c", "text").where(F.octet_length("text") >= length)
     counts = plain.mapInArrow(_anchors(length, width, True), "h long, n long")
     repeated = staged(counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchors")
-    every = plain.mapInArrow(_anchors(length, width, False), "h long, g long, k long, c long, p long")
+    every = plain.mapInArrow(_anchors(length, width, False), "h long, g long, k long, c binary, p long")
     found = staged(every.join(repeated, "h"), "segments")
 
     kinds = staged(found.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("k", "c", "p")).alias("one")), "kinds")
