@@ -136,11 +136,12 @@ def reload_date(
 
 
 def load_documents(
-    spark: SparkSession, entries, landed: str, out: str
+    spark: SparkSession, entries, landed: str, out: str, lines: bool = False
 ) -> list[dict[str, str | None]]:
     """Flatten landed API documents to Parquet, one file per entry; a bad entry does not stop the others.
 
-    An entry names ``url``, ``filename`` and ``vars``. Its document is ``<landed>/<filename>.json``.
+    An entry names ``url``, ``filename`` and ``vars``. Its document is ``<landed>/<filename>.json``: whole files, or with ``lines`` a document on
+    every line, so that a large entry comes in many documents that are read in parallel.
     """
 
     results = []
@@ -152,7 +153,7 @@ def load_documents(
         listed = spark.range(1).select(field_list(F.lit(wanted)).alias("f")).first()["f"]
         flat, nested = listed["flat"], listed["nested"]
         try:
-            docs = read_documents(spark, f"{landed.rstrip('/')}/{name.removesuffix('.parquet')}.json")
+            docs = read_documents(spark, f"{landed.rstrip('/')}/{name.removesuffix('.parquet')}.json", lines=lines)
             path = write_parquet(flatten_documents(docs, flat, nested), f"{out.rstrip('/')}/{name}", mode="overwrite")
             results.append({"filename": name, "status": "OK", "path": path})
         except Exception as error:

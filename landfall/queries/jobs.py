@@ -337,14 +337,25 @@ def validate_and_close(t):
     )
 
 
+#: Most records in a made document.
+_MOST_RECORDS = 1000
+
+
+def _documents_of(events, *keys):
+    """Events as documents: the keys and ``serie``, the records, ``_MOST_RECORDS`` at most, so that a key of any size is many documents."""
+    record = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("fecha"), F.col("value").alias("valor"))
+    numbered = events.select(*keys, record.alias("record"), F.monotonically_increasing_id().alias("id"))
+    names = [name for name in numbered.columns if name not in ("record", "id")]
+    return numbered.withColumn("run", F.floor(F.col("id") / _MOST_RECORDS)).groupBy(*names, "run").agg(F.collect_list("record").alias("serie")).drop("run")
+
+
 @query("""
 SELECT event_type AS codigo, strftime(ts, '%Y-%m-%d') AS fecha, value AS valor FROM events""")
 def api_documents(t):
-    # One document per event type and day, each with that day's events as its records.
+    # Documents per event type and day, with that day's events as their records.
     landed, out = t.scratch("landed"), t.scratch("origin-files")
-    record = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("fecha"), F.col("value").alias("valor"))
     document = F.to_json(F.struct(F.col("event_type").alias("codigo"), F.lit("x").alias("unidad"), "serie"))
-    days = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.collect_list(record).alias("serie"))
+    days = _documents_of(t.events, "event_type", F.to_date("ts").alias("day"))
     days.select(document.alias("value")).write.text(f"{landed}/events.json")
     docs = S.read_documents(t.spark, f"{landed}/events.json", lines=True)
     flat = S.flatten_documents(docs, ["codigo"], ["fecha", "valor"])
@@ -426,18 +437,17 @@ SELECT event_type AS filename, 'OK' AS status, count(*) AS n, count(DISTINCT ts:
 UNION ALL SELECT 'absent', 'ERROR', 0, 0, 0
 UNION ALL SELECT 'bare', 'SKIPPED', 0, 0, 0""")
 def load_documents(t):
-    # One document per event type, all its events as records.
+    # An entry per event type, all its events as records of many documents, one on each line.
     landed, out = t.scratch("landed"), t.scratch("origin-files")
-    record = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("fecha"), F.col("value").alias("valor"))
-    kinds = t.events.groupBy("event_type").agg(F.collect_list(record).alias("serie"))
+    kinds = _documents_of(t.events, "event_type")
     text = F.to_json(F.struct(F.col("event_type").alias("codigo"), "serie")).alias("value")
     kinds.select(text, F.concat("event_type", F.lit(".json")).alias("file")).write.partitionBy("file").text(f"{landed}/all")
-    names = [row["event_type"] for row in kinds.select("event_type").collect()]
+    names = [row["event_type"] for row in t.events.select("event_type").distinct().collect()]
     for name in names:
         K.move(t.spark, f"{landed}/all/file={name}.json", f"{landed}/{name}.json")
     wanted = "codigo;serie.fecha;serie.valor"
     entries = [{"url": "u", "filename": name, "vars": wanted} for name in (*names, "absent")] + [{"url": "u", "filename": "bare"}]
-    results = P.load_documents(t.spark, entries, landed, out)
+    results = P.load_documents(t.spark, entries, landed, out, lines=True)
     status = t.spark.createDataFrame([(r["filename"], r["status"]) for r in results], "filename string, status string")
     loaded = S.read_parquet(t.spark, *(r["path"] for r in results if "path" in r)).groupBy(F.col("codigo").alias("filename")).agg(
         F.count("*").alias("n"), F.countDistinct("fecha").alias("days"), F.round(F.sum("valor"), 2).alias("total"))

@@ -350,6 +350,21 @@ def test_documents_and_schema(spark, tmp_path):
         P.publish_schema(spark, schemas, "z", f"{tmp_path}/schemas/z.json")
 
 
+def test_documents_are_bounded(spark, tmp_path):
+    from landfall.queries.jobs import _MOST_RECORDS, _documents_of
+
+    n = 4 * _MOST_RECORDS
+    when = F.to_timestamp(F.lit("2024-01-02 03:00:00"))
+    events = spark.range(0, n, 1, 3).select(when.alias("ts"), F.lit("hot").alias("event_type"), F.col("id").cast("double").alias("value"))
+    docs = _documents_of(events, "event_type")
+    sizes = [r[0] for r in docs.select(F.size("serie")).collect()]
+    assert sum(sizes) == n and max(sizes) <= _MOST_RECORDS
+    docs.select(F.to_json(F.struct(F.col("event_type").alias("codigo"), "serie")).alias("value")).write.text(f"{tmp_path}/landed/hot.json")
+    done = P.load_documents(spark, [{"url": "u", "filename": "hot", "vars": "codigo;serie.valor"}], f"{tmp_path}/landed", f"{tmp_path}/out", lines=True)
+    rows = S.read_parquet(spark, done[0]["path"])
+    assert (rows.count(), rows.select("valor").distinct().count()) == (n, n)
+
+
 def test_export_query(spark, tmp_path):
     result = P.export_query(spark, "SELECT 1 AS a", "05-03-2024", "mensual", "DIM_P.parquet", str(tmp_path))
     assert result["output_path"] == f"{tmp_path}/files/DIM_P/periodo_dia=2024-03-01"
