@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, source_mix
+from . import exact_dedup, fill_in_middle, filter_audit, quality_rules, source_mix
 from .bpe_codec import encode_texts
 from .common import on_workers, read_documents
 from .exact_dedup import exact_duplicates
@@ -126,3 +126,33 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = remove_repeated_lines(read_documents(spark, folder))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filter_audit.interactions(filter_audit.combinations(read_documents(spark, folder), labels))
+
+
+ORACLE["op11_filter_audit"] = filter_audit.ORACLE
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fill_in_middle.restore(fill_in_middle.fill_in_middle(read_documents(spark, folder).select("doc_id", "text")))
+    digest = lambda column: F.sha2(F.col(column).cast("binary"), 256)
+    return rows.select(
+        "row.doc.doc_id", *(f"row.{c}" for c in ("n", "form", "prefix_chars", "middle_chars")), digest("row.output").alias("output_sha256"),
+        digest("restored").alias("restored_sha256"))
+
+
+ORACLE["op12_fill_in_middle"] = fill_in_middle.ORACLE
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality_rules.apply_rules(read_documents(spark, folder).select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE["op13_quality_rules"] = quality_rules.ORACLE
