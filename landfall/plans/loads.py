@@ -114,12 +114,13 @@ def reload_date(
 ) -> None:
     """Purge the date and append its rows, so that a repeated load leaves the same table.
 
-    A sporadic load, or one without a column or date, replaces the whole table. An unpartitioned table gets one new version
+    A sporadic load, or one without a column or date, replaces the whole table, by what its definition makes if one is given. An unpartitioned table gets one new version
     without the old rows and with the new ones; the day of a table partitioned by it is overwritten; any other partitioned one is purged and
     then appended to. ``rows`` must not read the table.
     """
     if sporadic or not date_column or not day:
-        full_refresh(spark, table, ddl)
+        full_refresh(spark, table, ddl, rows)
+        return
     elif partition_columns(spark, table):
         if replace_day(spark, rows, table, date_column, day):
             return

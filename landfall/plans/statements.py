@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import DATE_PLACEHOLDER, all_equal, base_name, ddl_table, render
 from ..functions.dates import normal_period
 from ..operators import natural_order, outcome
-from ..sinks import export_rows, full_refresh, purge_table, quoted, results_frame, write_document
+from ..sinks import defined_name, export_rows, full_refresh, purge_table, quoted, results_frame, same_table, write_document
 from ..sinks.files import slug
-from ..sinks.tables import defined_name, same_table
 from ..sources import read_texts
 
 # The names that a template may use.

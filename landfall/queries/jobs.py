@@ -506,14 +506,23 @@ SELECT 'dated' AS name, 'OK' AS status, (SELECT count(*) FROM orders WHERE o_ord
 UNION ALL SELECT 'sporadic', 'OK', 0
 UNION ALL SELECT 'foreign', 'ERROR', count(*) FROM orders
 UNION ALL SELECT 'broken', 'ERROR', count(*) FROM orders
+UNION ALL SELECT 'selfish', 'ERROR', count(*) FROM orders
+UNION ALL SELECT 'misplaced', 'ERROR', count(*) FROM orders
+UNION ALL SELECT 'selected', 'OK', count(*) FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT 'a.b.c', 'ERROR', -1""")
 def purge_entries(t):
-    schema = t.schema()
-    names = ("dated", "sporadic", "foreign", "broken")
+    # A definition that reads its own table, and one whose location holds other files, leave the table with all its rows.
+    schema, other = t.schema(), t.scratch("other")
+    names = ("dated", "sporadic", "foreign", "broken", "selfish", "misplaced", "selected")
+    t.orders.write.parquet(other)
+    t.orders.createOrReplaceTempView("landfall_orders")
     for name in names:
         K.ensure_table(t.spark, f"{schema}.{name}", t.orders.schema)
         K.append_rows(t.spark, t.orders, f"{schema}.{name}")
     statements = [f"CREATE TABLE {schema}.other (a INT) USING parquet", f"CREATE TABLE {schema}.broken (a INT", f"CREATE TABLE {schema}.sporadic (a INT) USING parquet"]
+    statements += [f"CREATE TABLE {schema}.selfish USING parquet AS SELECT * FROM {schema}.selfish WHERE o_orderkey < 0"]
+    statements += [f"CREATE TABLE {schema}.misplaced USING parquet LOCATION '{other}' AS SELECT * FROM landfall_orders WHERE o_orderkey < 0"]
+    statements += [f"CREATE OR REPLACE TABLE {schema}.selected USING parquet AS SELECT * FROM landfall_orders WHERE o_orderstatus = 'F'"]
     ddl = t.spark.createDataFrame([("p", "raw", text, True) for text in statements], "process_name string, table_type string, ddl_statement string, is_active boolean")
     dated = {"fecha_param": DAY, "fecha_columna": "o_orderdate", "periodicidad": "diaria"}
     entries = [{"dataset_name": schema, "table_name": "dated", **dated}]

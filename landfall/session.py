@@ -54,5 +54,17 @@ def remove_scratch(spark: SparkSession, path: str) -> bool:
     """Delete a path that ``scratch_path`` gave. Frames that read it can't be used afterwards. Returns whether it was there."""
     if "/landfall/" not in path:
         raise ValueError(f"{path} is not a scratch path")
+    return delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds. Returns whether it was there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def folder_is_empty(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is absent or holds nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not system.exists(place) or len(system.listStatus(place)) == 0

@@ -9,7 +9,6 @@ again completes it.
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -26,14 +25,18 @@ _DAY_OF = "landfall.day_of."
 _REQUIRED = "landfall.required"
 
 # Between the folder of an unpartitioned table's first version and the mark of a later one.
-_VERSION = "--v-"
+VERSION = "--v-"
+
+# Between the name of a table and the mark of a version that is to take its place or has left it.
+NEW, OLD = "__landfall_new_", "__landfall_old_"
+REPLACES = "landfall.replaces"
 
 
 def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
 
 
-def _text(value: str) -> str:
+def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -50,6 +53,48 @@ def location(spark: SparkSession, table: str) -> str:
     return rows.first()["data_type"]
 
 
+def sibling(table: str, mark: str) -> str:
+    """A fresh name beside a table."""
+    *schema, name = table.replace("`", "").split(".")
+    return ".".join([*schema, f"{name}{mark}{uuid.uuid4().hex}"])
+
+
+def siblings(spark: SparkSession, table: str, mark: str) -> list[str]:
+    """The names beside a table that ``sibling`` has given."""
+    *schema, name = table.replace("`", "").split(".")
+    place = f" IN {quoted('.'.join(schema))}" if schema else ""
+    found = spark.sql(f"SHOW TABLES{place} LIKE '{name.lower()}{mark}*'").select("tableName").collect()
+    return sorted(".".join([*schema, row["tableName"]]) for row in found)
+
+
+def step(spark: SparkSession, sql: str) -> None:
+    """One change of metadata."""
+    spark.sql(sql)
+
+
+def settle(spark: SparkSession, table: str) -> str | None:
+    """Finish or undo the swap of a table that a job died in, and say which. Writers do so before they look for the table.
+
+    Between the two renames of a swap the table has no name. By then the new version is complete and marked, so it takes
+    the name; without one the old version takes it back.
+    """
+    if spark.catalog.tableExists(quoted(table)):
+        return None
+    for name in siblings(spark, table, NEW):
+        if properties(spark, name).get(REPLACES) == table.split(".")[-1].replace("`", "").lower():
+            step(spark, f"ALTER TABLE {quoted(name)} RENAME TO {renamed(table)}")
+            return "new"
+    for name in siblings(spark, table, OLD):
+        step(spark, f"ALTER TABLE {quoted(name)} RENAME TO {renamed(table)}")
+        return "old"
+    return None
+
+
+def renamed(table: str) -> str:
+    """A name as RENAME and LIKE take it, without the catalogue, which is that of the session."""
+    return quoted(".".join(table.replace("`", "").split(".")[-2:]))
+
+
 def ensure_table(
     spark: SparkSession,
     table: str,
@@ -62,6 +107,7 @@ def ensure_table(
     A timestamp column gets a date column beside it that holds the day; the table's properties say whose day it
     is, and appends and purges use it. Returns whether the table was created.
     """
+    settle(spark, table)
     if spark.catalog.tableExists(quoted(table)):
         return False
     fields, props, partition = list(schema.fields), {}, None
@@ -83,9 +129,9 @@ def ensure_table(
     if partition:
         parts.append(f"PARTITIONED BY (`{partition}`)")
     if path:
-        parts.append(f"LOCATION {_text(path)}")
+        parts.append(f"LOCATION {text(path)}")
     if props:
-        parts.append("TBLPROPERTIES (" + ", ".join(f"{_text(k)}={_text(v)}" for k, v in props.items()) + ")")
+        parts.append("TBLPROPERTIES (" + ", ".join(f"{text(k)}={text(v)}" for k, v in props.items()) + ")")
     spark.sql(" ".join(parts))
     return True
 
@@ -101,6 +147,7 @@ def day_columns(spark: SparkSession, table: str) -> dict[str, str]:
 
 def table_on_date(spark: SparkSession, table: str, column: str, day: dt.date | str) -> DataFrame:
     """Rows of a date; a table partitioned by that column's day reads its partition and that of rows without a day."""
+    settle(spark, table)
     rows = spark.table(quoted(table)).where(on_date(column, day))
     day_column = _day_column(spark, table, column)
     # An INSERT by SQL may have left the day out.
@@ -128,6 +175,7 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
 
 def fitted(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """The frame as the table takes it: by name, with its day column, required values checked."""
+    settle(spark, table)
     target = spark.table(quoted(table)).schema
     props = properties(spark, table)
     for source, day in day_columns(spark, table).items():
@@ -160,68 +208,13 @@ def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     fitted(spark, df, table).write.mode("append").insertInto(quoted(table))
 
 
-def replace_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace everything the table holds. The frame must not read the table."""
-    rows = fitted(spark, df, table)
-    with _overwriting(spark, "static"):
-        rows.write.mode("overwrite").insertInto(quoted(table))
-
-
 def empty_table(spark: SparkSession, table: str) -> None:
+    """Empty a table in place, partition by partition."""
     nothing = spark.createDataFrame([], spark.table(quoted(table)).schema)
     with _overwriting(spark, "static"):
         nothing.write.mode("overwrite").insertInto(quoted(table))
 
 
-def full_refresh(spark: SparkSession, table: str, ddl: str | None = None) -> None:
-    """Empty the table; with its registered definition, create it anew from that.
-
-    The definition must be of this table and have no placeholder left, and it is first tried under another name. Only when
-    that has worked, the old table goes, so a bad definition leaves it with all its rows. A new table starts in the folder of the first
-    version, so that folder is emptied, too.
-    """
-    if ddl is None:
-        if spark.catalog.tableExists(quoted(table)):
-            empty_table(spark, table)
-        return
-    name = defined_name(ddl)
-    if not same_table(name, table):
-        raise ValueError(f"the definition is of {name or 'no table'}, not of {table}")
-    if "${" in ddl:
-        raise ValueError("the definition holds a placeholder without a value")
-    trial = ".".join([*name.replace("`", "").split(".")[:-1], f"landfall_trial_{uuid.uuid4().hex}"])
-    folder = scratch_path(spark, "trial")
-    try:
-        spark.sql(_LOCATION.sub(f"LOCATION '{folder}'", ddl.replace(name, quoted(trial), 1)))
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(trial)}")
-    if spark.catalog.tableExists(quoted(table)):
-        place = location(spark, table)
-        if _VERSION in place:
-            spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(place.split(_VERSION)[0])}")
-            spark.catalog.refreshTable(quoted(table))
-        empty_table(spark, table)
-        spark.sql(f"DROP TABLE {quoted(table)}")
-    spark.sql(ddl)
-
-
-_LOCATION = re.compile(r"\bLOCATION\s+(?:'[^']*'|\"[^\"]*\")", re.IGNORECASE)
-_CREATED = re.compile(r"\s*CREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:`[^`]+`|[\w-]+)(?:\.(?:`[^`]+`|[\w-]+))*)", re.IGNORECASE)
-
-
-def defined_name(ddl: str) -> str | None:
-    """The name in a CREATE statement, as it is written there."""
-    found = _CREATED.match(ddl)
-    return found.group(1) if found else None
-
-
-def same_table(name: str | None, table: str) -> bool:
-    """Whether two names are of one table, as far as both say; each needs a schema."""
-    a, b = ((x or "").replace("`", "").lower().split(".") for x in (name, table))
-    n = min(len(a), len(b))
-    return n >= 2 and a[-n:] == b[-n:]
-
-
 def _partition_key(names: list[str]) -> Column:
     """A partition's values as one text, nulls left out."""
     return F.to_json(F.struct(*(F.col(f"`{name}`") for name in names)))
@@ -239,10 +232,21 @@ def _in_partitions(specs: list[Row]) -> Column:
     return listed
 
 
+def version_folder(place: str) -> str:
+    """A fresh folder for a new version of a table that is in ``place``."""
+    return f"{place.rstrip('/').split(VERSION)[0]}{VERSION}{uuid.uuid4().hex}"
+
+
+def point_to(spark: SparkSession, table: str, folder: str) -> None:
+    """Let an unpartitioned table be the files of another folder."""
+    step(spark, f"ALTER TABLE {quoted(table)} SET LOCATION {text(folder)}")
+    spark.catalog.refreshTable(quoted(table))
+
+
 def _empty_partition(spark: SparkSession, table: str, spec: dict[str, object]) -> None:
     """Drop one partition with its files. An external table would keep the files if it were just dropped."""
     values = ", ".join(
-        f"`{name}` = " + ("NULL" if value is None else _text(str(value))) for name, value in spec.items()
+        f"`{name}` = " + ("NULL" if value is None else text(str(value))) for name, value in spec.items()
     )
     fields = [f for f in spark.table(quoted(table)).schema.fields if f.name not in spec]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
@@ -263,16 +267,16 @@ def rewrite(
     A change that goes row by row leaves the rows of a partition together, so nothing is shuffled for the write;
     ``regroup`` brings them together again after one that joins or groups.
     """
+    settle(spark, table)
     current = spark.table(quoted(table))
     parts = partition_columns(spark, table)
     if not parts:
         if current.where(touched).isEmpty():
             return {"changed": False}
         old = location(spark, table)
-        new = f"{old.rstrip('/').split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex}"
+        new = version_folder(old)
         change(current).select(*current.columns).write.parquet(new)
-        spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION {_text(new)}")
-        spark.catalog.refreshTable(quoted(table))
+        point_to(spark, table, new)
         return {"changed": True, "previous": old}
     columns = [*(F.col(f"`{p}`") for p in parts), _partition_key(parts).alias("_key")]
     specs = current.where(touched).select(*columns).distinct().collect()
@@ -300,6 +304,7 @@ def purge_table(spark: SparkSession, table: str, column: str, day: dt.date | str
 
     Rows that lie in the partition without a day, because an INSERT left it out, are looked at by their timestamp.
     """
+    settle(spark, table)
     parts = partition_columns(spark, table)
     derived = _day_column(spark, table, column)
     day_column = derived or next((p for p in parts if p.lower() == column.lower()), column)
@@ -319,7 +324,7 @@ def _empty_day(spark: SparkSession, table: str, parts: list[str], day: dt.date |
     """Empty all partitions of a day, whatever the values of further partition columns."""
     fields = [f for f in spark.table(quoted(table)).schema.fields if f.name != parts[0]]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
-    spec = ", ".join([f"`{parts[0]}` = {_text(str(day))}", *(f"`{p}`" for p in parts[1:])])
+    spec = ", ".join([f"`{parts[0]}` = {text(str(day))}", *(f"`{p}`" for p in parts[1:])])
     with _overwriting(spark, "static"):
         spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) SELECT {nothing} WHERE false")
 
@@ -351,7 +356,7 @@ def remove_version(spark: SparkSession, table: str, previous: str) -> bool:
     place = location(spark, table)
     if place.rstrip("/") == previous.rstrip("/"):
         raise ValueError("the table is in this folder")
-    if previous.split(_VERSION)[0].rstrip("/") != place.split(_VERSION)[0].rstrip("/"):
+    if previous.split(VERSION)[0].rstrip("/") != place.split(VERSION)[0].rstrip("/"):
         raise ValueError(f"{previous} is no version of {table}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(previous)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -542,3 +542,118 @@ def test_bad_files_among_empty_ones_are_found_by_halves(spark, tmp_path, monkeyp
     assert [p for p, _ in checks._empty_errors(spark, files)] == [f"{tmp_path}/junk.parquet"]
     assert len(tried) <= 11
     assert checks._empty_errors(spark, [f for f in files if "junk" not in f["path"]]) == []
+
+
+class Killed(BaseException):
+    """The end of a process, which no handler sees."""
+
+
+def _killed_at(monkeypatch, n, kind):
+    """Let the process die before the n-th change of metadata."""
+    from landfall.sinks import refresh
+    from landfall.sinks import tables as T
+
+    done, whole = [], T.step
+
+    def step(spark, sql):
+        done.append(sql)
+        if len(done) == n:
+            raise kind("killed")
+        whole(spark, sql)
+
+    monkeypatch.setattr(T, "step", step)
+    monkeypatch.setattr(refresh, "step", step)
+    return done
+
+
+_OLD = [(1, "a"), (2, "b")]
+_DEFINITIONS = {
+    "plain": ("CREATE TABLE {t} (id INT, v STRING) USING parquet", []),
+    "other columns": ("CREATE TABLE IF NOT EXISTS {t} (id INT) USING parquet", []),
+    "selected": ("CREATE OR REPLACE TABLE {t} USING parquet AS SELECT 7 AS id, 'x' AS v", [(7, "x")]),
+    "located": ("CREATE TABLE {t} USING parquet LOCATION '{place}' AS SELECT 7 AS id, 'x' AS v", [(7, "x")]),
+    "elsewhere": ("CREATE TABLE {t} USING parquet LOCATION '{place}-2' AS SELECT 7 AS id, 'x' AS v", [(7, "x")]),
+    "partitioned": ("CREATE TABLE {t} USING parquet PARTITIONED BY (v) AS SELECT 7 AS id, 'x' AS v", [(7, "x")]),
+}
+
+
+@pytest.mark.parametrize("by", ["", "PARTITIONED BY (v)"])
+@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize("kind", sorted(_DEFINITIONS))
+def test_full_refresh_swaps(spark, schema, tmp_path, kind, external, by):
+    table, place = f"{schema}.t", f"{tmp_path}/t"
+    spark.sql(f"CREATE TABLE {table} (id INT, v STRING) USING parquet {by} " + (f"LOCATION '{place}'" if external else ""))
+    spark.sql(f"INSERT INTO {table} VALUES (1, 'a'), (2, 'b')")
+    ddl, rows = _DEFINITIONS[kind]
+    for _ in range(2):
+        K.full_refresh(spark, table, ddl.format(t=table, place=place))
+        assert rows_of(spark.table(table)) == rows
+        K.remove_leftovers(spark, table)
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema}").collect()] == ["t"]
+    assert "landfall.replaces" not in K.properties(spark, table)
+
+
+@pytest.mark.parametrize("kind, by, end", [
+    ("plain", "", Killed), ("selected", "PARTITIONED BY (v)", Killed), ("other columns", "", Killed), ("other columns", "PARTITIONED BY (v)", RuntimeError)])
+def test_full_refresh_killed_anywhere_leaves_old_or_new(spark, schema, monkeypatch, kind, by, end):
+    ddl, rows = _DEFINITIONS[kind]
+    n = 0
+    while True:
+        n += 1
+        table = f"{schema}.t{n}"
+        spark.sql(f"CREATE TABLE {table} (id INT, v STRING) USING parquet {by}")
+        spark.sql(f"INSERT INTO {table} VALUES (1, 'a'), (2, 'b')")
+        with monkeypatch.context() as patch:
+            done = _killed_at(patch, n, end)
+            try:
+                K.full_refresh(spark, table, ddl.format(t=table))
+            except end:
+                pass
+        K.settle(spark, table)
+        got = rows_of(spark.table(table))
+        assert got in (_OLD, rows), n
+        K.remove_leftovers(spark, table)
+        assert rows_of(spark.table(table)) == got
+        K.append_rows(spark, spark.createDataFrame([(9,)], "id int"), table)
+        assert spark.table(table).count() == len(got) + 1
+        if len(done) < n:
+            assert got == rows and n > 1
+            break
+
+
+def test_a_writer_finishes_the_swap(spark, schema, monkeypatch):
+    table = f"{schema}.t"
+    spark.sql(f"CREATE TABLE {table} (id INT, v STRING) USING parquet PARTITIONED BY (v)")
+    spark.sql(f"INSERT INTO {table} VALUES (1, 'a')")
+    with monkeypatch.context() as patch:
+        _killed_at(patch, 3, Killed)
+        with pytest.raises(Killed):
+            K.full_refresh(spark, table, rows=spark.createDataFrame([(5, "n")], "id int, v string"))
+    assert not spark.catalog.tableExists(table)
+    assert not K.ensure_table(spark, table, struct_type([{"name": "id", "type": "INT64", "mode": "NULLABLE"}]))
+    assert rows_of(spark.table(table)) == [(5, "n")]
+
+
+def test_full_refresh_of_probes(spark, schema, tmp_path):
+    write(tmp_path / "full" / "x.txt", "x")
+    spark.sql(f"CREATE TABLE {schema}.t USING parquet AS SELECT id FROM range(10)")
+    spark.sql(f"CREATE VIEW {schema}.seen AS SELECT * FROM {schema}.t")
+    for rest in ("AS SELECT * FROM {s}.t WHERE id < 0", "AS SELECT * FROM {s}.seen", "LOCATION '{p}' AS SELECT 1 AS id", "LOCATION '{p}'"):
+        columns = "" if " AS " in rest or rest.startswith("AS") else "(id BIGINT) "
+        with pytest.raises(Exception):
+            K.full_refresh(spark, f"{schema}.t", f"CREATE TABLE {schema}.t {columns}USING parquet " + rest.format(s=schema, p=tmp_path / "full"))
+        assert spark.table(f"{schema}.t").count() == 10
+    assert (tmp_path / "full" / "x.txt").exists()
+    assert sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema}").collect()) == ["seen", "t"]
+
+
+@pytest.mark.parametrize("by", [None, "ts"])
+def test_replaced_rows_may_read_the_table(spark, schema, by):
+    table = f"{schema}.t"
+    frame = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2))], "id int, ts timestamp_ntz")
+    K.ensure_table(spark, table, frame.schema, by)
+    K.append_rows(spark, frame, table)
+    K.replace_rows(spark, spark.table(table).where("id = 2").select("id", "ts"), table)
+    P.reload_date(spark, table, spark.table(table).select("id", "ts").unionByName(frame.where("id = 1")), None, None)
+    assert rows_of(spark.table(table).select("id")) == [(1,), (2,)]
+    assert K.day_columns(spark, table) == ({"ts": "ts_day"} if by else {})
