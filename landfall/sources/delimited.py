@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import scratch_path
+
 _OVERFLOW = "_overflow"
 
 
@@ -25,41 +27,135 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def quoting(spark: SparkSession, path: str, delimiter: str = ",") -> Row:
-    """One scan of the text, without parsing: ``newlines`` and ``returns``.
+    """One scan of the text, without parsing: ``newlines``, ``returns`` and ``divided``.
 
     ``newlines`` tells whether a record spans lines. If no line that begins outside quotes ends within them, none does, and the
     file can be split among tasks. A reader takes a lone carriage return for the end of a line, too. ``returns`` tells whether the first
-    line of every file ends with a carriage return.
+    line of every file ends with a carriage return, ``divided`` whether some file is more than one task should take
+    (``spark.sql.files.maxPartitionBytes``).
     """
     value = F.col("value")
     parts = F.exists(F.split(value, "\r"), lambda part: _left_open(part, delimiter))
     broken = F.when(~value.contains('"'), False).when(value.contains("\r"), parts).otherwise(_left_open(value, delimiter))
-    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    files = _lines(spark, path).select(F.col("_metadata.file_path").alias("file"), broken.alias("broken"), value.endswith("\r").alias("cr"), place.alias("place"))
-    per_file = files.groupBy("file").agg(F.bool_or("broken").alias("broken"), F.min_by("cr", "place").alias("cr"))
-    return per_file.agg(*(F.coalesce(f, F.lit(False)).alias(n) for f, n in ((F.bool_or("broken"), "newlines"), (F.bool_and("cr"), "returns")))).first()
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    files = _lines(spark, path).select(F.col("_metadata.file_path").alias("file"), broken.alias("broken"), value.endswith("\r").alias("cr"), place.alias("place"), F.col("_metadata.file_size").alias("size"))
+    share = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    divided = F.max("size") > share
+    per_file = files.groupBy("file").agg(F.bool_or("broken").alias("broken"), F.min_by("cr", "place").alias("cr"), divided.alias("divided"))
+    flags = {"newlines": F.bool_or("broken"), "returns": F.bool_and("cr"), "divided": F.bool_or("divided")}
+    return per_file.agg(*(F.coalesce(f, F.lit(False)).alias(n) for n, f in flags.items())).first()
 
 
-def never_closed(spark: SparkSession, path: str, delimiter: str = ",") -> bool:
-    """Whether a file ends within quotes.
+def _before(frame: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add ``known`` and ``turned``, of which the state before each row follows (see ``_state``).
 
-    What a line does to the state (outside or within quotes) depends on the state before it: it may set, keep or turn it. Lines are put
-    together within each split, and the splits of a file in their order, so no task needs more than a split.
+    What a row does to the state (outside or within quotes, 0 or 1) depends on the state before it: ``out`` and ``within`` say where either leads. It may
+    set, keep or turn the state, so rows are put together by the last one that sets it and the number of turns since.
     """
-    value = F.col("value")
-    lines = _lines(spark, path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
-        _left_open(value, delimiter).cast("int").alias("out"), _left_open(F.concat(F.lit('"'), value), delimiter).cast("int").alias("within"),
-    )
+    so_far = Window.partitionBy(*keys).orderBy(order)
     sets = F.col("out") == F.col("within")
-    so_far = Window.partitionBy("file", "block").orderBy("line")
-    turned = lines.withColumn("turns", F.sum(F.when((F.col("out") == 1) & ~sets, 1).otherwise(0)).over(so_far))
-    splits = turned.groupBy("file", "block").agg(
-        F.max("turns").alias("turns"), F.max(F.when(sets, F.struct("line", (F.col("out") + F.col("turns")).alias("state")))).alias("last"))
-    step = F.struct("block", "turns", F.col("last.state").alias("state"))
-    state = F.aggregate(
-        F.array_sort(F.collect_list(step)), F.lit(0).cast("bigint"), lambda before, s: (F.coalesce(s["state"], before) + s["turns"]) % 2)
-    return not splits.groupBy("file").agg(state.alias("state")).where("state = 1").isEmpty()
+    turns = F.when((F.col("out") == 1) & ~sets, 1).otherwise(0)
+    counted = frame.withColumn("turns", F.sum(turns).over(so_far))
+    value = F.when(sets, F.col("out") + F.col("turns"))
+    rows = counted.withColumns({
+        "known": F.last(value, True).over(so_far.rowsBetween(Window.unboundedPreceding, -1)), "turned": F.col("turns") - turns, "known_after": F.last(value, True).over(so_far)})
+    return rows
+
+
+def _state(known: str, turned: str, begin: Column) -> Column:
+    return (F.coalesce(F.col(known), begin) + F.col(turned)) % 2
+
+
+def _quoted_lines(spark: SparkSession, path: str, delimiter: str) -> DataFrame:
+    """Every line with its file, split and place there, and where it leads from either state. A byte order mark at the start of a file is left out."""
+    block = F.col("_metadata.file_block_start")
+    value = F.when((block == 0) & F.col("value").startswith("\ufeff"), F.substring("value", 2, 2**31 - 1)).otherwise(F.col("value"))
+    lines = _lines(spark, path).select(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("line"), value.alias("value"))
+    leads = lambda before: _left_open(F.concat(F.lit(before), "value"), delimiter).cast("int")
+    bare = ~F.col("value").contains('"')
+    return lines.withColumns({"out": F.when(bare, 0).otherwise(leads("")), "within": F.when(bare, 1).otherwise(leads('"'))})
+
+
+def quoted_splits(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """One row per split of the files: the state at its start and end, and the split and number of the record that goes on at its start.
+
+    Lines are put together within each split, then the splits of a file, each time by a prefix scan; a file's splits are few.
+    Also tells whether the first line of the file ends with a carriage return, and whether there is another one in it.
+    """
+    cr, inner = F.col("value").endswith("\r"), F.rtrim(F.col("value"), F.lit("\r")).contains("\r")
+    flags = _quoted_lines(spark, path, delimiter).withColumns({"cr": cr, "inner": inner}).drop("value")
+    lines = _before(flags, ["file", "block"], "line")
+    starts = lambda s: F.sum(F.when(_state("known", "turned", F.lit(s)) == 0, 1).otherwise(0))
+    ends = lambda s: F.max_by(_state("known_after", "turns", F.lit(s)), "line")
+    splits = lines.groupBy("file", "block").agg(
+        starts(0).alias("starts_out"), starts(1).alias("starts_within"), ends(0).alias("out"), ends(1).alias("within"),
+        F.min_by("cr", "line").alias("cr"), F.min_by("inner", "line").alias("inner"))
+    splits = _before(splits, ["file"], "block").withColumn("begin", _state("known", "turned", F.lit(0)))
+    splits = splits.withColumns({
+        "end": F.when(F.col("begin") == 0, F.col("out")).otherwise(F.col("within")),
+        "starts": F.when(F.col("begin") == 0, F.col("starts_out")).otherwise(F.col("starts_within"))})
+    of_file = Window.partitionBy("file").orderBy("block")
+    earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
+    owner = F.last(F.when(F.col("starts") > 0, F.struct(F.col("block").alias("b"), F.col("starts").alias("r"))), True).over(earlier)
+    return splits.select("file", "block", "begin", "end", F.first("cr").over(of_file).alias("cr"), F.first("inner").over(of_file).alias("inner"), owner.alias("owner"))
+
+
+def never_closed(spark: SparkSession, path: str, delimiter: str = ",") -> bool:
+    """Whether a file ends within quotes."""
+    return _open_at_end(quoted_splits(spark, path, delimiter))
+
+
+def _open_at_end(splits: DataFrame) -> bool:
+    return not splits.groupBy("file").agg(F.max_by("end", "block").alias("end")).where("end = 1").isEmpty()
+
+
+def quoted_records(spark: SparkSession, path: str, splits: DataFrame, delimiter: str = ",") -> DataFrame:
+    """The records of the files as texts, with ``file``, ``block`` and ``r``, their order; each split is worked on by itself.
+
+    The lines of a split are joined to records; what a split begins with, if it belongs to a record of an earlier one, is put at that one's end. These
+    ends, at most one per split, are all that goes from split to split. Blank records are left out, and a carriage return at a record's end
+    if the file's first line has one. The pieces are written to the scratch folder, so the files are cut once.
+    """
+    lines = _before(_quoted_lines(spark, path, delimiter), ["file", "block"], "line").join(splits.select("file", "block", "begin", "owner"), ["file", "block"])
+    begins = F.when(_state("known", "turned", F.col("begin")) == 0, 1).otherwise(0)
+    numbered = lines.withColumn("r", F.sum(begins).over(Window.partitionBy("file", "block").orderBy("line")))
+    joined = lambda order, value: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), "\n")
+    written = scratch_path(spark, "csv")
+    numbered.groupBy("file", "block", "r").agg(joined("line", "value").alias("text"), F.first("owner").alias("owner")).write.parquet(written)
+    pieces = spark.read.parquet(written)
+    ends = pieces.where("r = 0").select("file", F.col("owner.b").alias("b"), F.col("owner.r").alias("r"), "block", "text")
+    ends = ends.groupBy("file", F.col("b").alias("block"), "r").agg(joined("block", "text").alias("rest"))
+    whole = F.concat_ws("\n", "text", "rest")  # without a rest, just the text
+    returns = splits.select("file", "cr").distinct()
+    records = pieces.where("r > 0").drop("owner").join(ends, ["file", "block", "r"], "left").join(returns, "file")
+    record = F.when(F.col("cr"), F.regexp_replace(whole, r"\r\z", "")).otherwise(whole)
+    return records.select("file", "block", "r", record.alias("record")).where("record <> ''")
+
+
+def _reader(spark: SparkSession, lines: DataFrame, options: dict[str, str]) -> DataFrame:
+    """The plain CSV reader over one text column, a record on each row."""
+    reader = spark.read.options(**options)
+    return DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())), spark)
+
+
+def _read_records(spark: SparkSession, records: DataFrame, reading: dict[str, str], header: bool, schema: StructType | None) -> tuple[DataFrame, StructType]:
+    """Records parsed into fields of a schema, given or inferred by the plain reader, and one more field that holds what is too much."""
+    if header:
+        place = F.struct("block", "r")
+        first = records.groupBy("file").agg(F.min(place).alias("first"), F.min_by("record", place).alias("record"))
+        named = first.orderBy("file").limit(1).select("record")
+        body = records.join(first.select("file", "first"), "file").where(place != F.col("first")).select("record")
+    else:
+        body = records.select("record")
+    if schema is None:
+        # The reader takes the first row for the header.
+        rows = named.unionByName(body) if header else body
+        schema = _reader(spark, rows, {**reading, "inferSchema": "true"}).schema
+    fields = StructType([*(StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)), StructField(_OVERFLOW, StringType())])
+    options = {key: value for key, value in reading.items() if key != "header"}
+    parsed = body.select(F.from_csv("record", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields.fields), options).alias("v"))
+    names = [*schema.names, _OVERFLOW]
+    return parsed.select(*(F.col(f"v.{f.name}").alias(name) for f, name in zip(fields.fields, names))), schema
 
 
 def read_csv(
@@ -76,22 +172,37 @@ def read_csv(
     fields than columns fails the query that reads it; the check is part of the scan, so a load that meets such
     a row writes nothing. With a given schema the data is read once, otherwise types need a pass of their own.
 
-    Spark can split a CSV file only if no record spans lines. A scan of the text finds out, which ``quoted_newlines=False`` saves.
-    Where records do, each file is parsed by one task, whatever its size, so large data of that kind should come in several files.
+    A scan of the text finds out whether records span lines, which ``quoted_newlines=False`` saves. If none does, Spark splits the files. Otherwise, if
+    some file is more than one task should take, the state of the quotes is carried over lines and splits by prefix scans, records are cut within each split and written
+    to the scratch folder, and read from there by the plain parser, by as many tasks as there are splits. Rows and types are the same as if each file were
+    parsed by one task, as smaller files are. Of several files with a header the first one by path names the columns. Files
+    with a lone carriage return in their first line, which the parser takes for their line end, are parsed by one task each.
     """
     reading = {"sep": delimiter, "quote": '"', "escape": '"', "header": str(header).lower()}
+    rows = None
     if quoted_newlines and (found := quoting(spark, path, delimiter))["newlines"]:
-        if never_closed(spark, path, delimiter):
+        if found["divided"]:
+            written = scratch_path(spark, "splits")
+            quoted_splits(spark, path, delimiter).write.parquet(written)
+            splits = spark.read.parquet(written)
+            closed, by_records = not _open_at_end(splits), splits.where("inner").isEmpty()
+        else:
+            closed, by_records = not never_closed(spark, path, delimiter), False
+        if not closed:
             raise ValueError(f"a quoted field of {path} is never closed")
-        reading["multiLine"] = "true"
-        if found["returns"]:
-            reading["lineSep"] = "\r\n"  # so that line ends within fields stay as they are
-    if schema is None:
-        schema = spark.read.options(**reading, inferSchema="true").csv(path).schema
+        if by_records:
+            rows, schema = _read_records(spark, quoted_records(spark, path, splits, delimiter), reading, header, schema)
+        else:
+            reading["multiLine"] = "true"
+            if found["returns"]:
+                reading["lineSep"] = "\r\n"  # so that line ends within fields stay as they are
+    if rows is None:
+        if schema is None:
+            schema = spark.read.options(**reading, inferSchema="true").csv(path).schema
+        wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
+        rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     if not schema.fields:
         raise ValueError(f"{path} has no columns")
-    wide = StructType([*schema.fields, StructField(_OVERFLOW, StringType())])
-    rows = spark.read.options(**reading, enforceSchema="true").schema(wide).csv(path)
     message = F.concat(F.lit("row has too many fields, the first extra one is: "), F.col(_OVERFLOW))
     whole = rows.where(F.when(F.col(_OVERFLOW).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
     return whole.select(*(F.col(f"`{f.name}`") for f in schema.fields))
