@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +16,7 @@ from ..operators import (
 )
 from ..session import scratch_path
 from ..sinks import quoted, results_frame, rewrite, table_on_date
-from ..sources import file_catalog, parquet_row_counts, path_exists, plain_path, qualified_path, recent_parquet
+from ..sources import Conflict, file_catalog, merged_schema, parquet_row_counts, path_exists, qualified_path, recent_parquet, rows_by_file, schema_classes
 
 # The control tables that a process must be registered in, by archetype type.
 REQUIRED_TABLES = {
@@ -57,16 +56,20 @@ def _empty_errors(spark: SparkSession, empty: list) -> list[tuple[str, str]]:
     return errors
 
 
-def _rows_read(spark: SparkSession, root: str, since: dt.datetime) -> DataFrame | None:
-    """The number of rows of each file below a folder that can be read in all their columns."""
+def _rows_read(spark: SparkSession, root: str, since: dt.datetime, files: DataFrame) -> DataFrame | None:
+    """The number of rows of each file below a folder that can be read in all their columns.
+
+    Files whose schemas can't be merged are read class by class; only then their names come to the driver.
+    """
+    new_reader = lambda: recent_parquet(spark, since)
     try:
-        rows = recent_parquet(spark, since).option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(root)
-    except AnalysisException:
-        return None  # no file there has a schema
-    values = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in rows.schema.fields]
-    seen = rows.groupBy(plain_path(F.col("_metadata.file_path")).alias("path")).agg(F.count("*").alias("rows_read"), F.bit_xor(F.xxhash64(*values)).alias("_all"))
-    # The hash of all columns is used, or the scan would leave them out.
-    return seen.select("path", F.when(F.col("_all").isNotNull(), F.col("rows_read")).alias("rows_read"))
+        schema = merged_schema(new_reader(), root)
+        classes = [(schema, [root])] if schema is not None else []
+    except Conflict:
+        counts = files.where(F.col("has_records") & F.startswith("path", F.lit(root.rstrip("/") + "/"))).select("path", "row_count")
+        classes = schema_classes(new_reader, counts, [row["path"] for row in counts.collect()])
+    read = [rows_by_file(new_reader().schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)) for schema, paths in classes]
+    return reduce(DataFrame.unionByName, read) if read else None
 
 
 def landing_report(
@@ -75,7 +78,7 @@ def landing_report(
     """For every expected ``path`` its recent Parquet files and whether each has rows.
 
     ``expected`` has ``path`` and may have ``periodicidad``. Rows are counted from footers in one job. ``thorough`` reads all columns of
-    all files in one more, and reports files that give fewer rows than their footers promise. One job tells whether files
+    all files in one more for each class of schemas that can be merged, and reports files that give fewer rows than their footers promise. One job tells whether files
     without rows are sound. ``strict`` raises an error when some path has no recent file.
     """
     named = [row["path"] for row in expected.select("path").distinct().toLocalIterator()]
@@ -94,7 +97,7 @@ def landing_report(
         files = spark.createDataFrame([], _FILE)
     errors = _empty_errors(spark, files.where(~F.col("has_records")).select("path", "length").collect())
     failures = spark.createDataFrame(errors, "path string, error string")
-    read = [rows for root in roots if thorough and (rows := _rows_read(spark, root, since)) is not None]
+    read = [rows for root in roots if thorough and (rows := _rows_read(spark, root, since, files)) is not None]
     if read:
         counted = reduce(DataFrame.unionByName, read).groupBy("path").agg(F.max("rows_read").alias("rows_read"))
         got = F.coalesce("rows_read", F.lit(0))

@@ -205,12 +205,17 @@ def file_catalog(t):
 
 @query("""
 SELECT 'event_type=' || event_type AS folder, true AS found, count(*) AS row_count FROM events GROUP BY event_type
-UNION ALL SELECT 'absent', false, 0""")
+UNION ALL SELECT 'absent', false, 0
+UNION ALL SELECT 'mixed', true, 2 * count(*) FROM events""")
 def landing_report(t):
+    # Below ``mixed`` a column is a number in some files and a text in others.
     root = t.scratch("landing")
     t.events.write.partitionBy("event_type").parquet(root)
+    t.events.write.parquet(f"{root}/mixed/a")
+    t.events.withColumn("value", F.col("value").cast("string")).withColumn("more", F.lit(1)).write.parquet(f"{root}/mixed/b")
     now = dt.datetime.now(dt.timezone.utc)
     kinds = t.events.select(F.concat(F.lit(f"{root}/event_type="), "event_type").alias("path")).distinct()
+    kinds = kinds.unionByName(t.spark.createDataFrame([(f"{root}/mixed",)], "path string"))
     absent = f"{root}/absent"
     t.events.where(F.lit(False)).write.parquet(absent)
     expected = kinds.withColumn("periodicidad", F.lit("diaria"))
@@ -221,7 +226,7 @@ def landing_report(t):
         report.unionByName(late)
         .groupBy(L.base_name("path").alias("folder"))
         .agg(
-            F.bool_and(F.col("exists") & F.col("has_records")).alias("found"),
+            F.bool_and(F.col("exists") & F.col("has_records") & F.col("error").isNull()).alias("found"),
             F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
         )
     )

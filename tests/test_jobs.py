@@ -509,6 +509,43 @@ def test_landing_report_reads_the_pages(spark, tmp_path):
     assert {r["error"] for r in P.landing_report(spark, expected, now, thorough=False).collect()} == {None}
 
 
+def test_landing_report_of_files_of_different_types(spark, tmp_path, monkeypatch):
+    now = dt.datetime.now(dt.timezone.utc)
+    kinds = {"int": "1 AS a", "text": "'x' AS a, 2 AS b", "date": "DATE'2024-01-01' AS a, 3L AS b", "big": "5L AS a, NULL AS c", "other": "7 AS d", "nested": "named_struct('x', 1) AS a"}
+    for i in range(2):
+        for name, columns in kinds.items():
+            spark.sql(f"SELECT {columns.replace('NULL', 'CAST(NULL AS INT)')} FROM range(5000)").coalesce(1).write.parquet(f"{tmp_path}/in/{name}{i}")
+    spark.sql("SELECT uuid() AS a FROM range(20000)").coalesce(1).write.parquet(f"{tmp_path}/in/bad")
+    (path,) = (tmp_path / "in" / "bad").glob("*.parquet")
+    content = bytearray(path.read_bytes())
+    content[1000 : len(content) // 2] = bytes(len(content) // 2 - 1000)
+    path.write_bytes(content)
+    (tmp_path / "in" / "bad" / f".{path.name}.crc").unlink()
+    expected = spark.createDataFrame([(f"{tmp_path}/in",)], "path string")
+    rows = {r["file_path"].rsplit("/", 2)[1]: r for r in P.landing_report(spark, expected, now).collect()}
+    assert len(rows) == 13 and all(r["has_records"] for r in rows.values())
+    assert {name for name, r in rows.items() if r["error"]} == {"bad"} and "rows can be read" in rows["bad"]["error"]
+
+    # Four times as many files take no more jobs.
+    def jobs(root):
+        from landfall.sources import schemas
+
+        calls = []
+        whole, merge = schemas._readable, schemas.merged_schema
+        with monkeypatch.context() as patch:
+            patch.setattr(schemas, "_readable", lambda *a: calls.append(0) or whole(*a))
+            patch.setattr(schemas, "merged_schema", lambda *a: calls.append(1) or merge(*a))
+            counts = S.parquet_row_counts(spark, root)
+            classes = S.schema_classes(lambda: S.recent_parquet(spark), counts, [r["path"] for r in counts.collect()])
+        return len(calls), len(classes)
+
+    for i in range(8):
+        for name in ("int", "text"):
+            where = "few" if i < 2 else "many"
+            spark.sql(f"SELECT {kinds[name]}").coalesce(1).write.parquet(f"{tmp_path}/{where}/{name}{i}")
+    assert jobs(f"{tmp_path}/few") == jobs(f"{tmp_path}/many") == (4, 2)
+
+
 def test_one_unreadable_table_does_not_end_the_count(spark, schema, tmp_path):
     short = schema.split(".")[1]
     for name in ("a", "b"):
