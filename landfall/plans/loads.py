@@ -24,6 +24,10 @@ from ..sources import file_catalog, flatten_documents, read_csv, read_documents,
 PARTITION_KEY = "campo_particion"
 
 
+#: The column of a document's text.
+_BODY = "_landfall_body"
+
+
 def newest_file(
     spark: SparkSession, folder: str, contains: str = "", suffix: str = "", base_only: bool = False
 ) -> str:
@@ -142,7 +146,7 @@ def load_documents(
     """Flatten landed API documents to Parquet, one file per entry; a bad entry does not stop the others.
 
     An entry names ``url``, ``filename`` and ``vars``. Its document is ``<landed>/<filename>.json``: whole files, or with ``lines`` a document on
-    every line, so that a large entry comes in many documents that are read in parallel.
+    every line, so that a large entry comes in many documents that are read in parallel. An entry is bad if any of its documents lacks a field.
     """
 
     results = []
@@ -154,8 +158,8 @@ def load_documents(
         listed = spark.range(1).select(field_list(F.lit(wanted)).alias("f")).first()["f"]
         flat, nested = listed["flat"], listed["nested"]
         try:
-            docs = read_documents(spark, f"{landed.rstrip('/')}/{name.removesuffix('.parquet')}.json", lines=lines)
-            path = write_parquet(flatten_documents(docs, flat, nested), f"{out.rstrip('/')}/{name}", mode="overwrite")
+            docs = read_documents(spark, f"{landed.rstrip('/')}/{name.removesuffix('.parquet')}.json", lines=lines, body=_BODY)
+            path = write_parquet(flatten_documents(docs, flat, nested, body=_BODY), f"{out.rstrip('/')}/{name}", mode="overwrite")
             results.append({"filename": name, "status": "OK", "path": path})
         except Exception as error:
             results.append({"filename": name, "status": "ERROR", "error": str(error)})

@@ -440,9 +440,10 @@ def script_folder(t):
 @query("""
 SELECT event_type AS filename, 'OK' AS status, count(*) AS n, count(DISTINCT ts::DATE) AS days, round(sum(value), 2) AS total FROM events GROUP BY 1
 UNION ALL SELECT 'absent', 'ERROR', 0, 0, 0
+UNION ALL SELECT 'lacking', 'ERROR', 0, 0, 0
 UNION ALL SELECT 'bare', 'SKIPPED', 0, 0, 0""")
 def load_documents(t):
-    # An entry per event type, all its events as records of many documents, one on each line.
+    # An entry per event type, all its events as records of many documents, one on each line. The documents of one type in ``lacking`` have no code.
     landed, out = t.scratch("landed"), t.scratch("origin-files")
     kinds = _documents_of(t.events, "event_type")
     text = F.to_json(F.struct(F.col("event_type").alias("codigo"), "serie")).alias("value")
@@ -450,8 +451,10 @@ def load_documents(t):
     names = [row["event_type"] for row in t.events.select("event_type").distinct().collect()]
     for name in names:
         K.move(t.spark, f"{landed}/all/file={name}.json", f"{landed}/{name}.json")
+    code = F.nullif("event_type", F.lit(min(names))).alias("codigo")
+    kinds.select(F.to_json(F.struct(code, "serie")).alias("value")).write.text(f"{landed}/lacking.json")
     wanted = "codigo;serie.fecha;serie.valor"
-    entries = [{"url": "u", "filename": name, "vars": wanted} for name in (*names, "absent")] + [{"url": "u", "filename": "bare"}]
+    entries = [{"url": "u", "filename": name, "vars": wanted} for name in (*names, "absent", "lacking")] + [{"url": "u", "filename": "bare"}]
     results = P.load_documents(t.spark, entries, landed, out, lines=True)
     status = t.spark.createDataFrame([(r["filename"], r["status"]) for r in results], "filename string, status string")
     loaded = S.read_parquet(t.spark, *(r["path"] for r in results if "path" in r)).groupBy(F.col("codigo").alias("filename")).agg(

@@ -11,13 +11,30 @@ from ..functions import text_date
 
 
 def read_documents(
-    spark: SparkSession, *paths: str, schema: StructType | str | None = None, lines: bool = False
+    spark: SparkSession, *paths: str, schema: StructType | str | None = None, lines: bool = False, body: str | None = None
 ) -> DataFrame:
-    """One row per JSON document: a whole file each, or one on every line, which lets a file be split."""
+    """One row per JSON document: a whole file each, or one on every line, which lets a file be split.
+
+    A file may also be an array of documents. ``body`` names a column that gets the text of each document, which tells a field that is
+    absent from one that is null.
+    """
     reader = spark.read.option("multiLine", not lines)
     if schema:
         reader = reader.schema(schema)
-    return reader.json(list(paths))
+    parsed = reader.json(list(paths))
+    if body is None:
+        return parsed
+    texts = document_texts(spark, *paths, lines=lines).select(F.from_json("body", parsed.schema).alias("_doc"), F.col("body").alias(body))
+    return texts.select("_doc.*", body)
+
+
+def document_texts(spark: SparkSession, *paths: str, lines: bool = False) -> DataFrame:
+    """The ``body`` of each document."""
+    texts = spark.read.text(list(paths), wholetext=not lines).select(F.col("value").alias("body")).where(F.col("value").rlike(r"\S"))
+    if lines:
+        return texts
+    several = F.when(F.col("body").rlike(r"\A\s*\["), F.from_json("body", "array<string>")).otherwise(F.array("body"))
+    return texts.select(F.explode(several).alias("body"))
 
 
 def missing_fields(body: Column, names: Sequence[str]) -> Column:
@@ -27,6 +44,20 @@ def missing_fields(body: Column, names: Sequence[str]) -> Column:
     return F.array_except(F.array(*map(F.lit, names)), keys) if names else nothing
 
 
+def document_problem(body: Column, flat: Sequence[str], nested: Sequence[str], array: str = "serie") -> Column:
+    """What a document lacks: a flat field, the array or its records, an inner field that none of its records has; null if nothing."""
+    missing = missing_fields(body, flat)
+    named = lambda what, names: F.concat(F.lit(f"{what} not found: "), F.array_join(names, ", "))
+    problem = F.when(F.size(missing) > 0, named("flat fields", missing))
+    if not nested:
+        return problem
+    records = F.from_json(F.get_json_object(body, f"$['{array}']"), "array<map<string,string>>")
+    keys = F.flatten(F.transform(records, lambda r: F.coalesce(F.map_keys(r), F.array().cast("array<string>"))))
+    lacking = F.array_except(F.array(*map(F.lit, nested)), keys)
+    empty = F.coalesce(F.size(records), F.lit(0)) <= 0
+    return problem.when(empty, F.lit(f"section '{array}' is absent or empty")).when(F.size(lacking) > 0, named(f"fields of '{array}'", lacking))
+
+
 def _records_of(schema: StructType, array: str) -> list[str]:
     if array in schema.names and isinstance(schema[array].dataType, ArrayType):
         inner = schema[array].dataType.elementType
@@ -42,18 +73,23 @@ def flatten_documents(
     array: str = "serie",
     date_field: str = "fecha",
     keep: Sequence[str] = (),
+    body: str | None = None,
 ) -> DataFrame:
     """One row per record of ``array`` with the chosen inner fields, then the chosen flat fields.
 
     Without inner fields there is one row per document. A flat field replaces an inner one of the same
     name. The inner date field becomes a date. Unknown names raise an error, and so does a document whose array is
-    empty when inner fields are asked for. ``keep`` names further columns to carry along.
+    empty when inner fields are asked for. ``keep`` names further columns to carry along. ``body`` names the column with each document's text: then
+    every document is judged by its own fields, and one that lacks any raises an error; a field that is null is there.
     """
     absent = [name for name in flat if name not in docs.columns]
     if absent:
         raise ValueError(f"flat fields not found: {', '.join(absent)}")
     carried = [F.col(f"`{name}`") for name in keep]
     flats = [F.col(f"`{name}`") for name in flat]
+    if body is not None:
+        problem = document_problem(F.col(f"`{body}`"), flat, nested, array)
+        docs = docs.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(True))
     if not nested:
         return docs.select(*carried, *flats)
     if array not in docs.columns:

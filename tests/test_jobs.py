@@ -350,6 +350,26 @@ def test_documents_and_schema(spark, tmp_path):
         P.publish_schema(spark, schemas, "z", f"{tmp_path}/schemas/z.json")
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_each_document_is_judged_by_its_own_fields(spark, tmp_path, lines):
+    good = {"codigo": None, "unidad": "x", "serie": [{"fecha": "2024-01-02T03:00:00.000Z", "valor": None}, {"valor": 1}]}
+    cases = {
+        "good": (good, "OK"), "flat": ({k: v for k, v in good.items() if k != "codigo"}, "codigo"), "array": ({**good, "serie": []}, "serie"),
+        "none": ({k: v for k, v in good.items() if k != "serie"}, "serie"), "inner": ({**good, "serie": [{"valor": 1}, {}]}, "fecha"), "null": ({**good, "serie": None}, "serie"),
+    }
+    for name, (other, _) in cases.items():
+        docs = [good, other]
+        write(tmp_path / "landed" / f"{name}.json", "\n".join(map(json.dumps, docs)) + "\n" if lines else json.dumps(docs, indent=1))
+    entries = [{"url": "u", "filename": name, "vars": "codigo;serie.fecha;serie.valor"} for name in cases]
+    for result in P.load_documents(spark, entries, f"{tmp_path}/landed", f"{tmp_path}/out", lines=lines):
+        want = cases[result["filename"]][1]
+        assert (result["status"] == "OK") == (want == "OK") and (want == "OK" or want in result["error"]), result
+    rows = S.read_parquet(spark, f"{tmp_path}/out/good.parquet").select(F.coalesce("valor", F.lit(-1)), F.coalesce("codigo", F.lit("null")), F.col("fecha").isNull())
+    assert rows_of(rows) == [(-1, "null", False)] * 2 + [(1, "null", True)] * 2
+    one = P.load_documents(spark, [{"url": "u", "filename": "flat", "vars": "unidad"}], f"{tmp_path}/landed", f"{tmp_path}/out", lines=lines)
+    assert one[0]["status"] == "OK" and rows_of(S.read_parquet(spark, one[0]["path"])) == [("x",), ("x",)]
+
+
 def test_documents_are_bounded(spark, tmp_path):
     from landfall.queries.jobs import _MOST_RECORDS, _documents_of
 
