@@ -54,6 +54,12 @@ def keyed(docs: DataFrame, *columns: Column, text: str = "text", doc_id: str = "
     )
 
 
+def least_of(docs: DataFrame, *named: str) -> Column:
+    """An order of rows that are equal in the named columns: by the others, as JSON."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in named]
+    return F.to_json(F.struct(*others)) if others else F.lit("")
+
+
 def fold_case(column: Column) -> Column:
     """A-Z in lower case, nothing else changed."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

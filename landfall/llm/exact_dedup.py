@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, staged
+from .common import NULL_ID, least_of, staged
 
 
 def bare(text: Column) -> Column:
@@ -58,13 +58,13 @@ def exact_duplicates(docs: DataFrame, rounds: int = 3, fan_in: int = 4, text: st
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents without their copies, all columns as they were."""
+    """The documents without their copies, all columns as they were. Of rows equal in doc_id and text that whose other columns are the least as JSON stays."""
     name = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("k")
     kept = exact_duplicates(docs, text=text, doc_id=doc_id).where("kept").select(name, "n_chars", "text_sha256")
-    named = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
-        "doc", name, F.char_length("text").cast("long").alias("n_chars"), F.sha2(bare(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    named = docs.select(F.struct("*").alias("doc"), F.concat(least_of(docs, text, doc_id), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("order"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select(
+        "doc", "order", name, F.char_length("text").cast("long").alias("n_chars"), F.sha2(bare(F.col("text")).cast("binary"), 256).alias("text_sha256"))
     keys = ["k", "n_chars", "text_sha256"]
-    return named.join(kept, keys, "left_semi").groupBy(*keys).agg(F.first("doc").alias("doc")).select("doc.*")
+    return named.join(kept, keys, "left_semi").groupBy(*keys).agg(F.min_by("doc", "order").alias("doc")).select("doc.*")
 
 
 ORACLE = """

@@ -19,7 +19,7 @@ from .lm_scoring import score_texts
 from .multiset_fingerprint import centred, fingerprints, in_hex, likeness
 from .personal_data import KINDS, find_entities
 from .simhash_dedup import near_duplicates
-from .source_mix import mix_sources, words
+from .source_mix import mix_sources, text_digest, words
 from .suffix_dedup import remove_repeats
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -62,8 +62,8 @@ ORACLE["op3_exact_dedup"] = exact_dedup.ORACLE
 
 @query
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder).select("doc_id", "source", "text")
-    mixed = mix_sources(docs.select("doc_id", "source", words(F.col("text")).alias("size")), F.col("size"))
+    light = read_documents(spark, folder).select("doc_id", "source", text_digest(F.col("text")).alias("digest"), words(F.col("text")).alias("size"))
+    mixed = mix_sources(light, F.col("size"), digest=F.col("digest"))
     one = ["doc.doc_id", "doc.source", *(f"mix.{c}" for c in ("stretch", "number", "size", "source_size", "target"))]
     return mixed.groupBy(*one).agg(F.sum("mix.taken").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, staged
+from .common import keyed, least_of, staged
 from .components import components
 
 BLOCK, BLOCKS = 22, 3
@@ -194,10 +194,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, cell: int
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One document of each component, that with the smallest doc_id (null comes last), with all its columns."""
+    """One document of each component, that with the smallest doc_id (null comes last), with all its columns.
+
+    Of rows equal in doc_id and text that whose other columns are the least as JSON stays.
+    """
     found = near_duplicates(docs, shingle, bits, text=text, doc_id=doc_id)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "k", "c")).alias("best"))
     kept = best.select(F.col("best.k").alias("__k"), F.col("best.c").alias("__c"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = keyed(docs, whole.alias("doc"), text=text, doc_id=doc_id).select(F.col("k").alias("__k"), F.col("c").alias("__c"), "doc")
-    return named.join(kept, ["__k", "__c"], "left_semi").groupBy("__k", "__c").agg(F.first("doc").alias("doc")).select("doc.*")
+    named = keyed(docs, whole.alias("doc"), least_of(docs, text, doc_id).alias("__order"), text=text, doc_id=doc_id).select(F.col("k").alias("__k"), F.col("c").alias("__c"), "doc", "__order")
+    return named.join(kept, ["__k", "__c"], "left_semi").groupBy("__k", "__c").agg(F.min_by("doc", "__order").alias("doc")).select("doc.*")

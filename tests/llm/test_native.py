@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from landfall.llm.exact_dedup import exact_duplicates, keep_one
 from landfall.llm.multiset_fingerprint import LONGS, _bucketed, added, fingerprints, removed
 from landfall.llm.queries import ORACLE, QUERIES
-from landfall.llm.source_mix import mix_sources, words
+from landfall.llm.simhash_dedup import keep_one as near_keep_one
+from landfall.llm.source_mix import mix_sources, taken_documents, text_digest, words
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -69,8 +70,13 @@ def test_mix_shares_and_limits(spark):
     per = out.groupBy("doc.source").agg(F.sum("mix.taken").alias("taken"), F.first("mix.target").alias("target"), F.first("mix.source_size").alias("size")).collect()
     total = sum(r["size"] for r in per)
     assert math.isclose(sum(r.target for r in per), 1.5 * total)
+    assert sum(r.taken for r in per) == math.floor(1.5 * total)
     for r in per:
-        assert r.taken == math.floor(r.target) <= 2 * r["size"]
+        assert abs(r.taken - r.target) <= 30 and r.taken <= 2 * r["size"]  # the longest document has 30 words
+    # By virtual finish time all before the cut are served whole, all after it not at all.
+    served = sorted((r.mix.finish, r.mix.taken - r.mix.size, r.mix.taken) for r in out.where("mix.size > 0").select("mix").collect())
+    cut = [f for f, lacks, taken in served if lacks]
+    assert all(not lacks for f, lacks, _ in served if f < cut[0]) and all(taken == 0 for f, _, taken in served if f > cut[0])
     assert out.select("doc.*").columns == [*docs.columns, "w"]
     assert out.where("mix.taken > mix.size or mix.taken < 0").count() == 0
     finish = [r.f for r in out.select(F.col("mix.finish").alias("f")).collect() if r.f is not None]
@@ -79,6 +85,32 @@ def test_mix_shares_and_limits(spark):
     assert sorted(again.collect()) == sorted(out.select("doc.doc_id", "mix.copy", "mix.taken").collect())
 
 
+@pytest.mark.parametrize("width", [7, 1 << 22])
+def test_mix_does_not_depend_on_partitions(spark, width):
+    """Rows without a doc_id, all of one size."""
+    rows = [(None, f"a b{i} c", "xy"[i % 3 == 0], "k", i) for i in range(300)] + [(7, f"d{i}", "x", "k", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, key string, place int")
+    got = []
+    for parts in (1, 3, 8):
+        light = docs.repartition(parts, "place").withColumn("w", words(F.col("text")))
+        out = mix_sources(light, F.col("w"), width=width).select("doc.text", "mix.copy", "mix.taken")
+        got.append(sorted(map(tuple, out.collect())))
+        digest = light.select("doc_id", "source", text_digest(F.col("text")).alias("digest"), "w")
+        kept = taken_documents(docs.repartition(parts), mix_sources(digest, F.col("w"), digest=F.col("digest"), width=width), F.col("mix.taken") > 0)
+        assert kept.columns == docs.columns
+        assert sorted(r.text for r in kept.collect()) == sorted(text for text, _, taken in got[-1] if taken)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 800
+
+
+def test_ties_are_settled(spark):
+    """Rows equal in doc_id and text but not in their source."""
+    rows = [(1, "one two three four five", s, i) for i, s in enumerate("dbcae")] + [(None, "x", s, 1) for s in "zy"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    for keep in (keep_one, near_keep_one):
+        got = {tuple(sorted((r.text, r.source) for r in keep(docs.repartition(parts, "n")).collect())) for parts in (1, 2, 5)}
+        assert got == {(("one two three four five", "a"), ("x", "y"))}
+
+
 def test_mix_odd_rows(spark):
     _, out = mixed(spark, [(None, None, "a", None, None), (1, "", "a", None, None), (2, "one two", "b", "k", 2), (2, "one two", "b", "k", 2)])
     assert sum(r.t for r in out.select(F.col("mix.taken").alias("t")).collect()) == 6
