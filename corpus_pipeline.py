@@ -14,14 +14,14 @@ from landfall.llm.bpe_codec import encode_texts
 from landfall.llm.common import on_workers, read_documents, staged
 from landfall.llm.language_id import identify, train
 from landfall.llm.queries import VOCABULARY, taught
-from landfall.llm.source_mix import mix_sources, words
+from landfall.llm.source_mix import mix_sources, taken_documents, text_digest, words
 
 #: Documents whose best language scores less are in none of the known ones; all scores of a text add up to 1.
 LEAST_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Reject documents without a letter and those in no known language. Without any labelled document nothing is rejected."""
+    """Reject documents without a letter and those in no known language. Without any labelled document nothing is rejected. Rows are judged one by one, repeated ones alike."""
     model = train(docs.where(taught(4)))
     if not model.langs:
         return docs
@@ -29,19 +29,20 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, the longest one, then that with the smallest doc_id; of repeated rows one."""
     return exact_dedup.keep_one(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
+    """One document of each group of linked fingerprints, that with the smallest doc_id; of repeated rows one."""
     return simhash_dedup.keep_one(docs, shingle=4, bits=4)
 
 
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The copies that the mix takes, in its order; a copy cut by the end of the budget stays if half of it or more is taken."""
-    mixed = mix_sources(docs, words(F.col("text")))
-    return mixed.where((F.col("mix.taken") > 0) & (2 * F.col("mix.taken") >= F.col("mix.size"))).select("doc.*")
+    """The copies that the mix takes; the one cut by the end of the budget stays if half of it or more is taken. Repeated rows are copies, too; an empty table stays so."""
+    light = docs.select("doc_id", "source", text_digest(F.col("text")).alias("digest"), words(F.col("text")).alias("size"))
+    mixed = mix_sources(light, F.col("size"), digest=F.col("digest"))
+    return taken_documents(docs, mixed, (F.col("mix.taken") > 0) & (2 * F.col("mix.taken") >= F.col("mix.size")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
