@@ -2,8 +2,8 @@
 
 A state of the automaton is a context of up to ``order - 1`` tokens seen in training, the empty one included. From a state, each n-gram seen
 is an arc with its smoothed probability; for other tokens a failure arc leads to the context without its first token, at the weight that the
-smoothing leaves for it. Scoring a text is one pass from left to right: take failure arcs until the token has an arc, add up the weights, go
-to the longest context that ends with the token.
+smoothing leaves for it. Scoring a text is one pass from left to right that carries the state: take failure arcs until the token has an arc, add
+up the weights, go to the longest context that ends with the token.
 
 Smoothing puts ``strength`` pseudo-counts of the shorter context's model on each context:
 p(w | h) = (c(h w) + strength * p(w | h')) / (c(h) + strength), and p(w) = (c(w) + 1) / (N + V + 1) at the root.
@@ -95,23 +95,62 @@ class Block:
         return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
 
 
-def traverse(block: Block, totals: np.ndarray, tokens_: int, types: int, strength: float) -> np.ndarray:
-    """The log10 weight that the automaton gives each token, all texts of the block side by side.
+class Automaton:
+    """The states and arcs that a block's texts can visit; arcs are named by their n-gram, states by that of their context, the root comes last.
 
-    The state before a token is the longest known context of the tokens before it, so a token's path is: the root's arc weight, and for each
-    longer known context either its arc's weight, where the n-gram was seen, or its failure weight on top of the shorter one's.
+    ``fail`` and ``fail_weight`` are each state's failure arc, ``seen``, ``arc_weight`` and ``goto`` tell whether an n-gram is an arc of its context's
+    state, its log10 probability and the state that it leads to. A word never seen is an arc of the root that leads back to it.
     """
-    p = (totals[block.at[0]] + 1.0) / (tokens_ + types + 1.0)
-    weight = np.log10(p)
-    for n in range(1, len(block.at)):
-        whole = np.flatnonzero(block.at[n] >= 0)
-        context = totals[block.at[n - 1][whole - 1]]
-        state = whole[context > 0]
-        context = context[context > 0]
-        seen = totals[block.at[n][state]]
-        arc = (seen + strength * p[state]) / (context + strength)
-        weight[state] = np.where(seen > 0, np.log10(arc), weight[state] + np.log10(strength / (context + strength)))
-        p[state] = arc
+
+    def __init__(self, block: Block, totals: np.ndarray, tokens_: int, types: int, strength: float):
+        order, self.root = len(block.at), len(totals)
+        prefix, suffix = np.full(self.root, self.root), np.full(self.root, self.root)
+        self.length = np.append((block.names & _TAGS).astype(np.int64), 0)
+        for n in range(1, order):
+            ends = np.flatnonzero(block.at[n] >= 0)
+            prefix[block.at[n][ends]] = block.at[n - 1][ends - 1]
+            suffix[block.at[n][ends]] = block.at[n - 1][ends]
+        p = (totals + 1.0) / (tokens_ + types + 1.0)
+        for n in range(2, order + 1):
+            long = np.flatnonzero(self.length == n)
+            p[long] = (totals[long] + strength * p[suffix[long]]) / (totals[prefix[long]] + strength)
+        self.seen = (totals > 0) | (self.length[:-1] == 1)
+        self.arc_weight = np.log10(p)
+        self.fail = np.append(suffix, self.root)
+        self.fail_weight = np.append(np.log10(strength / (totals + strength)), 0.0)
+        self.goto = np.where(totals == 0, self.root, np.where(self.length[:-1] < order, np.arange(self.root), suffix))
+
+
+def pieces_of(sizes: np.ndarray, most: int, ahead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts in pieces of at most ``most`` tokens: where each is entered, where it begins and ends; those with the longest way come first.
+
+    A piece is entered up to ``ahead`` tokens before it begins. A state tells no more than that many tokens, so it is the text's own by then.
+    """
+    counts = -(-sizes // most)
+    text_begin = np.repeat(np.cumsum(sizes) - sizes, counts)
+    begin = text_begin + most * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+    end = np.minimum(begin + most, text_begin + np.repeat(sizes, counts))
+    enter = np.maximum(begin - ahead, text_begin)
+    by_way = np.argsort(enter - end, kind="stable")
+    return enter[by_way], begin[by_way], end[by_way]
+
+
+def traverse(block: Block, model: Automaton, most: int = 256) -> np.ndarray:
+    """The log10 weight of each token: one pass from left to right that carries a state for each piece of text, all pieces of the block side by side."""
+    arcs, weight = np.stack(block.at), np.zeros(len(block.at[0]))
+    enter, begin, end = pieces_of(block.sizes, most, len(block.at) - 1)
+    state = np.full(len(enter), model.root)
+    for step in range(int((end - enter).max(initial=0))):
+        going = int(np.searchsorted(enter - end, -step, side="left"))
+        state, place = state[:going], enter[:going] + step
+        arc, paid = arcs[model.length[state], place], np.zeros(going)
+        while len(stuck := np.flatnonzero(~model.seen[arc])):
+            paid[stuck] += model.fail_weight[state[stuck]]
+            state[stuck] = model.fail[state[stuck]]
+            arc[stuck] = arcs[model.length[state[stuck]], place[stuck]]
+        own = place >= begin[:going]
+        weight[place[own]] = (paid + model.arc_weight[arc])[own]
+        state = model.goto[arc]
     return weight
 
 
@@ -160,7 +199,7 @@ def _score(order: int, strength: float, buckets: int):
         base = np.log10((known + 1.0) / (n + v + 1.0))
         values = (
             block.sizes, block.by_text((known > 0).astype(np.int64)), np.full(len(docs), n), block.by_text(base),
-            block.by_text(traverse(block, totals, n, v, strength)),
+            block.by_text(traverse(block, Automaton(block, totals, n, v, strength))),
         )
         return pa.table({n: docs.column(n) for n in ("doc_id", "learn")} | {n: pa.array(x, t) for (n, t), x in zip(_OUT, values)})
 
@@ -171,26 +210,28 @@ _OUT = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.i
 
 
 def score_texts(
-    docs: DataFrame, learn: Column, order: int = 2, strength: float = 200.0, block_bytes: int = 6 << 20, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, learn: Column, order: int = 3, strength: float = 200.0, block_bytes: int = 6 << 20, blocks_a_bucket: int = 3, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """Learn from the documents where ``learn`` is true and score every whole text.
 
     Returns one row per document: doc_id, learn, n_tokens (words and one end), n_known (tokens seen in training), train_tokens, base_score (of
     the root state alone) and score, both the log10 probability of all tokens. Null texts count as empty and have the end only; a null
     ``learn`` counts as false. Repeated rows count as often as they occur. Other columns are not looked at; an empty table gives no rows.
-    Without training documents each token has probability 1.
+    Without training documents each token has probability 1. Texts are dealt over blocks of about ``block_bytes``; the n-grams of as much text as
+    ``blocks_a_bucket`` blocks hold are added up in one task, in a row per block and bucket, never more rows than n-grams.
     """
     if not 1 <= order <= 3:
         raise ValueError("order must be from 1 to 3")
     rows = keyed(docs, F.coalesce(learn, F.lit(False)).alias("learn"), text=text, doc_id=doc_id)
     size = rows.agg(F.sum(F.octet_length("text") + 1)).head()[0] or 0
     n = size // block_bytes + 1
+    buckets = -(-n // blocks_a_bucket)
     # Copies of a row are spread by their place. It is the same wherever the plan reads the documents, and the sums below prove it.
     blocks = rows.select(F.pmod(F.xxhash64("k", "c", F.spark_partition_id()), F.lit(n)).cast("int").alias("block"), "doc_id", "learn", "text")
-    named = blocks.groupBy("block").applyInArrow(_name(order, n), "block int, bucket int, names binary, counts binary")
+    named = blocks.groupBy("block").applyInArrow(_name(order, buckets), "block int, bucket int, names binary, counts binary")
     replies = named.groupBy("bucket").applyInArrow(_total, "block int, bucket int, checksum long, totals binary, tokens long, types long")
     sums = replies.agg(F.struct(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).alias("all"))
     replies = replies.withColumn("all", sums.scalar())
     kind = docs.schema[doc_id].dataType.simpleString()
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _score(order, strength, n), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _score(order, strength, buckets), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

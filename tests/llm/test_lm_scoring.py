@@ -5,10 +5,11 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from landfall.llm.lm_scoring import score_texts
+from landfall.llm.lm_scoring import Automaton, Block, pieces_of, score_texts, traverse
 from landfall.llm.queries import QUERIES
 
 
@@ -53,7 +54,7 @@ def check(got, want):
     assert got[3:] == pytest.approx(want[3:], rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize(("order", "size"), [(1, 1 << 20), (2, 1 << 20), (2, 300), (3, 500)])
+@pytest.mark.parametrize(("order", "size"), [(1, 1 << 20), (2, 1 << 20), (2, 300), (3, 500), (3, 60)])
 def test_brute_force(spark, order, size):
     pick = random.Random(order)
     vocabulary = ["the", "The", "of", "é", "É", "x", "yy", "z1"]
@@ -66,6 +67,26 @@ def test_brute_force(spark, order, size):
         check((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score), want[r.doc_id])
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("most", [1, 2, 7, 1000])
+def test_pieces_do_not_matter(order, most):
+    # Long texts are walked in pieces; the state at a piece's begin is that of the whole walk.
+    pick = random.Random(order)
+    rows = [(" ".join(pick.choices("abcdef", k=k)), k % 2 == 0) for k in (0, 1, 2, 3, 50, 51, 400)]
+    block = Block([t for t, _ in rows], np.array([x for _, x in rows]), order)
+    totals, want = block.counts(), plain(rows, order, 2.0)
+    types = len({w for t, x in rows if x for w in words(t)})
+    model = Automaton(block, totals, want[0][2], types, 2.0)
+    assert block.by_text(traverse(block, model, most)) == pytest.approx([w[4] for w in want], rel=1e-9)
+    enter, begin, end = pieces_of(block.sizes, most, order - 1)
+    assert sorted(i for a, b in zip(begin, end) for i in range(a, b)) == list(range(block.sizes.sum()))
+    assert (end - begin).max() <= most and (begin - enter).max() < order
+    # A failure arc leads to a state with one token less, and no unseen context is ever a state.
+    states = np.unique(model.goto)
+    assert all(model.length[model.fail[s]] == model.length[s] - 1 for s in states if s != model.root)
+    assert all(totals[s] > 0 for s in states if s != model.root)
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame([(None, "a b", True), (1, "a b", True), (1, "a b", True)], "doc_id long, text string, learn boolean")
     assert {(r.n_tokens, r.train_tokens) for r in score_texts(docs, F.col("learn")).collect()} == {(3, 9)}
@@ -77,7 +98,7 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
-    want = dict(zip(docs, plain([(t, not held[i]) for i, t in docs.items()], 2, 200.0)))
+    want = dict(zip(docs, plain([(t, not held[i]) for i, t in docs.items()], 3, 200.0)))
     rows = QUERIES["op2_lm_scoring"](spark, folder).collect()
     for r in rows:
         assert r.held_out == held[r.doc_id]
