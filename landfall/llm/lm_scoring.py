@@ -210,7 +210,7 @@ _OUT = [("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.i
 
 
 def score_texts(
-    docs: DataFrame, learn: Column, order: int = 3, strength: float = 200.0, block_bytes: int = 6 << 20, blocks_a_bucket: int = 3, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, learn: Column, order: int = 2, strength: float = 200.0, block_bytes: int = 6 << 20, blocks_a_bucket: int = 3, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """Learn from the documents where ``learn`` is true and score every whole text.
 
