@@ -62,7 +62,7 @@ def load_csv(
 
     Daily and monthly loads take the newest file below the input's folder whose name holds the input's stem; others
     take the input as it is. One plan scans, projects, stamps and appends. Older rows without a
-    stamp, also those that others have put in since the last load, are stamped first. A new table is partitioned by the day of the column that ``campo_particion`` names, if any.
+    stamp, also those that others have put in since the last load, are stamped first; footers tell the files that hold such rows, and of others no values are read. A new table is partitioned by the day of the column that ``campo_particion`` names, if any.
     """
     source, target = _source_and_target(params)
     if normal_period(params.get("periodicidad")) in ("daily", "monthly"):

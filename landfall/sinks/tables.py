@@ -192,20 +192,36 @@ def fitted(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 
 
 @contextmanager
-def _overwriting(spark: SparkSession, mode: str):
-    """Set what an overwrite replaces: the whole table or only the partitions written to."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _overwriting(spark: SparkSession, mode: str):
+    """Set what an overwrite replaces: the whole table or only the partitions written to."""
+    return _setting(spark, "spark.sql.sources.partitionOverwriteMode", mode)
+
+
+def counting_nulls(spark: SparkSession):
+    """Let files that are written keep bounds and null counts of timestamps in their footers.
+
+    The old form of timestamps has neither, so a look for rows without a stamp, or of a date, would read all values. By these a scan skips
+    what can't hold such rows.
+    """
+    return _setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
 
 def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append by column name."""
-    fitted(spark, df, table).write.mode("append").insertInto(quoted(table))
+    with counting_nulls(spark):
+        fitted(spark, df, table).write.mode("append").insertInto(quoted(table))
 
 
 def empty_table(spark: SparkSession, table: str) -> None:
@@ -275,7 +291,8 @@ def rewrite(
             return {"changed": False}
         old = location(spark, table)
         new = version_folder(old)
-        change(current).select(*current.columns).write.parquet(new)
+        with counting_nulls(spark):
+            change(current).select(*current.columns).write.parquet(new)
         point_to(spark, table, new)
         return {"changed": True, "previous": old}
     columns = [*(F.col(f"`{p}`") for p in parts), _partition_key(parts).alias("_key")]
@@ -289,7 +306,7 @@ def rewrite(
     filled = {row["_key"] for row in changed.select(columns[-1]).distinct().collect()}
     if filled:
         # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
-        with _overwriting(spark, "dynamic"):
+        with _overwriting(spark, "dynamic"), counting_nulls(spark):
             rows = changed.hint("rebalance", *parts) if regroup else changed
             rows.write.mode("overwrite").insertInto(quoted(table))
     for spec in specs:
@@ -345,9 +362,10 @@ def replace_day(spark: SparkSession, df: DataFrame, table: str, column: str, day
     if rows.where(mine).isEmpty():
         _empty_day(spark, table, parts, day)
     else:
-        with _overwriting(spark, "dynamic"):
+        with _overwriting(spark, "dynamic"), counting_nulls(spark):
             rows.where(mine).write.mode("overwrite").insertInto(quoted(table))
-    rows.where(~mine).write.mode("append").insertInto(quoted(table))
+    with counting_nulls(spark):
+        rows.where(~mine).write.mode("append").insertInto(quoted(table))
     return True
 
 

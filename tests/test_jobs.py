@@ -59,6 +59,30 @@ def test_load_csv_does_not_pass_over_an_empty_file(spark, schema, tmp_path):
     assert not spark.catalog.tableExists(f"{schema}.t")
 
 
+def rows_scanned(frame):
+    """How many rows the scan of a frame gives on, once it has run."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    return sum(plan.collectLeaves().apply(i).metrics().apply("numOutputRows").value() for i in range(plan.collectLeaves().size()))
+
+
+def test_a_stamped_table_is_not_looked_through(spark, schema, tmp_path):
+    # Files whose footers count no nulls are skipped, whatever form of timestamps the session is set to; one file with unstamped rows is read.
+    table, params = f"{schema}.zones", {"periodicidad": "esporadica", "campo_fecha": "stamped"}
+    for i in range(3):
+        write(tmp_path / f"{i}.csv", "id\n" + "".join(f"{i * 100 + j}\n" for j in range(50)))
+        P.load_csv(spark, {"input": str(tmp_path / f"{i}.csv"), "output": table, **params}, NOW)
+    unstamped = lambda: spark.table(table).where(F.col("stamped").isNull()).select("stamped")
+    assert spark.table(table).count() == 150 and spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+    assert "IsNull(stamped)" in unstamped()._jdf.queryExecution().executedPlan().toString()
+    assert rows_scanned(unstamped()) == 0
+    assert rows_scanned(spark.table(table).where(F.to_date("stamped") == "2023-01-01")) == 0
+    K.append_rows(spark, spark.createDataFrame([(str(i),) for i in range(7)], "id string").coalesce(1), table)
+    assert rows_scanned(unstamped()) == 7
+    P.load_csv(spark, {"input": str(tmp_path / "0.csv"), "output": table, **params}, NOW)
+    assert spark.table(table).count() == 207 and rows_scanned(unstamped()) == 0
+
+
 def test_load_csv_adds_the_stamp_to_an_older_table(spark, schema, tmp_path):
     write(tmp_path / "a.csv", "b;a\n1;x\n")
     spark.sql(f"CREATE TABLE {schema}.t (a STRING, c STRING, b STRING) USING parquet")
