@@ -14,7 +14,7 @@ from ..functions.dates import normal_period
 from ..functions.text import TRUE_WORDS
 from ..operators import newest_path, open_runs, purge, raw_schema, stamp_nulls, string_projection
 from ..sinks import (
-    add_table_column, append_rows, ensure_table, fitted, full_refresh, partition_columns, purge_table, replace_day, rewrite,
+    add_table_column, append_rows, ensure_table, fitted, full_refresh, replace_day, rewrite,
     write_parquet,
 )
 from ..sources import file_catalog, flatten_documents, read_csv, read_documents, read_parquet
@@ -119,25 +119,20 @@ def reload_date(
     """Purge the date and append its rows, so that a repeated load leaves the same table.
 
     A sporadic load, or one without a column or date, replaces the whole table, by what its definition makes if one is given. An unpartitioned table gets one new version
-    without the old rows and with the new ones; the day of a table partitioned by it is overwritten; any other partitioned one is purged and
-    then appended to. ``rows`` must not read the table.
+    without the old rows and with the new ones; a partitioned one gets all its partitions concerned replaced in one commit. ``rows`` must not read the table.
     """
     if sporadic or not date_column or not day:
         full_refresh(spark, table, ddl, rows)
         return
-    elif partition_columns(spark, table):
-        if replace_day(spark, rows, table, date_column, day):
-            return
-        purge_table(spark, table, date_column, day)
-    else:
-        fresh = fitted(spark, rows, table)
-        done = rewrite(
-            spark, table, on_date(date_column, day),
-            lambda df: purge(df, date_column, day).unionByName(fresh),
-        )
-        if done["changed"]:
-            return
-    append_rows(spark, rows, table)
+    if replace_day(spark, rows, table, date_column, day):
+        return
+    fresh = fitted(spark, rows, table)
+    done = rewrite(
+        spark, table, on_date(date_column, day),
+        lambda df: purge(df, date_column, day).unionByName(fresh),
+    )
+    if not done["changed"]:
+        append_rows(spark, rows, table)
 
 
 def load_documents(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import delete_folder, folder_is_empty
 from ..sources import qualified_path
 from .tables import (
-    NEW, OLD, REPLACES, VERSION, append_rows, empty_table, location, partition_columns, point_to, properties, quoted, renamed, settle, sibling, siblings, step,
+    INTENT, NEW, OLD, REPLACES, VERSION, append_rows, change_folders, empty_table, location, partition_columns, point_to, properties, quoted, renamed, settle, sibling, siblings, step,
     text, version_folder,
 )
 
@@ -74,7 +74,7 @@ def _same_shape(spark: SparkSession, a: str, b: str) -> bool:
     """Whether two tables are unpartitioned Parquet of the same columns and properties."""
     def shape(name: str):
         rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").where("col_name = 'Provider'").first()
-        props = {k: v for k, v in properties(spark, name).items() if k.startswith("landfall.") and k != REPLACES}
+        props = {k: v for k, v in properties(spark, name).items() if k.startswith("landfall.") and k not in (REPLACES, INTENT)}
         return spark.table(quoted(name)).schema, props, rows and rows["data_type"].lower()
 
     return not partition_columns(spark, a) and not partition_columns(spark, b) and shape(a) == shape(b) and shape(a)[2] == "parquet"
@@ -86,7 +86,7 @@ def _is_external(spark: SparkSession, table: str) -> bool:
 
 def _like(spark: SparkSession, new: str, table: str) -> str:
     """An empty table of the same columns, partitions and properties, in a folder for versions, which is returned."""
-    props = ", ".join(f"{text(k)}={text(v)}" for k, v in properties(spark, table).items() if k.startswith("landfall."))
+    props = ", ".join(f"{text(k)}={text(v)}" for k, v in properties(spark, table).items() if k.startswith("landfall.") and k != INTENT)
     place = version_folder(location(spark, table))
     spark.sql(f"CREATE TABLE {renamed(new)} LIKE {renamed(table)} USING parquet LOCATION {text(place)}" + (f" TBLPROPERTIES ({props})" if props else ""))
     return place
@@ -163,15 +163,18 @@ def full_refresh(spark: SparkSession, table: str, ddl: str | None = None, rows:
 
 
 def remove_leftovers(spark: SparkSession, table: str) -> int:
-    """Drop what refreshes that died have left beside a table; call it when none is under way. Returns how many names went."""
+    """Drop what refreshes and changes that died have left beside a table; call it when none is under way. Returns how many names and folders went."""
     settle(spark, table)
+    folders = change_folders(spark, table)
+    for folder in folders:
+        delete_folder(spark, folder)
     left = [*siblings(spark, table, NEW), *siblings(spark, table, OLD)]
     for name in left:
         place = location(spark, name) if _is_external(spark, name) else None
         spark.sql(f"DROP TABLE {quoted(name)}")
         if place and VERSION in place and qualified_path(spark, place).rstrip("/") != qualified_path(spark, location(spark, table)).rstrip("/"):
             delete_folder(spark, place)
-    return len(left)
+    return len(left) + len(folders)
 
 
 def replace_rows(spark: SparkSession, df: DataFrame, table: str) -> None:

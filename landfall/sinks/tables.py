@@ -1,14 +1,19 @@
 """Table sinks and row changes on catalogue tables of plain Parquet.
 
 Such tables have no DELETE or UPDATE. A change writes a new version of an unpartitioned table beside the old one and points the table to it,
-so a job that dies half-way leaves the table as it was. Of a partitioned table it replaces the partitions that hold the rows concerned in one
-overwrite, and then empties those of which nothing is left; a job that dies in between leaves some of them full, and running it
-again completes it.
+so a job that dies half-way leaves the table as it was.
+
+A change of a partitioned table is one commit, too, however many partitions it has. What the partitions concerned are to hold is written to a folder
+beside the table, with a list of these partitions. Then a property of the table names the folder: that is the commit. Only after it partitions are
+emptied and filled from the folder, which can be done over and over with the same end, and the property goes. A job that dies before the commit leaves the
+old state; after it the next writer goes through the list again, and readers of this library take those partitions from the folder meanwhile.
+A table has one writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -19,7 +24,7 @@ from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZTyp
 from ..functions import day_literal, on_date
 from ..operators.mutate import purge
 from ..operators.schema import enforce_required
-from ..session import remove_scratch, scratch_path
+from ..session import delete_folder, folder_is_empty
 
 _DAY_OF = "landfall.day_of."
 _REQUIRED = "landfall.required"
@@ -31,6 +36,9 @@ VERSION = "--v-"
 NEW, OLD = "__landfall_new_", "__landfall_old_"
 REPLACES = "landfall.replaces"
 
+# The property that names the folder of a change that is committed and not yet through, and the mark of such folders.
+INTENT, CHANGE = "landfall.intent", "--c-"
+
 
 def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
@@ -73,9 +81,19 @@ def step(spark: SparkSession, sql: str) -> None:
 
 
 def settle(spark: SparkSession, table: str) -> str | None:
-    """Finish or undo the swap of a table that a job died in, and say which. Writers do so before they look for the table.
+    """Finish or undo the swap or change of a table that a job died in, and say which. Writers do so before they look for the table.
+
+    A change of partitions that is committed is gone through again.
+    """
+    done = _settle_name(spark, table)
+    if spark.catalog.tableExists(quoted(table)) and (folder := properties(spark, table).get(INTENT)):
+        _go_through(spark, table, folder)
+        return "new"
+    return done
+
 
-    Between the two renames of a swap the table has no name. By then the new version is complete and marked, so it takes
+def _settle_name(spark: SparkSession, table: str) -> str | None:
+    """Between the two renames of a swap the table has no name. By then the new version is complete and marked, so it takes
     the name; without one the old version takes it back.
     """
     if spark.catalog.tableExists(quoted(table)):
@@ -147,8 +165,8 @@ def day_columns(spark: SparkSession, table: str) -> dict[str, str]:
 
 def table_on_date(spark: SparkSession, table: str, column: str, day: dt.date | str) -> DataFrame:
     """Rows of a date; a table partitioned by that column's day reads its partition and that of rows without a day."""
-    settle(spark, table)
-    rows = spark.table(quoted(table)).where(on_date(column, day))
+    _settle_name(spark, table)
+    rows = table_rows(spark, table).where(on_date(column, day))
     day_column = _day_column(spark, table, column)
     # An INSERT by SQL may have left the day out.
     return rows.where((F.col(day_column) == day_literal(day)) | F.col(day_column).isNull()) if day_column else rows
@@ -225,10 +243,14 @@ def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
 
 
 def empty_table(spark: SparkSession, table: str) -> None:
-    """Empty a table in place, partition by partition."""
-    nothing = spark.createDataFrame([], spark.table(quoted(table)).schema)
-    with _overwriting(spark, "static"):
-        nothing.write.mode("overwrite").insertInto(quoted(table))
+    """Empty a table in place, all partitions in one change."""
+    if not partition_columns(spark, table):
+        nothing = spark.createDataFrame([], spark.table(quoted(table)).schema)
+        with _overwriting(spark, "static"):
+            nothing.write.mode("overwrite").insertInto(quoted(table))
+        return
+    settle(spark, table)
+    _commit(spark, table, _change_folder(spark, table), [{}])
 
 
 def _partition_key(names: list[str]) -> Column:
@@ -259,14 +281,120 @@ def point_to(spark: SparkSession, table: str, folder: str) -> None:
     spark.catalog.refreshTable(quoted(table))
 
 
-def _empty_partition(spark: SparkSession, table: str, spec: dict[str, object]) -> None:
-    """Drop one partition with its files. An external table would keep the files if it were just dropped."""
+def _change_folder(spark: SparkSession, table: str) -> str:
+    return f"{location(spark, table).rstrip('/')}{CHANGE}{uuid.uuid4().hex}"
+
+
+def _stage(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("append").parquet(f"{folder}/rows")
+
+
+def _staged(spark: SparkSession, table: str, folder: str) -> DataFrame | None:
+    """What the partitions of a change are to hold."""
+    path = f"{folder}/rows"
+    return None if folder_is_empty(spark, path) else spark.read.schema(spark.table(quoted(table)).schema).parquet(path)
+
+
+def _partitions(rows: DataFrame, parts: list[str]) -> list[Row]:
+    """The partitions that rows lie in, by their values and a key of these."""
+    return rows.select(*(F.col(f"`{p}`") for p in parts), _partition_key(parts).alias("_key")).distinct().collect()
+
+
+def _commit(spark: SparkSession, table: str, folder: str, concerned: list[Row | dict[str, object]]) -> None:
+    """Let partitions hold just the staged rows, as one change. Those that have none, of the ones concerned, are emptied.
+
+    A dict of some of the partition columns, the first ones, stands for all partitions with these values.
+    """
+    parts = partition_columns(spark, table)
+    rows = _staged(spark, table, folder)
+    filled = [] if rows is None else _partitions(rows, parts)
+    keys = {row["_key"] for row in filled}
+    listed = [(row["_key"], None) for row in filled]
+    for spec in concerned:
+        values = spec.asDict() if isinstance(spec, Row) else spec
+        key = values.get("_key")
+        if key is None or key not in keys:
+            listed.append((key, json.dumps({p: None if values[p] is None else str(values[p]) for p in parts if p in values})))
+    spark.createDataFrame(listed, "key string, emptied string").coalesce(1).write.json(f"{folder}/partitions")
+    step(spark, f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ({text(INTENT)}={text(folder)})")
+    _go_through(spark, table, folder)
+
+
+def _concerned(spark: SparkSession, folder: str) -> list[Row]:
+    return spark.read.schema("key string, emptied string").json(f"{folder}/partitions").collect()
+
+
+def _go_through(spark: SparkSession, table: str, folder: str) -> None:
+    """Make a table what a committed change says. It reads only the folder of the change, so doing it again ends the same."""
+    for row in _concerned(spark, folder):
+        if row["emptied"] is not None:
+            _empty_partitions(spark, table, json.loads(row["emptied"]))
+    rows = _staged(spark, table, folder)
+    if rows is not None:
+        _fill(spark, table, rows)
+    step(spark, f"ALTER TABLE {quoted(table)} UNSET TBLPROPERTIES IF EXISTS ({text(INTENT)})")
+    delete_folder(spark, folder)
+
+
+def _fill(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Replace the partitions that rows lie in."""
+    with _overwriting(spark, "dynamic"), counting_nulls(spark):
+        rows.write.mode("overwrite").insertInto(quoted(table))
+
+
+def _empty_partitions(spark: SparkSession, table: str, spec: dict[str, str | None]) -> None:
+    """Drop all partitions with the given values, and their files, in one statement. An external table would keep the files of one that is just dropped.
+
+    Spark's overwrite can't name a null of every type, so of a partition with one the files go first and then the name.
+    """
+    if None in spec.values():
+        here = spark.table(quoted(table)).where(_with_values(spark, table, spec)).select("_metadata.file_path").limit(1).collect()
+        if here:
+            place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(here[0]["file_path"]))
+            delete_folder(spark, place.getParent().toString())
+        values = ", ".join(f"`{p}` = " + ("NULL" if v is None else text(v)) for p, v in spec.items())
+        step(spark, f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION ({values})")
+        return
     values = ", ".join(
-        f"`{name}` = " + ("NULL" if value is None else text(str(value))) for name, value in spec.items()
+        f"`{p}`" + ("" if p not in spec else " = NULL" if spec[p] is None else f" = {text(spec[p])}") for p in partition_columns(spark, table)
     )
     fields = [f for f in spark.table(quoted(table)).schema.fields if f.name not in spec]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
-    spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({values}) SELECT {nothing} WHERE false")
+    with _overwriting(spark, "static"):
+        step(spark, f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({values}) SELECT {nothing} WHERE false")
+
+
+def _with_values(spark: SparkSession, table: str, spec: dict[str, str | None]) -> Column:
+    """A predicate on the partitions that have the given values."""
+    kinds = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
+    found = F.lit(True)
+    for name, value in spec.items():
+        found &= F.col(f"`{name}`").isNull() if value is None else F.col(f"`{name}`").eqNullSafe(F.lit(value).cast(kinds[name]))
+    return found
+
+
+def table_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table. Partitions of a change that is committed and not yet through come from the folder of the change."""
+    rows = spark.table(quoted(table))
+    folder = properties(spark, table).get(INTENT)
+    if not folder:
+        return rows
+    concerned = _concerned(spark, folder)
+    keys = [row["key"] for row in concerned if row["key"] is not None]
+    if keys:
+        rows = rows.where(~_partition_key(partition_columns(spark, table)).isin(keys))
+    for row in concerned:
+        if row["key"] is None:
+            rows = rows.where(~_with_values(spark, table, json.loads(row["emptied"])))
+    staged = _staged(spark, table, folder)
+    return rows if staged is None else rows.unionByName(staged)
+
+
+def change_folders(spark: SparkSession, table: str) -> list[str]:
+    """Folders beside a table that changes have written, of jobs that died before their commit or after all was through."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{location(spark, table).rstrip('/')}{CHANGE}*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return sorted(status.getPath().toString() for status in found or ())
 
 
 def rewrite(
@@ -278,7 +406,7 @@ def rewrite(
 ) -> dict[str, object]:
     """Apply ``change`` to the data that holds rows fitting ``touched``.
 
-    Partitioned: only the partitions with such rows are read and replaced. Otherwise the whole table
+    Partitioned: only the partitions with such rows are read and replaced, all in one commit. Otherwise the whole table
     is written to a new folder and the table pointed to it; ``previous`` names the old folder, which is kept.
     A change that goes row by row leaves the rows of a partition together, so nothing is shuffled for the write;
     ``regroup`` brings them together again after one that joins or groups.
@@ -295,77 +423,79 @@ def rewrite(
             change(current).select(*current.columns).write.parquet(new)
         point_to(spark, table, new)
         return {"changed": True, "previous": old}
-    columns = [*(F.col(f"`{p}`") for p in parts), _partition_key(parts).alias("_key")]
-    specs = current.where(touched).select(*columns).distinct().collect()
+    specs = _partitions(current.where(touched), parts)
     if not specs:
         return {"changed": False}
-    # Written down, so that the change runs once though it is read twice.
-    written = scratch_path(spark, "rewrite")
-    change(current.where(_in_partitions(specs))).select(*current.columns).write.parquet(written)
-    changed = spark.read.schema(current.schema).parquet(written)
-    filled = {row["_key"] for row in changed.select(columns[-1]).distinct().collect()}
-    if filled:
-        # Spark stages the new files and swaps them in when the job commits, so it may read what it replaces.
-        with _overwriting(spark, "dynamic"), counting_nulls(spark):
-            rows = changed.hint("rebalance", *parts) if regroup else changed
-            rows.write.mode("overwrite").insertInto(quoted(table))
-    for spec in specs:
-        if spec["_key"] not in filled:
-            _empty_partition(spark, table, {name: spec[name] for name in parts})
-    remove_scratch(spark, written)
+    rows = change(current.where(_in_partitions(specs))).select(*current.columns)
+    folder = _change_folder(spark, table)
+    _stage(rows.hint("rebalance", *parts) if regroup else rows, folder)
+    _commit(spark, table, folder, specs)
     return {"changed": True, "partitions": len(specs)}
 
 
 def purge_table(spark: SparkSession, table: str, column: str, day: dt.date | str) -> dict[str, object]:
-    """Remove the rows of a date. Partitions of just that date go without reading their rows, all in one statement.
+    """Remove the rows of a date, in one commit. Partitions of just that date go without reading their rows, all in one statement.
 
     Rows that lie in the partition without a day, because an INSERT left it out, are looked at by their timestamp.
     """
     settle(spark, table)
     parts = partition_columns(spark, table)
-    derived = _day_column(spark, table, column)
-    day_column = derived or next((p for p in parts if p.lower() == column.lower()), column)
-    kinds = {f.name: f.dataType for f in spark.table(quoted(table)).schema.fields}
-    if parts and day_column == parts[0] and isinstance(kinds[day_column], DateType):
-        found = not spark.table(quoted(table)).where(F.col(day_column) == day_literal(day)).isEmpty()
-        if found:
-            _empty_day(spark, table, parts, day)
-        if derived:
-            stray = F.col(day_column).isNull() & on_date(column, day)
-            found = rewrite(spark, table, stray, lambda df: purge(df, column, day))["changed"] or found
-        return {"changed": found}
-    return rewrite(spark, table, on_date(column, day), lambda df: purge(df, column, day))
-
-
-def _empty_day(spark: SparkSession, table: str, parts: list[str], day: dt.date | str) -> None:
-    """Empty all partitions of a day, whatever the values of further partition columns."""
-    fields = [f for f in spark.table(quoted(table)).schema.fields if f.name != parts[0]]
-    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
-    spec = ", ".join([f"`{parts[0]}` = {text(str(day))}", *(f"`{p}`" for p in parts[1:])])
-    with _overwriting(spark, "static"):
-        spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({spec}) SELECT {nothing} WHERE false")
+    day_column = _leading_day(spark, table, column)
+    if not day_column:
+        return rewrite(spark, table, on_date(column, day), lambda df: purge(df, column, day))
+    current = spark.table(quoted(table))
+    concerned: list = [] if current.where(F.col(day_column) == day_literal(day)).isEmpty() else [{day_column: day}]
+    strays = _strays(current, parts, day_column, column, day)
+    if not concerned and not strays:
+        return {"changed": False}
+    folder = _change_folder(spark, table)
+    if strays:
+        _stage(purge(current.where(_in_partitions(strays)), column, day).select(*current.columns), folder)
+    _commit(spark, table, folder, concerned + strays)
+    return {"changed": True}
+
+
+def _leading_day(spark: SparkSession, table: str, column: str) -> str | None:
+    """The first partition column, if it holds the day of the given column."""
+    parts = partition_columns(spark, table)
+    named = _day_column(spark, table, column) or next((p for p in parts if p.lower() == column.lower()), None)
+    return named if named and parts[0] == named and isinstance(spark.table(quoted(table)).schema[named].dataType, DateType) else None
+
+
+def _strays(current: DataFrame, parts: list[str], day_column: str, column: str, day: dt.date | str) -> list[Row]:
+    """Partitions without a day that hold rows of a date."""
+    if day_column.lower() == column.lower():
+        return []
+    return _partitions(current.where(F.col(day_column).isNull() & on_date(column, day)), parts)
 
 
 def replace_day(spark: SparkSession, df: DataFrame, table: str, column: str, day: dt.date | str) -> bool:
-    """Put the rows of a date in the place of the table's, in one overwrite; False if the table isn't partitioned by just that day.
+    """Put the rows of a frame in the place of a date's rows, in one commit; False if the table isn't partitioned.
 
-    Rows of the frame that are of other dates are appended.
+    Rows of the frame that are of other dates are added to theirs. The frame runs once and must not read the table.
     """
+    settle(spark, table)
     parts = partition_columns(spark, table)
-    day_column = _day_column(spark, table, column)
-    if not day_column or parts != [day_column]:
+    if not parts:
         return False
-    rows = fitted(spark, df, table)
-    mine = F.coalesce(F.col(day_column) == day_literal(day), F.lit(False))
-    stray = F.col(day_column).isNull() & on_date(column, day)
-    rewrite(spark, table, stray, lambda old: purge(old, column, day))
-    if rows.where(mine).isEmpty():
-        _empty_day(spark, table, parts, day)
+    folder = _change_folder(spark, table)
+    _stage(fitted(spark, df, table), folder)
+    current = spark.table(quoted(table))
+    day_column = _leading_day(spark, table, column)
+    concerned: list = []
+    kept = current
+    if day_column:
+        whole = parts == [day_column]
+        concerned = _partitions(current.where(F.col(day_column) == day_literal(day)).limit(1), parts) if whole else [{day_column: day}]
+        old = _strays(current, parts, day_column, column, day)
+        kept = current.where(F.coalesce(F.col(day_column) != day_literal(day), F.lit(True)))
     else:
-        with _overwriting(spark, "dynamic"), counting_nulls(spark):
-            rows.where(mine).write.mode("overwrite").insertInto(quoted(table))
-    with counting_nulls(spark):
-        rows.where(~mine).write.mode("append").insertInto(quoted(table))
+        old = _partitions(current.where(on_date(column, day)), parts)
+    fresh = _partitions(_staged(spark, table, folder), parts)
+    mixed = list({row["_key"]: row for row in old + fresh}.values())
+    if mixed:
+        _stage(purge(kept.where(_in_partitions(mixed)), column, day).select(*current.columns), folder)
+    _commit(spark, table, folder, concerned + old)
     return True
 
 

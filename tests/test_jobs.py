@@ -738,3 +738,97 @@ def test_replaced_rows_may_read_the_table(spark, schema, by):
     P.reload_date(spark, table, spark.table(table).select("id", "ts").unionByName(frame.where("id = 1")), None, None)
     assert rows_of(spark.table(table).select("id")) == [(1,), (2,)]
     assert K.day_columns(spark, table) == ({"ts": "ts_day"} if by else {})
+
+
+_DAYS = [dt.datetime(2024, 1, d, h) for d in (1, 2, 3) for h in (0, 9)]
+
+
+def _by_day(spark, table):
+    """Two rows on each of three days, one of them in the partition without a day, and two values of a second column."""
+    frame = spark.createDataFrame([(i, t, "xy"[i % 2]) for i, t in enumerate(_DAYS)], "id int, ts timestamp_ntz, kind string")
+    K.ensure_table(spark, table, frame.schema, "ts")
+    K.append_rows(spark, frame, table)
+    spark.sql(f"INSERT INTO {table} (id, ts, kind, ts_day) VALUES (6, TIMESTAMP_NTZ'2024-01-02 05:00:00', 'x', NULL), (7, TIMESTAMP_NTZ'2024-01-03 05:00:00', 'y', NULL)")
+
+
+def _ids(rows):
+    return sorted(r["id"] for r in rows.select("id").collect())
+
+
+_CHANGES = {
+    "purge of a date": (lambda spark, t: K.purge_table(spark, t, "ts", "2024-01-02"), [0, 1, 4, 5, 7]),
+    "purge that empties some": (lambda spark, t: K.rewrite(spark, t, F.col("id").isin(2, 3, 4), lambda df: df.where(~F.col("id").isin(2, 3, 4))), [0, 1, 5, 6, 7]),
+    "reload with other dates": (lambda spark, t: P.reload_date(spark, t, spark.createDataFrame(
+        [(12, _DAYS[2], "n"), (10, _DAYS[0], "n"), (19, dt.datetime(2024, 2, 1), "n"), (20, None, "n")], "id int, ts timestamp_ntz, kind string"), "ts", "2024-01-02"), [0, 1, 4, 5, 7, 10, 12, 19, 20]),
+    "reload without rows": (lambda spark, t: P.reload_date(spark, t, spark.createDataFrame([], "id int, ts timestamp_ntz, kind string"), "ts", "2024-01-02"), [0, 1, 4, 5, 7]),
+    "emptying": (lambda spark, t: K.empty_table(spark, t), []),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(_CHANGES))
+def test_changes_of_partitions_killed_anywhere_leave_old_or_new(spark, schema, monkeypatch, kind):
+    from landfall.sinks import tables as T
+
+    change, new = _CHANGES[kind]
+    fill = T._fill
+
+    def half(spark, table, rows):
+        """Some of the partitions are in place when the job dies."""
+        one = T._partitions(rows, T.partition_columns(spark, table))[:1]
+        if one:
+            fill(spark, table, rows.where(T._in_partitions(one)))
+        raise Killed("killed")
+
+    n, ended = 0, False
+    while not ended:
+        table = f"{schema}.t{n}"
+        _by_day(spark, table)
+        with monkeypatch.context() as patch:
+            done = _killed_at(patch, n, Killed) if n else []
+            if not n:
+                patch.setattr(T, "_fill", half)
+            try:
+                change(spark, table)
+                ended = n > 0
+            except Killed:
+                pass
+        committed = "landfall.intent" in K.properties(spark, table)
+        seen = _ids(K.table_rows(spark, table))
+        assert seen == (new if committed or ended or n == 0 and kind == "emptying" else list(range(8))), n
+        K.append_rows(spark, spark.createDataFrame([(99,)], "id int"), table)
+        assert _ids(spark.table(table)) == sorted([*seen, 99])
+        K.remove_leftovers(spark, table)
+        assert K.properties(spark, table).get("landfall.intent") is None and T.change_folders(spark, table) == []
+        assert _ids(spark.table(table)) == sorted([*seen, 99])
+        assert ended or n == 0 or len(done) == n
+        n += 1
+    assert n >= 4
+
+
+@pytest.mark.parametrize("by", ["kind", "ts_day, kind", "kind, n"])
+def test_reload_of_other_partitions(spark, schema, by):
+    """A date over several partitions, of which some are left without rows, some get new ones, some have no value."""
+    table = f"{schema}.t"
+    spark.sql(f"CREATE TABLE {table} (id INT, ts_day DATE, kind STRING, n INT) USING parquet PARTITIONED BY ({by})")
+    spark.sql(f"INSERT INTO {table} (id, ts_day, kind, n) VALUES (1, DATE'2024-01-01', 'a', 1), (2, DATE'2024-01-01', 'it''s', 2), (3, DATE'2024-01-02', 'a', NULL), (4, DATE'2024-01-02', NULL, 2), (5, NULL, 'a', 1)")
+    fresh = spark.sql("SELECT 6 AS id, DATE'2024-01-02' AS ts_day, 'new' AS kind, 5 AS n UNION ALL SELECT 7, DATE'2024-01-01', 'a', 1")
+    P.reload_date(spark, table, fresh, "ts_day", "2024-01-02")
+    assert _ids(spark.table(table)) == [1, 2, 5, 6, 7]
+    P.reload_date(spark, table, fresh.where("id = 6"), "ts_day", dt.date(2024, 1, 1))
+    assert _ids(spark.table(table)) == [5, 6, 6]
+    assert _ids(K.table_on_date(spark, table, "ts_day", "2024-01-02")) == [6, 6]
+
+
+def test_a_frame_is_read_once_by_a_reload(spark, schema):
+    table = f"{schema}.t"
+    _by_day(spark, table)
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frame = spark.createDataFrame([(12, _DAYS[2], "n"), (10, _DAYS[0], "n")], "id int, ts timestamp_ntz, kind string")
+    P.reload_date(spark, table, frame.mapInArrow(noted, frame.schema), "ts", "2024-01-02")
+    assert seen.value == 2 and _ids(spark.table(table)) == [0, 1, 4, 5, 7, 10, 12]
