@@ -5,20 +5,23 @@ place of their smallest ``gram`` (the *anchor*, chosen by hash among the grams o
 
 1. Each run of string starts with one anchor is a *segment*. Anchors that occur once in the corpus are dropped by a hash aggregation.
 2. Equal segments, by two independent 64-bit hashes of which one covers the whole segment, collapse to one; a segment that occurs twice is
-   covered whole.
+   covered whole. The bytes of all its places are compared by an aggregation: where the smallest isn't the largest, the hash has misled, and the
+   segments of that name get names by another hash.
 3. What is left are segments at the ends of repeats. Those of one anchor meet, are sorted by the suffix after the anchor in a mergesort
    whose comparisons find the common extension by binary search over prefix polynomial hashes, and neighbours are compared byte by byte. In
    that order, strings are equal where the extensions to the right reach far enough and the bytes left of the anchor agree.
 4. An anchor with more than ``group_limit`` different segments (6 MB of them) is not gathered: its strings are counted one by one in a hash
-   aggregation.
+   aggregation, first by a hash and then, those that seem to repeat, by their bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +118,7 @@ def _segments(data: np.ndarray, ends: np.ndarray, length: int, width: int) -> It
         yield flush()
 
 
-def _anchors(length: int, width: int, combined: bool):
+def _anchors(length: int, width: int, combined: bool, bits: int = 64):
     """combined: only the anchors of each batch with their counts; otherwise every segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,35 +130,48 @@ def _anchors(length: int, width: int, combined: bool):
                     value, count = np.unique(h, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count.astype(np.int64))], ["h", "n"])
                 else:
+                    g = g if bits == 64 else g & ((1 << bits) - 1)
                     yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), k.take(pa.array(row)), c.take(pa.array(row)), pa.array(start * 65536 + n * 256 + off)], ["h", "g", "k", "c", "p"])
 
     return run
 
 
+def _places(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, pa.StructArray, np.ndarray, list[bytes]]]:
+    """Row, entry of the row's list, bytes from the start of the segment to its anchor, and the segment, some megabytes at a time."""
+    data, ends = in_bytes(batch.column("text"))
+    lists = batch.column("segs")
+    row, entries = pa.compute.list_parent_indices(lists).to_numpy(), lists.flatten()
+    p = entries.field("p").to_numpy()
+    begin, size = ends[row] + (p >> 16), (p >> 8 & 255) - 1 + length
+    step = max(1, (1 << 22) // (length + 256))
+    for i in range(0, len(p), step):
+        part = slice(i, i + step)
+        yield row[part], entries.slice(i, step), p[part] & 255, [data[a : a + n].tobytes() for a, n in zip(begin[part].tolist(), size[part].tolist())]
+
+
 def _fetch(length: int):
     """The bytes of the segments that a document's list names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column("text"), batch.column("segs")
-            out: list[dict] = []
-            held = 0
-            for i in range(len(batch)):
-                text = texts[i].as_py().encode()
-                for s in lists[i].as_py():
-                    start, n, off = s["p"] >> 16, s["p"] >> 8 & 255, s["p"] & 255
-                    out.append({"h": s["h"], "g": s["g"], "n": s["n"], "n_g": s["n_g"], "off": off, "seg": text[start : start + n - 1 + length]})
-                    held += n + length
-                if held > 1 << 22:
-                    yield pa.RecordBatch.from_pylist(out, _FETCHED)
-                    out, held = [], 0
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _FETCHED)
+            for _, entries, off, segs in _places(batch, length):
+                named = [entries.field(x) for x in ("h", "g", "n", "n_g")]
+                yield pa.RecordBatch.from_arrays([*named, pa.array(off.astype(np.int32)), pa.array(segs, pa.binary())], ["h", "g", "n", "n_g", "off", "seg"])
 
     return run
 
 
-_FETCHED = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("n", pa.int64()), ("n_g", pa.int64()), ("off", pa.int32()), ("seg", pa.binary())])
+def _rename(length: int, salt: int):
+    """The places of a document's list with other names, by another hash of their bytes in each round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, entries, _, segs in _places(batch, length):
+                names = [int.from_bytes(hashlib.blake2b(s, digest_size=8, salt=salt.to_bytes(8)).digest(), signed=True) for s in segs]
+                keys = [batch.column(x).take(pa.array(row)) for x in ("k", "c")]
+                yield pa.RecordBatch.from_arrays([entries.field("h"), pa.array(names, pa.int64()), *keys, entries.field("p")], ["h", "g", "k", "c", "p"])
+
+    return run
 
 
 def suffix_order(hashes: PrefixHashes, data: np.ndarray, group: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -275,14 +291,14 @@ def _solve(length: int, rows: int):
     return run
 
 
-def _strings(length: int):
-    """A row for each string of a segment, named by a 128-bit hash."""
+def _strings(length: int, bits: int):
+    """A row for each string of a segment, named by a hash of twice as many bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, len(batch), 256):
                 rows = batch.slice(part, 256).to_pylist()
-                out = [(r["h"], r["g"], i, xxhash.xxh3_128_digest(r["seg"][i : i + length])) for r in rows for i in range(len(r["seg"]) - length + 1)]
+                out = [(r["h"], r["g"], i, xxhash.xxh3_128_digest(r["seg"][i : i + length])[: max(1, bits // 4)]) for r in rows for i in range(len(r["seg"]) - length + 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["h", "g", "i", "w"])
 
@@ -323,7 +339,7 @@ def _cut(length: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_limit: int = 16384, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_limit: int = 16384, text: str = "text", doc_id: str = "doc_id", hash_bits: int = 64) -> DataFrame:
     """Cut every byte covered by a ``length``-byte string that also starts at another place of the corpus.
 
     Returns one row per document: doc_id, n_bytes, ``spans`` (maximal removed runs of bytes, end exclusive) and ``kept`` (the remaining
@@ -331,7 +347,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
     documents. Null texts count as empty, texts shorter than ``length`` are kept whole, equal texts of at least that length go whole. A null
     doc_id and repeated rows are kept, each row with its own result. Other columns are not looked at. An empty table gives no rows.
 
-    ``width`` is how many grams compete for being the anchor, at most 255: fewer make more anchors, more make longer segments.
+    ``width`` is how many grams compete for being the anchor, at most 255: fewer make more anchors, more make longer segments. All that is
+    removed is compared by bytes, so ``hash_bits``, how many bits of a hash are kept, changes the work and not the result.
     """
     if not 1 <= width < min(256, length):
         raise ValueError("width must be from 1 to the smaller of 255 and length - 1")
@@ -339,19 +356,34 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
     plain = rows.select("k", "c", "text").where(F.octet_length("text") >= length)
     counts = plain.mapInArrow(_anchors(length, width, True), "h long, n long")
     repeated = staged(counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "anchors")
-    every = plain.mapInArrow(_anchors(length, width, False), "h long, g long, k long, c binary, p long")
+    every = plain.mapInArrow(_anchors(length, width, False, hash_bits), "h long, g long, k long, c binary, p long")
     found = staged(every.join(repeated, "h"), "segments")
 
-    kinds = staged(found.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(F.struct("k", "c", "p")).alias("one")), "kinds")
-    mixed_ = staged(kinds.groupBy("h").agg(F.count("*").alias("n_g"), F.min("n").alias("least")).where("least = 1").select("h", "n_g"), "mixed")
-    named = kinds.join(mixed_, "h").groupBy("one.k", "one.c").agg(F.collect_list(F.struct("h", "g", "n", "n_g", F.col("one.p").alias("p"))).alias("segs"))
-    fetched = rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary")
-    ends = staged(fetched.dropDuplicates(["h", "g"]), "ends")  # repeated rows give the same segments
+    salt = 0
+    while True:
+        kinds = staged(found.groupBy("h", "g").agg(F.count("*").alias("n")), "kinds")
+        mixed_ = kinds.groupBy("h").agg(F.count("*").alias("n_g"), F.min("n").alias("least")).where("least = 1").select("h", "n_g")
+        wanted = kinds.join(staged(mixed_, "mixed"), "h", "left").where("n > 1 OR n_g IS NOT NULL")
+        # Repeated rows give the same segments.
+        named = found.join(wanted, ["h", "g"]).groupBy("k", "c").agg(F.collect_set(F.struct("h", "g", "n", "n_g", "p")).alias("segs"))
+        fetched = rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary")
+        same = [F.max(x).alias(x) for x in ("n", "n_g", "off")]
+        ends = staged(fetched.groupBy("h", "g").agg(*same, F.min("seg").alias("seg"), F.max("seg").alias("last")), "ends")
+        misled = ends.where("seg != last").select("h", "g")
+        if misled.isEmpty():
+            break
+        salt += 1
+        places = found.join(misled, ["h", "g"]).groupBy("k", "c").agg(F.collect_list(F.struct("h", "p")).alias("segs"))
+        texts = rows.select("k", "c", "text").dropDuplicates(["k", "c"])
+        other = texts.join(places, ["k", "c"]).mapInArrow(_rename(length, salt), "h long, g long, k long, c binary, p long")
+        found = staged(found.join(misled, ["h", "g"], "left_anti").select("h", "g", "k", "c", "p").unionByName(other), "segments")
 
     few = ends.where(F.col("n_g") <= group_limit).repartition("h").sortWithinPartitions("h").mapInArrow(_solve(length, 2000), "h long, g long, at array<int>")
-    strings = staged(ends.where(F.col("n_g") > group_limit).mapInArrow(_strings(length), "h long, g long, i int, w binary"), "strings")
-    twice = staged(strings.groupBy("w").count().where("count > 1").select("w"), "twice")
-    many = strings.join(twice, "w").groupBy("h", "g").agg(F.collect_list("i").alias("at"))
+    strings = staged(ends.where(F.col("n_g") > group_limit).mapInArrow(_strings(length, hash_bits), "h long, g long, i int, w binary"), "strings")
+    alike = strings.join(strings.groupBy("w").count().where("count > 1").select("w"), "w")
+    seen = staged(alike.join(ends.select("h", "g", "seg"), ["h", "g"]).select("h", "g", "i", F.expr(f"substring(seg, i + 1, {length})").alias("s")), "alike")
+    twice = seen.groupBy("s").count().where("count > 1").select("s")
+    many = seen.join(twice, "s").groupBy("h", "g").agg(F.collect_list("i").alias("at"))
     some = many.join(kinds.where("n = 1").select("h", "g"), ["h", "g"], "left_semi")
     whole = kinds.where("n > 1").select("h", "g", F.lit(None).cast("array<int>").alias("at"))
     answers = staged(whole.unionByName(few).unionByName(some), "answers")

@@ -47,6 +47,17 @@ def test_brute_force(spark, seed, length, width, limit):
     assert result == [(i, *row) for i, row in enumerate(brute(texts, length))]
 
 
+@pytest.mark.parametrize(("limit", "bits"), [(2000, 1), (2, 3), (1, 8)])
+def test_misled_hashes_of_segments_and_strings(spark, limit, bits):
+    """Names of a few bits are shared by many different segments and strings; the bytes decide in spite of them."""
+    texts = corpus(6)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    docs = docs.unionByName(docs.where("doc_id = 3"))
+    want = [(i, *row) for i, row in enumerate(brute([*texts, texts[3]], 30))]
+    want[-1] = (3, *want[-1][1:])
+    assert sorted(found(remove_repeats(docs, 30, 20, limit, hash_bits=bits))) == sorted(want)
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "the same words in each of these rows, " * 2
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (1, "other"), (None, None)], "doc_id long, text string")
