@@ -5,7 +5,7 @@ place of their smallest ``gram`` (the *anchor*, chosen by hash among the grams o
 
 1. Each run of string starts with one anchor is a *segment*. Anchors that occur once in the corpus are dropped by a hash aggregation.
 2. Equal segments, by two independent 64-bit hashes of which one covers the whole segment, collapse to one; a segment that occurs twice is
-   covered whole. The bytes of all its places are compared by an aggregation: where the smallest isn't the largest, the hash has misled, and the
+   covered whole. The bytes of all its places meet in an aggregation into a set: where that has several elements, the hash has misled, and the
    segments of that name get names by another hash.
 3. What is left are segments at the ends of repeats. Those of one anchor meet, are sorted by the suffix after the anchor in a mergesort
    whose comparisons find the common extension by binary search over prefix polynomial hashes, and neighbours are compared byte by byte. In
@@ -368,8 +368,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, width: int = 161, group_l
         named = found.join(wanted, ["h", "g"]).groupBy("k", "c").agg(F.collect_set(F.struct("h", "g", "n", "n_g", "p")).alias("segs"))
         fetched = rows.select("k", "c", "text").join(named, ["k", "c"]).select("text", "segs").mapInArrow(_fetch(length), "h long, g long, n long, n_g long, off int, seg binary")
         same = [F.max(x).alias(x) for x in ("n", "n_g", "off")]
-        ends = staged(fetched.groupBy("h", "g").agg(*same, F.min("seg").alias("seg"), F.max("seg").alias("last")), "ends")
-        misled = ends.where("seg != last").select("h", "g")
+        alike = fetched.groupBy("h", "g").agg(*same, F.collect_set("seg").alias("segs"))  # of one element, unless the hash misled
+        ends = staged(alike.select("h", "g", "n", "n_g", "off", F.expr("if(n_g IS NULL, NULL, segs[0])").alias("seg"), F.expr("size(segs) > 1").alias("misled")), "ends")
+        misled = ends.where("misled").select("h", "g")
         if misled.isEmpty():
             break
         salt += 1
