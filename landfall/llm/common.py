@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import on_workers, scratch_path  # noqa: F401
 
 #: Six ASCII blanks: fixed values of the contracts.
 BLANKS = " \t\n\x0b\f\r"
@@ -19,18 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
 
 
-def on_workers(spark: SparkSession) -> None:
-    """Let Python workers of this machine find the package where it is not installed but only on the driver's path.
-
-    On a cluster it has to be installed on the executors, or sent there by ``addPyFile``.
-    """
-    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if home not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
-
-
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

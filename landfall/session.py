@@ -32,6 +32,18 @@ def build_session(name: str = "landfall", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers of this machine find the package where it is not installed but only on the driver's path.
+
+    On a cluster it has to be installed on the executors, or sent there by ``addPyFile``.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

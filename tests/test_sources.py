@@ -261,3 +261,23 @@ def test_csv_of_several_files_with_and_without_returns(spark, tmp_path):
         assert got[0] == (["id0", "id1", "_c2"], [(1, "p\r\nq", None), (2, "r", "s"), (3, "p\nq", None)])
     finally:
         _split_at(spark, before)
+
+
+def test_csv_records_are_cut_without_a_shuffle_of_the_text(spark, tmp_path):
+    rows = [(i, f"a\nb{i}", "t") for i in range(300)]
+    path = write(tmp_path / "a.csv", _quoted_text(rows))
+    before, limit = (spark.conf.get(f"spark.sql.{name}") for name in ("files.maxPartitionBytes", "autoBroadcastJoinThreshold"))
+    try:
+        _split_at(spark, 2000)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        frame = S.read_csv(spark, path)
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "Window" not in text and "BroadcastHashJoin" in text
+        assert sorted(map(tuple, frame.collect())) == rows
+        splits = S.quoted_splits(spark, path)
+        assert S.quoted_records(spark, path, splits).where("lead").count() == splits.count()
+        with pytest.raises(Exception, match="split at other places"):
+            S.quoted_records(spark, path, splits.where("block = 0")).collect()
+    finally:
+        _split_at(spark, before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
