@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from ..functions import field_list, load_stamp, name_match, on_date
+from ..functions import base_name, field_list, load_stamp, name_match, on_date
 from ..functions.dates import normal_period
 from ..functions.text import TRUE_WORDS
 from ..operators import newest_path, open_runs, purge, raw_schema, stamp_nulls, string_projection
@@ -17,7 +18,7 @@ from ..sinks import (
     add_table_column, append_rows, ensure_table, fitted, full_refresh, replace_day, rewrite,
     write_parquet,
 )
-from ..sources import file_catalog, flatten_documents, read_csv, read_documents, read_parquet
+from ..sources import file_catalog, flatten_documents, qualified_path, read_csv, read_documents, read_parquet
 
 
 #: The entry that names the date or timestamp column by whose day a new raw table is partitioned.
@@ -31,9 +32,22 @@ _BODY = "_landfall_body"
 def newest_file(
     spark: SparkSession, folder: str, contains: str = "", suffix: str = "", base_only: bool = False
 ) -> str:
-    """Newest file below a folder whose name fits; the smallest path when times are equal."""
+    """Newest file below a folder whose name fits; the smallest path when times are equal.
+
+    With ``base_only`` the name is the last part of the path, and a folder of part files that Spark wrote under a name that fits is a file,
+    too, as new as its newest part.
+    """
     files = file_catalog(spark, folder)
-    return newest_path(files.where(name_match("path", suffix=suffix, contains=contains, base_only=base_only)))
+    fits = name_match("path", suffix=suffix, contains=contains, base_only=base_only)
+    if not base_only:
+        return newest_path(files.where(fits))
+    below = re.escape(qualified_path(spark, folder).rstrip("/"))
+    named = rf"(?=[^/]*{re.escape(contains)})[^/]*{re.escape(suffix)}"
+    written = F.nullif(F.regexp_extract("path", rf"(?s)\A({below}/(?:.*/)?{named})/", 1), F.lit(""))
+    part = base_name("path").startswith("part-") & F.col("path").endswith(suffix)
+    landed = F.when(part & written.isNotNull(), written).when(fits, F.col("path"))
+    files = files.select(landed.alias("path"), "modified").where("path IS NOT NULL")
+    return newest_path(files.groupBy("path").agg(F.max("modified").alias("modified")))
 
 
 def _source_and_target(params: Mapping[str, str]) -> tuple[str, str]:
@@ -60,7 +74,7 @@ def load_csv(
 ) -> dict[str, object]:
     """Load a CSV file into a raw table: text but for dates and timestamps, with a load stamp.
 
-    Daily and monthly loads take the newest file below the input's folder whose name holds the input's stem; others
+    Daily and monthly loads take the newest file (or folder of part files) below the input's folder whose name holds the input's stem; others
     take the input as it is. One plan scans, projects, stamps and appends. Older rows without a
     stamp, also those that others have put in since the last load, are stamped first; footers tell the files that hold such rows, and of others no values are read. A new table is partitioned by the day of the column that ``campo_particion`` names, if any.
     """
@@ -91,9 +105,9 @@ def _with_stamp(schema: StructType, column: str) -> StructType:
 
 
 def load_parquet(spark: SparkSession, params: Mapping[str, str], now: dt.datetime) -> dict[str, object]:
-    """Append a Parquet file to a raw table.
+    """Append a Parquet file, or the part files of a folder of that name, to a raw table.
 
-    Monthly loads take the newest file whose name holds the input's stem, others the name dated today.
+    Monthly loads take the newest one whose name holds the input's stem, others the name dated today.
     """
     source, target = _source_and_target(params)
     folder, stem, extension = _folder_and_stem(source)

@@ -117,5 +117,8 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 
 
 def set_modified(spark: SparkSession, path: str, moment: dt.datetime) -> None:
+    """Set the time of a file, or of all files below a folder."""
     system, place = _system(spark, path)
-    system.setTimes(place, int(moment.timestamp() * 1000), -1)
+    files = system.listFiles(place, True)
+    while files.hasNext():
+        system.setTimes(files.next().getPath(), int(moment.timestamp() * 1000), -1)

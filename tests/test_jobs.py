@@ -832,3 +832,35 @@ def test_a_frame_is_read_once_by_a_reload(spark, schema):
     frame = spark.createDataFrame([(12, _DAYS[2], "n"), (10, _DAYS[0], "n")], "id int, ts timestamp_ntz, kind string")
     P.reload_date(spark, table, frame.mapInArrow(noted, frame.schema), "ts", "2024-01-02")
     assert seen.value == 2 and _ids(spark.table(table)) == [0, 1, 4, 5, 7, 10, 12]
+
+
+def test_load_takes_a_folder_of_part_files_for_a_landed_file(spark, schema, tmp_path):
+    rows = spark.range(100).select("id", F.col("id").cast("string").alias("v")).repartition(4)
+    for name, days in (("a/items_1.parquet", 0), ("b/items_2.parquet", 1), ("c/other.parquet", 2), ("c/items_3.csv", 2)):
+        part = rows if "2" in name else rows.where("id < 3")
+        path = f"{tmp_path}/in.parquet/items/{name}"
+        part.write.option("header", True).format(name[-3:] if name.endswith("csv") else "parquet").save(path)
+        K.set_modified(spark, path, NOW + dt.timedelta(days=days))
+    params = {"input": f"{tmp_path}/in.parquet/items/items.parquet", "output": f"{schema}.items", "periodicidad": "mensual"}
+    done = P.load_parquet(spark, params, NOW)
+    assert done["file"].endswith("b/items_2.parquet")
+    assert sorted(r["id"] for r in spark.table(params["output"]).collect()) == list(range(100))
+    # A newer file by itself, also below a folder of such a name, is taken as before.
+    write(tmp_path / "in.parquet" / "items" / "a" / "items_0.csv" / "items_9.csv", "id,v\n7,x\n", NOW.timestamp() + 10 * 86400)
+    params = {"input": f"{tmp_path}/in.parquet/items/items.csv", "output": f"{schema}.texts", "periodicidad": "mensual"}
+    assert P.load_csv(spark, params, NOW)["file"].endswith("items_0.csv/items_9.csv")
+    with pytest.raises(FileNotFoundError):
+        P.load_parquet(spark, {"input": f"{tmp_path}/in.parquet/items/none.parquet", "output": f"{schema}.none", "periodicidad": "mensual"}, NOW)
+
+
+def test_newest_landed_files_are_written_by_many_tasks(spark, tmp_path):
+    from landfall.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(4000).select(*(F.col("id").alias(c) for c in ("l_orderkey", "l_linenumber"))).repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+    try:
+        loaded = QUERIES["load_newest_parquet"](spark, str(tmp_path))
+        assert loaded.count() == 4000 and len(loaded.inputFiles()) > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
