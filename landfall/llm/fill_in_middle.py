@@ -39,12 +39,9 @@ def lines(texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
     return units.filter(real), parent.filter(real), place.filter(real), pc.subtract(sizes, empty)
 
 
-def _rebuilt(units: pa.Array, parent: pa.Array, role: pa.Array, n: int) -> pa.Array:
-    """For each of ``n`` texts its units that have the role, joined."""
-    mine = parent.filter(role)
-    counts = pa.table({"t": pa.concat_arrays([mine, pa.array(range(n), pa.int64())])}).group_by("t").aggregate([("t", "count")]).sort_by("t")
-    ends = pc.cumulative_sum(pc.subtract(counts["t_count"].combine_chunks(), 1))
-    offsets = pa.concat_arrays([pa.array([0], pa.int64()), ends.cast(pa.int64())]).cast(pa.int32())
+def _rebuilt(units: pa.Array, role: pa.Array, counts: pa.Array) -> pa.Array:
+    """For each text its units that have the role, of which it has so many, joined. All on the calling thread: grouping a table would go through Arrow's pool."""
+    offsets = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(counts)]).cast(pa.int32())
     return pc.binary_join(pa.ListArray.from_arrays(offsets, units.filter(role)), pa.scalar("", _TEXT))
 
 
@@ -57,10 +54,10 @@ def transformed(texts: pa.Array, h: list[pa.Array], percent: int, spm_percent: i
     units, parent, place, n = lines(texts)
     modulo = lambda a, b: pc.subtract(a, pc.multiply(pc.divide(a, b), b))
     cuts = [modulo(x, pc.add(n, 1)) for x in h[:2]]
-    low, high = (f(*cuts).take(parent) for f in (pc.min_element_wise, pc.max_element_wise))
-    after_low, after_high = pc.greater_equal(place, low), pc.greater_equal(place, high)
+    low, high = pc.min_element_wise(*cuts), pc.max_element_wise(*cuts)
+    after_low, after_high = (pc.greater_equal(place, cut.take(parent)) for cut in (low, high))
     roles = [pc.invert(after_low), pc.and_(after_low, pc.invert(after_high)), after_high]
-    prefix, middle, suffix = (_rebuilt(units, parent, role, len(texts)) for role in roles)
+    prefix, middle, suffix = (_rebuilt(units, *x) for x in zip(roles, (low, pc.subtract(high, low), pc.subtract(n, high)), strict=True))
     marked = pc.equal(pc.binary_length(texts), 0)
     for mark in (PREFIX, SUFFIX, MIDDLE):
         marked = pc.or_(marked, pc.match_substring(texts, mark))
@@ -75,31 +72,6 @@ def transformed(texts: pa.Array, h: list[pa.Array], percent: int, spm_percent: i
     }
 
 
-def restored(outputs: pa.Array, forms: pa.Array) -> pa.Array:
-    """The texts that outputs were made of, from the outputs and their forms alone.
-
-    A text with a mark in it stays plain, and no two marks can overlap, so the first of each kind is the one that was put in.
-    """
-    def halves(column: pa.Array, mark: str) -> tuple[pa.Array, pa.Array]:
-        cut = pc.split_pattern(column, mark, max_splits=1)
-        return pc.list_element(cut, 0), pc.list_element(cut, 1)
-
-    place = pa.array(range(len(outputs)), pa.int64())
-    texts, places = [], []
-    for form in ("plain", "psm", "spm"):
-        mine = pc.equal(forms, form)
-        column = outputs.filter(mine)
-        if form == "psm" and len(column):
-            first, rest = halves(column, SUFFIX)
-            (_, prefix), (suffix, middle) = halves(first, PREFIX), halves(rest, MIDDLE)
-        elif form == "spm" and len(column):
-            first, rest = halves(column, PREFIX)
-            (_, suffix), (prefix, middle) = halves(first, SUFFIX), halves(rest, MIDDLE)
-        texts.append(column if form == "plain" or not len(column) else _joined(prefix, middle, suffix))
-        places.append(place.filter(mine))
-    return pa.concat_arrays(texts).take(pc.sort_indices(pa.concat_arrays(places)))
-
-
 _MADE = "n bigint, form string, prefix_chars bigint, middle_chars bigint, output string"
 
 
@@ -116,18 +88,6 @@ def _transform(percent: int, spm_percent: int, size: int):
     return run
 
 
-def _restore(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, ends = in_bytes(batch.column("output"))
-            for begin, end in slices(ends, size):
-                part = batch.slice(begin, end - begin)
-                text = restored(part.column("output").cast(_TEXT), part.column("form")).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("row"), text], ["row", "restored"])
-
-    return run
-
-
 def fill_in_middle(
     docs: DataFrame, seed: int = SEED, percent: int = 100, spm_percent: int = 50, text: str = "text", doc_id: str = "doc_id", size: int = 8 << 20
 ) -> DataFrame:
@@ -145,10 +105,25 @@ def fill_in_middle(
     return rows.mapInArrow(_transform(percent, spm_percent, size), f"doc {kind}, {_MADE}")
 
 
-def restore(rows: DataFrame, size: int = 8 << 20) -> DataFrame:
-    """The frame (which has ``form`` and ``output``) as ``row``, and ``restored``, the exact text that each output was made of."""
-    given = rows.select(F.struct("*").alias("row"), "form", "output")
-    return given.mapInArrow(_restore(size), f"row {given.schema['row'].dataType.simpleString()}, restored string")
+def _from(column: Column, place: Column | int) -> Column:
+    """What follows so many bytes of a text."""
+    return F.substring(column.cast("binary"), F.lit(place) + 1, F.octet_length(column)).cast("string")
+
+
+def restore(rows: DataFrame) -> DataFrame:
+    """The frame (which has ``form`` and ``output``) as ``row``, and ``restored``, the exact text that each output was made of, from these two alone.
+
+    A text with a mark in it stays plain, and no two marks can overlap, so the first of each kind is the one that was put in. These are
+    SQL functions, so that a task which makes the outputs feeds one Python worker, not a second one with the first one's rows.
+    """
+    form, first, second = F.col("form"), F.col("first"), F.col("second")
+    cut = rows.select(F.struct("*").alias("row"), "form", "output")
+    cut = cut.withColumn("first", F.when(form == "psm", F.substring_index("output", SUFFIX, 1)).when(form == "spm", F.substring_index("output", PREFIX, 1)))
+    cut = cut.withColumn("rest", _from(F.col("output"), F.octet_length(first) + len(SUFFIX)))  # all marks are as long
+    cut = cut.withColumn("second", F.substring_index("rest", MIDDLE, 1))
+    one, middle = _from(first, len(PREFIX)), _from(F.col("rest"), F.octet_length(second) + len(MIDDLE))
+    text = F.when(form == "plain", F.col("output")).when(form == "psm", F.concat(one, middle, second)).when(form == "spm", F.concat(second, middle, one))
+    return cut.select("row", text.otherwise(F.raise_error(F.lit("a form is none of plain, psm and spm"))).alias("restored"))
 
 
 ORACLE = r"""

@@ -2,8 +2,11 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from compare import compare, oracle_connection
@@ -122,6 +125,32 @@ def test_fim_without_rows(spark):
     assert fim.restore(fim.fill_in_middle(docs)).count() == 0
 
 
+def test_fim_task_feeds_one_worker(spark):
+    plan = QUERIES["op12_fill_in_middle"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+def test_fim_kernels_stay_on_the_calling_thread():
+    code = (
+        "import os, pyarrow as pa; from landfall.llm import fill_in_middle as fim\n"
+        "threads = lambda: len(os.listdir('/proc/self/task'))\n"
+        "texts, before = pa.array(['', 'a', 'b\\nc\\n', 'x\\ny'] * 50_000, pa.large_string()), threads()\n"
+        "made = fim.transformed(texts, [pa.array([k, 5, 1, 2] * 50_000, pa.int64()) for k in range(4)], 100, 50)\n"
+        "assert len(made['output']) == 200_000 and threads() == before, (before, threads())"
+    )
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], cwd=home, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
+def test_fim_restores_bytes_and_refuses_other_forms(spark):
+    outputs = [("psm", "<P><<S>é<S<M>😀>"), ("spm", "<S>é<P<P><<M>\n"), ("psm", "<P><S><M>x"), ("plain", "<M>a<P>"), ("plain", "")]
+    rows = fim.restore(spark.createDataFrame([(*o, 1) for o in outputs], "form string, output string, first int")).collect()
+    assert [r.restored for r in rows] == ["<😀>é<S", "<\né<P", "x", "<M>a<P>", ""] and all(r["row"]["first"] == 1 for r in rows)
+    with pytest.raises(Exception, match="none of plain, psm and spm"):
+        fim.restore(spark.createDataFrame([("pms", "x")], "form string, output string")).collect()
+
+
 # quality rules
 
 
